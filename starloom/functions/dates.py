@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,11 +14,40 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+_FIELD_WIDTH = {"yyyy": 4, "MM": 2, "dd": 2, "HH": 2, "mm": 2, "ss": 2}
+
+
+def layout_shape(fmt: str) -> str:
+    """Regex of the exact text a layout formats to (yyyy -> 4 digits, MM -> 2
+    digits, quoted literals kept), e.g. 'dd/MM/yyyy' -> '^[0-9]{2}/[0-9]{2}/[0-9]{4}$'."""
+    out, i = [], 0
+    while i < len(fmt):
+        if fmt[i] == "'":
+            j = fmt.index("'", i + 1)
+            out.append(re.escape(fmt[i + 1:j]))
+            i = j + 1
+            continue
+        for field, width in _FIELD_WIDTH.items():
+            if fmt.startswith(field, i):
+                out.append(f"[0-9]{{{width}}}")
+                i += len(field)
+                break
+        else:
+            out.append(re.escape(fmt[i]))
+            i += 1
+    return "^" + "".join(out) + "$"
+
+
 def parse_strict(text: Column, fmt: str) -> Column:
     """Parse with one layout and accept it only if formatting the value back
-    reproduces the text exactly (no silent roll-over of 2025-13-40 or 31/02)."""
+    reproduces the text exactly (no silent roll-over of 2025-13-40 or 31/02).
+
+    The parser is only invoked on text already shaped like the layout: a
+    round-trip match implies that shape, so the guard changes no result but
+    spares a failing parse (an exception inside the JVM) per wrong layout.
+    """
     ts = F.try_to_timestamp(text, F.lit(fmt))
-    return F.when(F.date_format(ts, fmt) == text, ts)
+    return F.when(text.rlike(layout_shape(fmt)) & (F.date_format(ts, fmt) == text), ts)
 
 
 def parse_multi_format_timestamp(col: Column | str,

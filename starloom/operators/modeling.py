@@ -29,8 +29,18 @@ def with_unknown_member(df: DataFrame, **values) -> DataFrame:
 
 def date_bounds(columns: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """One-row (min_date, max_date) over several tables' date/timestamp
-    columns, computed in a single aggregate job (partial min/max per branch)."""
-    parts = [d.select(F.to_date(F.col(c)).alias("d")) for d, c in columns]
+    columns, computed in a single aggregate job: one scan per table (its
+    date columns exploded side by side), partial min/max per branch."""
+    by_table: list[tuple[DataFrame, list[str]]] = []
+    for d, c in columns:
+        for entry in by_table:
+            if entry[0] is d:
+                entry[1].append(c)
+                break
+        else:
+            by_table.append((d, [c]))
+    parts = [d.select(F.explode(F.array(*[F.to_date(F.col(c)) for c in cols])).alias("d"))
+             for d, cols in by_table]
     return reduce(DataFrame.unionByName, parts).agg(F.min("d").alias("min_date"),
                                                     F.max("d").alias("max_date"))
 
