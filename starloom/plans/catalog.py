@@ -108,6 +108,7 @@ def load_extra_modules() -> None:
     checks, profiles, sources)."""
     import starloom.plans.q_operators  # noqa: F401
     import starloom.plans.q_reports  # noqa: F401
+    import starloom.plans.q_sources  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
