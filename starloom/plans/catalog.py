@@ -109,6 +109,7 @@ def load_extra_modules() -> None:
     import starloom.plans.q_operators  # noqa: F401
     import starloom.plans.q_reports  # noqa: F401
     import starloom.plans.q_sources  # noqa: F401
+    import starloom.plans.q_extensions  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
