@@ -15,16 +15,19 @@ from starloom.streaming.incremental import upsert_latest
 
 # X1 ------------------------------------------------------------------------
 CUTOFF = "1999-01-01 00:00:00"
-ORDER_RANK = [F.col("gross_amount").isNotNull().desc(), F.col("order_date").isNotNull().desc()]
+
+
+def order_rank():
+    return [F.col("gross_amount").isNotNull().desc(), F.col("order_date").isNotNull().desc()]
 
 
 def _x01(spark, sf_dir):
     clean = S.orders_clean(Star(spark, sf_dir).raw_orders)
     cutoff = F.lit(CUTOFF).cast("timestamp")
     lu = F.col("last_update")
-    target = dedup_keep_latest(clean.where(lu.isNull() | (lu < cutoff)), ["order_id"], "last_update", ORDER_RANK)
+    target = dedup_keep_latest(clean.where(lu.isNull() | (lu < cutoff)), ["order_id"], "last_update", order_rank())
     increment = clean.where(lu >= cutoff)
-    return export(upsert_latest(target, increment, ["order_id"], "last_update", ORDER_RANK))
+    return export(upsert_latest(target, increment, ["order_id"], "last_update", order_rank()))
 
 
 _ORDER_TIE = ["customer_code", "seller_id", "status_order", "gross_amount", "discount_amount", "net_amount",

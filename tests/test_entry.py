@@ -17,3 +17,13 @@ def test_entry_runs(spark):
     rows = df.collect()
     assert len(rows) > 0 and "segmento" in df.columns
     assert set(m.oracle_sql()) <= set(m.queries())
+
+
+def test_contract_imports_without_spark():
+    """The driver may ask for oracle_sql() before any session exists."""
+    import subprocess
+    import sys
+    code = ("import importlib.util as u; s=u.spec_from_file_location('e','__spark_entry__.py'); "
+            "m=u.module_from_spec(s); s.loader.exec_module(m); "
+            "q=m.queries(); o=m.oracle_sql(); assert set(o)==set(q) and len(q)>50, (len(q), len(o))")
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
