@@ -51,6 +51,17 @@ def _clock(day_text: Column, k: Column) -> Column:
                     F.lpad((k % 60).cast("string"), 2, "0"), F.lit(":00"))
 
 
+def _with_copies(base: DataFrame, cond: Column, overrides: dict[str, Column]) -> DataFrame:
+    """Emit every row once, plus a second copy where ``cond`` holds, with
+    ``overrides`` applied to the copy.  One scan (explode of a variant
+    index) instead of a union of two scans of the same table."""
+    n = base.withColumn("_v", F.explode(F.when(cond, F.array(F.lit(0), F.lit(1)))
+                                         .otherwise(F.array(F.lit(0)))))
+    copy = F.col("_v") == 1
+    return n.select(*[F.when(copy, overrides[c]).otherwise(F.col(c)).alias(c) if c in overrides else F.col(c)
+                      for c in base.columns])
+
+
 def _pick(k: Column, modulus: int, values: list) -> Column:
     """CASE k % modulus WHEN i THEN values[i] ... (None -> null)."""
     expr = None
@@ -95,15 +106,13 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Second copies of every 10th customer: later update (copy wins) or the
     # same update time with a broken e-mail (valid e-mail wins the tie).
-    dup = (base.where(F.col("_k") % 10 == 3)
-           .withColumn("customer_id", F.lower(F.trim(F.col("customer_id"))))
-           .withColumn("nome_cliente", F.concat(F.col("nome_cliente"), F.lit(" (dup)")))
-           .withColumn("email", F.when(F.col("_k") % 20 == 13, F.lit("invalid-email"))
-                       .otherwise(F.col("email")))
-           .withColumn("updated_at", F.when(F.col("_k") % 20 == 3,
-                                            _clock(F.lit("2024-02-15"), F.col("_k")))
-                       .otherwise(F.col("updated_at"))))
-    return base.unionByName(dup).drop("_k")
+    return _with_copies(base, F.col("_k") % 10 == 3, {
+        "customer_id": F.lower(F.trim(F.col("customer_id"))),
+        "nome_cliente": F.concat(F.col("nome_cliente"), F.lit(" (dup)")),
+        "email": F.when(F.col("_k") % 20 == 13, F.lit("invalid-email")).otherwise(F.col("email")),
+        "updated_at": F.when(F.col("_k") % 20 == 3, _clock(F.lit("2024-02-15"), F.col("_k")))
+                       .otherwise(F.col("updated_at")),
+    }).drop("_k")
 
 
 # --------------------------------------------------------------------------
@@ -134,12 +143,11 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.alias("_k"),
     )
     # Revised copies: a later revision wins; an unparseable stamp loses.
-    dup = (flat.where(F.col("_k") % 10 == 6)
-           .withColumn("product_id", F.lower(F.col("product_id")))
-           .withColumn("name", F.concat(F.coalesce(F.col("name"), F.lit("Produto")), F.lit(" revisado")))
-           .withColumn("updated_at", F.when(F.col("_k") % 20 == 6, F.lit("2024-07-30 12:00:00"))
-                       .otherwise(F.lit("not a date"))))
-    both = flat.unionByName(dup)
+    both = _with_copies(flat, F.col("_k") % 10 == 6, {
+        "product_id": F.lower(F.col("product_id")),
+        "name": F.concat(F.coalesce(F.col("name"), F.lit("Produto")), F.lit(" revisado")),
+        "updated_at": F.when(F.col("_k") % 20 == 6, F.lit("2024-07-30 12:00:00")).otherwise(F.lit("not a date")),
+    })
     return both.select(
         F.struct("product_id", "name", "category", "subcategory", "status").alias("product"),
         F.struct(F.col("list_price"), F.col("currency")).alias("pricing"),
@@ -165,10 +173,10 @@ def raw_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("observacao"),
         k.alias("_k"),
     )
-    dup = (base.where(F.col("_k") % 5 == 0)
-           .withColumn("nome_canal", F.concat(F.coalesce(F.col("nome_canal"), F.lit("")), F.lit(" X")))
-           .withColumn("observacao", F.lit("Duplicado conflitante")))
-    return base.unionByName(dup).drop("_k")
+    return _with_copies(base, F.col("_k") % 5 == 0, {
+        "nome_canal": F.concat(F.coalesce(F.col("nome_canal"), F.lit("")), F.lit(" X")),
+        "observacao": F.lit("Duplicado conflitante"),
+    }).drop("_k")
 
 
 # Region code and state spelling per region key 0..4.
@@ -219,13 +227,11 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(k, 5, ["Ativo", "ATIVO ", "inativo", None, ""]).alias("status"),
         k.alias("_k"),
     )
-    dup = (base.where((F.col("_k") % 10 == 4) | (F.col("_k") % 10 == 8))
-           .withColumn("seller_name", F.when(F.col("_k") % 10 == 4,
-                                             F.concat(F.col("seller_name"), F.lit(" duplicado")))
-                       .otherwise(F.col("seller_name")))
-           .withColumn("canal_id", F.when(F.col("_k") % 10 == 8, F.lit("CH98"))
-                       .otherwise(F.col("canal_id"))))
-    return base.unionByName(dup).drop("_k")
+    return _with_copies(base, (F.col("_k") % 10 == 4) | (F.col("_k") % 10 == 8), {
+        "seller_name": F.when(F.col("_k") % 10 == 4, F.concat(F.col("seller_name"), F.lit(" duplicado")))
+                        .otherwise(F.col("seller_name")),
+        "canal_id": F.when(F.col("_k") % 10 == 8, F.lit("CH98")).otherwise(F.col("canal_id")),
+    }).drop("_k")
 
 
 # --------------------------------------------------------------------------
@@ -281,14 +287,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Re-sent headers: a later update wins; an equal stamp with a lost gross
     # amount loses to the complete row.
-    dup = (base.where(F.col("_k") % 10 == 1)
-           .withColumn("order_id", F.lower(F.trim(F.col("order_id"))))
-           .withColumn("status_order", F.lit("Entregue"))
-           .withColumn("gross_amount", F.when(F.col("_k") % 20 == 11, F.lit("N/A"))
-                       .otherwise(F.col("gross_amount")))
-           .withColumn("last_update", F.when(F.col("_k") % 20 == 1, _clock(F.lit("2002-01-01"), F.col("_k")))
-                       .otherwise(F.col("last_update"))))
-    return base.unionByName(dup).drop("_k")
+    return _with_copies(base, F.col("_k") % 10 == 1, {
+        "order_id": F.lower(F.trim(F.col("order_id"))),
+        "status_order": F.lit("Entregue"),
+        "gross_amount": F.when(F.col("_k") % 20 == 11, F.lit("N/A")).otherwise(F.col("gross_amount")),
+        "last_update": F.when(F.col("_k") % 20 == 1, _clock(F.lit("2002-01-01"), F.col("_k")))
+                        .otherwise(F.col("last_update")),
+    }).drop("_k")
 
 
 # --------------------------------------------------------------------------
