@@ -31,10 +31,8 @@ def expected_rows(df: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def _scalar_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    # Both sides are single-row aggregates: join on a constant key (1 x 1 rows).
-    a = actual.withColumn("_one", F.lit(1))
-    e = expected.withColumn("_one", F.lit(1))
-    return a.join(e, "_one").select(F.abs(F.col("actual") - F.col("n")).alias("violations"))
+    """|actual - n| for two one-row aggregates (n as a scalar subquery)."""
+    return actual.select(F.abs(F.col("actual") - expected.select("n").scalar()).alias("violations"))
 
 
 def not_null(df: DataFrame, col: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Incremental loads: high-water mark, latest-wins upsert, streaming ingest.
 
 * :func:`high_water_filter` keeps increment rows newer than the target's
-  newest row.  The target maximum is a one-row aggregate joined back (a
-  bounded broadcast), never a value fetched to the driver.
+  newest row.  The target maximum is a scalar subquery evaluated inside the
+  plan, never a value fetched to the driver.
 * :func:`upsert_latest` merges target and increment by business key,
   latest ``order_col`` winning (the same total order as silver dedup), so
   repeated application is idempotent.
@@ -27,11 +27,9 @@ from starloom.operators.dedup import dedup_keep_latest
 def high_water_filter(increment: DataFrame, target: DataFrame, order_col: str) -> DataFrame:
     """Rows of ``increment`` with ``order_col`` above max(target.order_col).
     An empty target (null mark) lets every non-null row through."""
-    mark = target.agg(F.max(order_col).alias("_hwm")).withColumn("_one", F.lit(1))
-    inc = increment.withColumn("_one", F.lit(1))
-    joined = inc.join(F.broadcast(mark), "_one", "inner")  # mark is exactly one row
-    keep = F.col(order_col).isNotNull() & (F.col("_hwm").isNull() | (F.col(order_col) > F.col("_hwm")))
-    return joined.where(keep).drop("_one", "_hwm")
+    mark = target.select(F.max(order_col)).scalar()
+    keep = F.col(order_col).isNotNull() & (mark.isNull() | (F.col(order_col) > mark))
+    return increment.where(keep)
 
 
 def upsert_latest(target: DataFrame, increment: DataFrame, keys: Sequence[str], order_col: str,
