@@ -12,25 +12,46 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _K = "__starloom_key"
 _HIT = "__starloom_hit"
 
 
+_SALT = "__starloom_salt"
+_KSALT = "__starloom_key_salt"
+NULL_SPREAD = 256
+
+
+def _null_salt(df: DataFrame, key_col: str, buckets: int) -> Column:
+    """0 for a present key; for a null key a deterministic bucket from the
+    row's atomic content, so null-key rows (which can never match) spread
+    over ``buckets`` shuffle partitions instead of all hashing to one."""
+    atomic = [F.col(f"`{f.name}`") for f in df.schema.fields
+              if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.when(F.col(key_col).isNull(), F.pmod(F.xxhash64(*atomic), F.lit(buckets))).otherwise(F.lit(0))
+
+
 def with_key_exists(df: DataFrame, key_col: str, keys: DataFrame, keys_col: str,
-                    out_col: str) -> DataFrame:
+                    out_col: str, null_spread: int = NULL_SPREAD) -> DataFrame:
     """Add ``out_col``: true if ``df.key_col`` occurs in ``keys.keys_col``,
     false if not, null when the key itself is null (``IN`` semantics).
 
     The key side is de-duplicated first so the join can never multiply rows.
+    Rows with a null key carry a spread salt (the key side's salt is 0), so
+    a table where a third of the keys are null does not send that third to
+    one reducer; a hot non-null key is split by AQE's skew-join handling.
     """
     key_side = (keys.select(F.col(keys_col).alias(_K))
                 .where(F.col(_K).isNotNull())
                 .distinct()
+                .withColumn(_KSALT, F.lit(0))
                 .withColumn(_HIT, F.lit(True)))
-    joined = df.join(key_side, df[key_col] == key_side[_K], "left")
+    salted = df.withColumn(_SALT, _null_salt(df, key_col, null_spread))
+    cond = (salted[key_col] == key_side[_K]) & (salted[_SALT] == key_side[_KSALT])
+    joined = salted.join(key_side, cond, "left")
     return (joined.withColumn(out_col, F.when(F.col(key_col).isNotNull(), F.col(_HIT).isNotNull()))
-                  .drop(_K, _HIT))
+                  .drop(_K, _HIT, _SALT, _KSALT))
 
 
 def resolve_fk(key: Column | str, exists: Column | str, unknown: str) -> Column:
