@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.plans import oracle as O
-from starloom.plans.star import Star, export
+from starloom.plans.star import Star, export, star_for
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -79,7 +79,7 @@ TABLE_COLUMNS = {
 
 def _layer_query(attr: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return export(getattr(Star(spark, sf_dir), attr))
+        return export(getattr(star_for(spark, sf_dir), attr))
     run.__name__ = attr
     return run
 

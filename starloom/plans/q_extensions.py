@@ -10,7 +10,7 @@ from starloom.operators.expectations import Expectation, evaluate
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
-from starloom.plans.star import Star, export
+from starloom.plans.star import Star, export, star_for
 from starloom.streaming.incremental import upsert_latest
 
 # X1 ------------------------------------------------------------------------
@@ -22,7 +22,7 @@ def order_rank():
 
 
 def _x01(spark, sf_dir):
-    clean = S.orders_clean(Star(spark, sf_dir).raw_orders)
+    clean = S.orders_clean(star_for(spark, sf_dir).raw_orders)
     cutoff = F.lit(CUTOFF).cast("timestamp")
     lu = F.col("last_update")
     target = dedup_keep_latest(clean.where(lu.isNull() | (lu < cutoff)), ["order_id"], "last_update", order_rank())
@@ -70,7 +70,7 @@ EXPECTATIONS = [
 
 
 def _x02(spark, sf_dir):
-    s = Star(spark, sf_dir)
+    s = star_for(spark, sf_dir)
     tables = {t: getattr(s, t) for t in {e.table for e in EXPECTATIONS} | {"dim_cliente"}}
     return export(evaluate(EXPECTATIONS, tables))
 
@@ -101,7 +101,7 @@ register("x02_declarative_expectations", _x02, _x02_sql())
 
 # X3 ------------------------------------------------------------------------
 def _x03(spark, sf_dir):
-    s = Star(spark, sf_dir)
+    s = star_for(spark, sf_dir)
     e = s.fact_entregas.alias("e")
     o = s.silver_orders.select("order_id", "promised_date").alias("o")
     d = F.col("e.delivered_at")
@@ -121,7 +121,7 @@ FROM fact_entregas e LEFT JOIN silver_orders o ON e.order_ref = o.order_id"""))
 
 # X4 ------------------------------------------------------------------------
 def _x04(spark, sf_dir):
-    s = Star(spark, sf_dir)
+    s = star_for(spark, sf_dir)
     # 1:1 guard: a state maps to a region only if exactly one region carries it.
     uf = (s.dim_regiao.groupBy("state_uf")
           .agg(F.count(F.lit(1)).alias("_n"), F.min("regional_code").alias("regional_code"))

@@ -34,14 +34,14 @@ from starloom.functions import (
 from starloom.plans import oracle as O
 from starloom.plans.catalog import register
 from starloom.plans.silver import PAYMENT_SCHEMA
-from starloom.plans.star import Star, export
+from starloom.plans.star import Star, export, star_for
 
 NI = vocab.NOT_INFORMED
 
 
 def q(fn):
     def run(spark, sf_dir):
-        return export(fn(Star(spark, sf_dir)))
+        return export(fn(star_for(spark, sf_dir)))
     return run
 
 

@@ -11,7 +11,7 @@ from starloom.operators import reports as K
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import register
-from starloom.plans.star import Star, export
+from starloom.plans.star import Star, export, star_for
 
 
 def cif(cond: str) -> str:
@@ -30,7 +30,7 @@ def dratio(num: str, den: str, scale: str = "1.0") -> str:
 def q(fn):
     """Adapt ``fn(star)`` to the (spark, sf_dir) query signature."""
     def run(spark, sf_dir):
-        return export(fn(Star(spark, sf_dir)))
+        return export(fn(star_for(spark, sf_dir)))
     return run
 
 

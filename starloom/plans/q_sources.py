@@ -26,7 +26,7 @@ from starloom.sources.workbook import read_workbooks, write_workbooks
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
-from starloom.plans.star import Star, export
+from starloom.plans.star import Star, export, star_for
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -74,7 +74,7 @@ def _silver_oracle(name: str) -> str:
 
 
 def _orders_csv(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "orders-csv")
     write_delimited(st.raw_orders, path, ";")
     back = R.read_delimited(spark, path, R.ORDERS_SCHEMA, sep=";")
@@ -82,7 +82,7 @@ def _orders_csv(spark, sf_dir):
 
 
 def _items_csv(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "items-csv")
     write_delimited(st.raw_items, path, ",")
     back = R.read_delimited(spark, path, R.ITEMS_SCHEMA, sep=",")
@@ -90,7 +90,7 @@ def _items_csv(spark, sf_dir):
 
 
 def _regions_pipe(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "regions-pipe")
     write_delimited(st.raw_regions, path, "|")
     back = R.read_delimited(spark, path, R.REGIONS_SCHEMA, sep="|")
@@ -98,7 +98,7 @@ def _regions_pipe(spark, sf_dir):
 
 
 def _sellers_csv(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "sellers-csv")
     write_delimited(st.raw_sellers, path, ";")
     back = R.read_delimited(spark, path, R.SELLERS_SCHEMA, sep=";")
@@ -106,7 +106,7 @@ def _sellers_csv(spark, sf_dir):
 
 
 def _deliveries_ndjson(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "deliveries-ndjson")
     st.raw_deliveries.write.mode("overwrite").json(path)
     back = R.read_ndjson(spark, path, R.DELIVERIES_SCHEMA)
@@ -114,7 +114,7 @@ def _deliveries_ndjson(spark, sf_dir):
 
 
 def _tickets_ndjson(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "tickets-ndjson")
     st.raw_tickets.write.mode("overwrite").json(path)
     back = R.read_ndjson(spark, path, R.TICKETS_SCHEMA)
@@ -122,7 +122,7 @@ def _tickets_ndjson(spark, sf_dir):
 
 
 def _products_json_array(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "products-json")
     write_json_array(st.raw_products, path)
     back = R.read_json_array(spark, path, R.PRODUCTS_SCHEMA)
@@ -130,7 +130,7 @@ def _products_json_array(spark, sf_dir):
 
 
 def _channels_workbook(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     path = scratch(spark, "channels-xlsx")
     write_workbooks(st.raw_channels, path, sheet="canais")
     back = read_workbooks(spark, path, R.CHANNELS_SCHEMA, sheet="canais")
@@ -138,7 +138,7 @@ def _channels_workbook(spark, sf_dir):
 
 
 def _customers_bronze(spark, sf_dir):
-    st = Star(spark, sf_dir)
+    st = star_for(spark, sf_dir)
     base = scratch(spark, "layers")
     B.write_table(B.with_ingest_columns(st.raw_customers, "customers"), base, "bronze", "customers")
     back = B.read_table(spark, base, "bronze", "customers").drop("_ingested_at", "_source_file")

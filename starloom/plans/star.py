@@ -7,6 +7,7 @@ form (dates/timestamps as text, arrays joined) for comparison and writing.
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,24 @@ class Star:
     def fact_ocorrencias(self): return G.fact_ocorrencias(self.silver_tickets, self.raw_customers)
 
 
+_STARS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Star]]" = weakref.WeakKeyDictionary()
+
+
+def star_for(spark: SparkSession, sf_dir: str) -> Star:
+    """The lazily wired star for this session and folder, built once per
+    process.  Only immutable logical plans are shared between queries: every
+    action still scans and computes from the tables (nothing is cached).
+    The file listing is taken when a table is first read; use a new
+    ``Star`` if the folder's files change while the session lives."""
+    per = _STARS.get(spark)
+    if per is None or spark.sparkContext._jsc is None:
+        per = _STARS[spark] = {}
+    st = per.get(sf_dir)
+    if st is None:
+        st = per[sf_dir] = Star(spark, sf_dir)
+    return st
+
+
 SILVER = ["customers", "products", "channels", "regions", "sellers", "orders", "items",
           "deliveries", "tickets"]
 GOLD = ["dim_cliente", "dim_produto", "dim_canal", "dim_regiao", "dim_vendedor", "dim_data",
