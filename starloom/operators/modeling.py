@@ -52,8 +52,17 @@ def calendar_dimension(columns: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     number of days in the span, which does not grow with data volume.
     """
     bounds = date_bounds(columns)
-    days = bounds.select(
-        F.explode(F.sequence(F.col("min_date"), F.col("max_date"),
+    # Two levels: one row per month of the span, spread over the cluster,
+    # then each month expands to its days; a wide span (dirty far-off
+    # dates) never materialises in one task.
+    months = bounds.select(
+        "min_date", "max_date",
+        F.explode(F.sequence(F.trunc("min_date", "month"), F.trunc("max_date", "month"),
+                             F.expr("interval 1 month"))).alias("month_start"))
+    months = months.repartition(months.sparkSession.sparkContext.defaultParallelism)
+    days = months.select(
+        F.explode(F.sequence(F.greatest("month_start", "min_date"),
+                             F.least(F.last_day("month_start"), F.col("max_date")),
                              F.expr("interval 1 day"))).alias("date"))
     return days.select(*calendar_columns("date"))
 

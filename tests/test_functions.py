@@ -80,3 +80,19 @@ def test_booleans_and_email(spark):
     assert one_col(spark, ["Sim", "NAO", "talvez", None], yes_no_to_bool) == [True, False, None, None]
     assert one_col(spark, ["1", "0", None], flag_text_to_bool) == [True, False, None]
     assert one_col(spark, ["a@b.com", "a@b", "a b@c.d", None], is_valid_email) == [True, False, False, None]
+
+
+def test_calendar_month_edges(spark):
+    import datetime as dt
+
+    from starloom.operators.modeling import calendar_dimension
+    a = spark.createDataFrame([(dt.date(2024, 1, 30),), (None,)], "d date")
+    b = spark.createDataFrame([(dt.datetime(2024, 3, 2, 23, 0),)], "t timestamp")
+    cal = calendar_dimension([(a, "d"), (b, "t")]).collect()
+    days = sorted(r["date"] for r in cal)
+    assert len(days) == len(set(days)) == 33
+    assert days[0] == dt.date(2024, 1, 30) and days[-1] == dt.date(2024, 3, 2)
+    feb29 = [r for r in cal if r["date"] == dt.date(2024, 2, 29)][0]
+    assert feb29["date_key"] == 20240229 and feb29["day_name"] == "Thursday" and feb29["day_of_week"] == 5
+    one = calendar_dimension([(spark.createDataFrame([(dt.date(2025, 5, 31),)], "d date"), "d")]).collect()
+    assert [r["date"] for r in one] == [dt.date(2025, 5, 31)]
