@@ -40,7 +40,8 @@ def main() -> None:
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
              .config("spark.sql.session.timeZone", "UTC")
-             .config("spark.sql.shuffle.partitions", str(max(8, 2 * int(cpus))))
+             .config("spark.sql.shuffle.partitions",
+                     os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 
