@@ -22,17 +22,22 @@ from pyspark.sql import types as T
 _RN = "__starloom_rn"
 
 
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return True
+
+
 def content_tiebreak(df: DataFrame, exclude: Sequence[str] = ()) -> list[Column]:
-    """Total order over the row's atomic columns (arrays/maps/structs are
-    derived or nested and skipped)."""
-    out = []
-    for field in df.schema.fields:
-        if field.name in exclude:
-            continue
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            continue
-        out.append(F.col(field.name).asc_nulls_first())
-    return out
+    """Total order over the row's content: every orderable column (atomic,
+    arrays and structs of orderable types), in schema order.  Only map and
+    variant columns, which have no ordering, are left out."""
+    return [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
+            if f.name not in exclude and _orderable(f.dataType)]
 
 
 def dedup_by_rank(df: DataFrame, key_cols: Sequence[str],

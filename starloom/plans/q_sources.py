@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.session import checkpoint_dir
+from starloom.streaming.incremental import ingest_stream
 from starloom.sources import layers as B
 from starloom.sources import readers as R
 from starloom.sources.workbook import read_workbooks, write_workbooks
@@ -145,6 +146,17 @@ def _customers_bronze(spark, sf_dir):
     return export(S.silver_customers(back))
 
 
+def _tickets_stream(spark, sf_dir):
+    """Raw tickets land as NDJSON files; a Structured Streaming run
+    (availableNow) ingests them into bronze micro-batch folders."""
+    st = star_for(spark, sf_dir)
+    base = scratch(spark, "tickets-stream")
+    st.raw_tickets.write.mode("overwrite").json(f"{base}/landing")
+    ingest_stream(spark, f"{base}/landing", R.TICKETS_SCHEMA, "json", f"{base}/bronze", f"{base}/_checkpoint")
+    back = spark.read.parquet(f"{base}/bronze").drop("_ingested_at", "_source_file", "batch_id")
+    return export(S.silver_tickets(back))
+
+
 register("s01_csv_semicolon_json_cell", _orders_csv, _silver_oracle("silver_orders"))
 register("s02_csv_comma_decimals", _items_csv, _silver_oracle("silver_items"))
 register("s03_pipe_delimited", _regions_pipe, _silver_oracle("silver_regions"))
@@ -154,3 +166,4 @@ register("s06_ndjson_flat", _tickets_ndjson, _silver_oracle("silver_tickets"))
 register("s07_json_array", _products_json_array, _silver_oracle("silver_products"))
 register("s08_workbook", _channels_workbook, _silver_oracle("silver_channels"))
 register("s09_bronze_layer_roundtrip", _customers_bronze, _silver_oracle("silver_customers"))
+register("s10_stream_ingest", _tickets_stream, _silver_oracle("silver_tickets"))
