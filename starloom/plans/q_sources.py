@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import checkpoint_dir
+from starloom.session import checkpoint_dir, ship_package
 from starloom.streaming.incremental import ingest_stream
 from starloom.sources import layers as B
 from starloom.sources import readers as R
@@ -67,6 +67,7 @@ def write_json_array(df: DataFrame, path: str) -> None:
             os.remove(target + ".tmp")
         yield pd.DataFrame({"rows": [n]})
 
+    ship_package(df.sparkSession)
     js.mapInPandas(write, "rows long").agg(F.sum("rows")).collect()
 
 

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starloom.session import ship_package
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 _REL_NS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
@@ -120,6 +122,7 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType,
                        for n in names}
                 yield pd.DataFrame(out, columns=names, dtype=object)
 
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("content")
     return files.mapInPandas(parse, schema)
 
@@ -181,5 +184,6 @@ def write_workbooks(df: DataFrame, path: str, sheet: str = "Sheet1") -> int:
             os.replace(tmp, target)
         yield pd.DataFrame({"files": [1 if rows else 0]})
 
+    ship_package(df.sparkSession)
     out = text.mapInPandas(write, "files int")
     return int(out.agg({"files": "sum"}).collect()[0][0] or 0)

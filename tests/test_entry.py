@@ -27,3 +27,20 @@ def test_contract_imports_without_spark():
             "m=u.module_from_spec(s); s.loader.exec_module(m); "
             "q=m.queries(); o=m.oracle_sql(); assert set(o)==set(q) and len(q)>50, (len(q), len(o))")
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
+def test_python_tasks_work_from_another_cwd(tmp_dir):
+    """Workers import the package even when the driver runs elsewhere (shipped with addPyFile)."""
+    import subprocess
+    import sys
+    code = f"""
+import importlib.util as u
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()
+s = u.spec_from_file_location('e', {os.path.join(ROOT, '__spark_entry__.py')!r}); m = u.module_from_spec(s)
+s.loader.exec_module(m)
+n = m.queries()['s08_workbook'](spark, '/root/testdata/sf0.001').count()
+assert n > 0, n
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, check=True, timeout=300,
+                   env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
