@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.plans import oracle as O
-from starloom.plans.star import Star, export, star_for
+from starloom.plans.star import export, star_for
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 

@@ -10,7 +10,7 @@ from starloom.operators.expectations import Expectation, evaluate
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
-from starloom.plans.star import Star, export, star_for
+from starloom.plans.star import export, star_for
 from starloom.streaming.incremental import upsert_latest
 
 # X1 ------------------------------------------------------------------------

@@ -27,7 +27,7 @@ from starloom.sources.workbook import read_workbooks, write_workbooks
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
-from starloom.plans.star import Star, export, star_for
+from starloom.plans.star import export, star_for
 
 
 def scratch(spark: SparkSession, label: str) -> str:
