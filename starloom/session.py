@@ -92,3 +92,21 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, minimum: int = 200) -> int:
+    """Initial shuffle partition count so no post-shuffle partition has to
+    hold more than ``target_bytes`` of the input (AQE coalesces down from it)."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Size scans and shuffles for an input volume (e.g. 100 TB -> ~400k
+    initial shuffle partitions of <= 256 MB, coalesced by AQE at run time).
+    Returns the initial partition count it set."""
+    n = shuffle_partitions_for(input_bytes, target_bytes)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

@@ -96,3 +96,9 @@ def test_calendar_month_edges(spark):
     assert feb29["date_key"] == 20240229 and feb29["day_name"] == "Thursday" and feb29["day_of_week"] == 5
     one = calendar_dimension([(spark.createDataFrame([(dt.date(2025, 5, 31),)], "d date"), "d")]).collect()
     assert [r["date"] for r in one] == [dt.date(2025, 5, 31)]
+
+
+def test_partition_sizing():
+    from starloom.session import shuffle_partitions_for
+    assert shuffle_partitions_for(100 * 2**40) == 409600          # 100 TiB at 256 MiB
+    assert shuffle_partitions_for(10 * 2**20) == 200               # floor for small inputs
