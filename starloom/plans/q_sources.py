@@ -158,6 +158,24 @@ def _tickets_stream(spark, sf_dir):
     return export(S.silver_tickets(back))
 
 
+def _bronze_counts(spark, sf_dir):
+    """All raw sources written to a bronze layer (observe-counted), then the
+    per-table row report read back from storage."""
+    st = star_for(spark, sf_dir)
+    base = scratch(spark, "bronze")
+    for name in RAW_NAMES:
+        B.write_table(B.with_ingest_columns(getattr(st, f"raw_{name}"), name), base, "bronze", name)
+    return B.layer_counts(spark, base, "bronze", RAW_NAMES)
+
+
+RAW_NAMES = ["customers", "products", "channels", "regions", "sellers", "orders", "items", "deliveries", "tickets"]
+
+
+def _bronze_counts_sql() -> str:
+    return O.with_ctes([f"raw_{n}" for n in RAW_NAMES], " UNION ALL ".join(
+        f"SELECT 'bronze' AS layer, '{n}' AS table_name, count(*) AS rows FROM raw_{n}" for n in RAW_NAMES))
+
+
 register("s01_csv_semicolon_json_cell", _orders_csv, _silver_oracle("silver_orders"))
 register("s02_csv_comma_decimals", _items_csv, _silver_oracle("silver_items"))
 register("s03_pipe_delimited", _regions_pipe, _silver_oracle("silver_regions"))
@@ -168,3 +186,4 @@ register("s07_json_array", _products_json_array, _silver_oracle("silver_products
 register("s08_workbook", _channels_workbook, _silver_oracle("silver_channels"))
 register("s09_bronze_layer_roundtrip", _customers_bronze, _silver_oracle("silver_customers"))
 register("s10_stream_ingest", _tickets_stream, _silver_oracle("silver_tickets"))
+register("s11_bronze_layer_counts", _bronze_counts, _bronze_counts_sql())
