@@ -1,15 +1,17 @@
 """Spreadsheet (xlsx) source and sink without openpyxl.
 
 Reading: ``binaryFile`` lists the workbooks, ``mapInPandas`` parses each one
-inside a task with the standard library (``zipfile`` + ``xml.etree``), so
-workbooks are read in parallel, one task per file, never on the driver.
+inside a task with the standard library (``zipfile`` + ``xml.etree``
+``iterparse``), so workbooks are read in parallel, one task per file, never
+on the driver, and a sheet is streamed row by row into bounded pandas
+chunks rather than held as one XML tree.
 Every cell comes back as text under the declared schema; a missing or empty
 cell is null (never NaN).  Shared strings, inline strings and plain numbers
 are supported; date serials and formulas are returned as their stored text.
 
 Writing (used to produce workbook inputs from data): each partition becomes
-one workbook file written by its task under a deterministic name, so a
-retried task overwrites its own file.
+one workbook file, streamed batch by batch into the zip entry by its task
+under a deterministic name, so a retried task overwrites its own file.
 """
 
 from __future__ import annotations
@@ -69,98 +71,132 @@ def _first_sheet_path(z: zipfile.ZipFile, sheet: str | None) -> str:
     return "xl/worksheets/sheet1.xml"
 
 
-def parse_xlsx(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
-    """All rows of one sheet as lists of text cells (None for empty)."""
+def _shared_strings(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    out = []
+    with z.open("xl/sharedStrings.xml") as fh:
+        for _, el in ET.iterparse(fh):
+            if el.tag == f"{{{_NS['m']}}}si":
+                out.append("".join(t.text or "" for t in el.iter(f"{{{_NS['m']}}}t")))
+                el.clear()
+    return out
+
+
+def iter_xlsx_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str | None]]:
+    """Rows of one sheet as lists of text cells (None for empty), streamed
+    with ``iterparse`` so a large sheet is never held as one XML tree."""
     z = zipfile.ZipFile(io.BytesIO(data))
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-    root = ET.fromstring(z.read(_first_sheet_path(z, sheet)))
-    rows: list[list[str | None]] = []
-    for row in root.findall("m:sheetData/m:row", _NS):
-        cells: dict[int, str | None] = {}
-        for pos, c in enumerate(row.findall("m:c", _NS)):
-            ref = c.get("r")
-            idx = _col_index(_CELL_REF.match(ref).group(1)) if ref else pos
-            kind = c.get("t")
-            if kind == "inlineStr":
-                node = c.find("m:is", _NS)
-                val = "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t")) if node is not None else None
-            else:
-                v = c.find("m:v", _NS)
-                val = v.text if v is not None else None
-                if val is not None and kind == "s":
-                    val = shared[int(val)]
-                elif val is not None and kind == "b":
-                    val = "TRUE" if val == "1" else "FALSE"
-            cells[idx] = val if val != "" else None
-        width = max(cells) + 1 if cells else 0
-        rows.append([cells.get(i) for i in range(width)])
-    return rows
+    shared = _shared_strings(z)
+    m = f"{{{_NS['m']}}}"
+    with z.open(_first_sheet_path(z, sheet)) as fh:
+        for _, row in ET.iterparse(fh):
+            if row.tag != f"{m}row":
+                continue
+            cells: dict[int, str | None] = {}
+            for pos, c in enumerate(row.findall(f"{m}c")):
+                ref = c.get("r")
+                idx = _col_index(_CELL_REF.match(ref).group(1)) if ref else pos
+                kind = c.get("t")
+                if kind == "inlineStr":
+                    node = c.find(f"{m}is")
+                    val = "".join(t.text or "" for t in node.iter(f"{m}t")) if node is not None else None
+                else:
+                    v = c.find(f"{m}v")
+                    val = v.text if v is not None else None
+                    if val is not None and kind == "s":
+                        val = shared[int(val)]
+                    elif val is not None and kind == "b":
+                        val = "TRUE" if val == "1" else "FALSE"
+                cells[idx] = val if val != "" else None
+            width = max(cells) + 1 if cells else 0
+            yield [cells.get(i) for i in range(width)]
+            row.clear()
+
+
+def parse_xlsx(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
+    """All rows of one sheet (convenience for small workbooks and tests)."""
+    return list(iter_xlsx_rows(data, sheet))
 
 
 def read_workbooks(spark: SparkSession, path: str, schema: T.StructType,
-                   sheet: str | None = None, header: bool = True) -> DataFrame:
+                   sheet: str | None = None, header: bool = True, chunk_rows: int = 10000) -> DataFrame:
     """Workbooks under ``path`` -> rows under ``schema`` (header names map
     columns by name; absent columns are null)."""
     names = [f.name for f in schema.fields]
 
+    def frame(body: list[list[str | None]], pos: dict[str, int]) -> pd.DataFrame:
+        out = {n: [(r[pos[n]] if n in pos and pos[n] < len(r) else None) for r in body] for n in names}
+        return pd.DataFrame(out, columns=names, dtype=object)
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for content in pdf["content"]:
-                rows = parse_xlsx(bytes(content), sheet)
-                if not rows:
-                    continue
+                rows = iter_xlsx_rows(bytes(content), sheet)
                 if header:
-                    head = [h.strip() if h else h for h in rows[0]]
-                    body = rows[1:]
+                    first = next(rows, None)
+                    if first is None:
+                        continue
+                    pos = {h.strip(): i for i, h in enumerate(first) if h}
                 else:
-                    head, body = names, rows
-                pos = {h: i for i, h in enumerate(head) if h}
-                out = {n: [(r[pos[n]] if n in pos and pos[n] < len(r) else None) for r in body]
-                       for n in names}
-                yield pd.DataFrame(out, columns=names, dtype=object)
+                    pos = {n: i for i, n in enumerate(names)}
+                body: list[list[str | None]] = []
+                for r in rows:
+                    body.append(r)
+                    if len(body) >= chunk_rows:
+                        yield frame(body, pos)
+                        body = []
+                if body:
+                    yield frame(body, pos)
 
     ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("content")
     return files.mapInPandas(parse, schema)
 
 
-def _xlsx_bytes(columns: list[str], rows: list[list[str | None]], sheet: str) -> bytes:
-    def cell(ref: str, v: str | None) -> str:
-        if v is None:
-            return ""
-        return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
-
-    lines = []
-    for r, vals in enumerate([columns] + rows, start=1):
-        inner = "".join(cell(f"{_col_letters(i)}{r}", v) for i, v in enumerate(vals))
-        lines.append(f'<row r="{r}">{inner}</row>')
-    sheet_xml = (f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS["m"]}">'
-                 f'<sheetData>{"".join(lines)}</sheetData></worksheet>')
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml",
-                   '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-                   '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-                   '<Default Extension="xml" ContentType="application/xml"/>'
-                   '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
-                   '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-                   '</Types>')
-        z.writestr("_rels/.rels",
-                   '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-                   '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
-                   '</Relationships>')
+_STATIC_PARTS = {
+    "[Content_Types].xml":
+        '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+        '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+        '<Default Extension="xml" ContentType="application/xml"/>'
+        '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+        '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+        '</Types>',
+    "_rels/.rels":
+        '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+        '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/>'
+        '</Relationships>',
+    "xl/_rels/workbook.xml.rels":
+        '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+        '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+        '</Relationships>',
+}
+
+
+def _row_xml(r: int, vals: list[str | None]) -> str:
+    cells = "".join(f'<c r="{_col_letters(i)}{r}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+                    for i, v in enumerate(vals) if v is not None)
+    return f'<row r="{r}">{cells}</row>'
+
+
+def write_xlsx(target: str, columns: list[str], batches: Iterator[list[list[str | None]]],
+               sheet: str = "Sheet1") -> int:
+    """Stream rows into one workbook file (inline strings); returns data rows."""
+    n = 0
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in _STATIC_PARTS.items():
+            z.writestr(name, text)
         z.writestr("xl/workbook.xml",
                    f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{_NS["m"]}" xmlns:r="{_REL_NS}">'
                    f'<sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-        z.writestr("xl/_rels/workbook.xml.rels",
-                   '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-                   '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet1.xml"/>'
-                   '</Relationships>')
-        z.writestr("xl/worksheets/sheet1.xml", sheet_xml)
-    return buf.getvalue()
+        with z.open("xl/worksheets/sheet1.xml", "w") as fh:
+            fh.write(f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{_NS["m"]}"><sheetData>'.encode())
+            fh.write(_row_xml(1, list(columns)).encode())
+            for rows in batches:
+                fh.write("".join(_row_xml(n + 2 + i, r) for i, r in enumerate(rows)).encode())
+                n += len(rows)
+            fh.write(b"</sheetData></worksheet>")
+    return n
 
 
 def write_workbooks(df: DataFrame, path: str, sheet: str = "Sheet1") -> int:
@@ -171,18 +207,17 @@ def write_workbooks(df: DataFrame, path: str, sheet: str = "Sheet1") -> int:
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
-        rows: list[list[str | None]] = []
-        for pdf in batches:
-            rows.extend([[None if pd.isna(v) else str(v) for v in rec] for rec in pdf.itertuples(index=False)])
         part = TaskContext.get().partitionId()
-        if rows:
-            os.makedirs(path, exist_ok=True)
-            target = os.path.join(path, f"part-{part:05d}.xlsx")
-            tmp = target + ".tmp"
-            with open(tmp, "wb") as fh:
-                fh.write(_xlsx_bytes(columns, rows, sheet))
-            os.replace(tmp, target)
-        yield pd.DataFrame({"files": [1 if rows else 0]})
+        os.makedirs(path, exist_ok=True)
+        target = os.path.join(path, f"part-{part:05d}.xlsx")
+        rows_in = ([[None if pd.isna(v) else str(v) for v in rec] for rec in pdf.itertuples(index=False)]
+                   for pdf in batches)
+        n = write_xlsx(target + ".tmp", columns, rows_in, sheet)
+        if n:
+            os.replace(target + ".tmp", target)
+        else:
+            os.remove(target + ".tmp")
+        yield pd.DataFrame({"files": [1 if n else 0]})
 
     ship_package(df.sparkSession)
     out = text.mapInPandas(write, "files int")

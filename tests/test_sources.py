@@ -114,3 +114,11 @@ def test_ingest_columns_use_file_path(spark, tmp_dir):
     df = spark.read.option("header", True).csv(tmp_dir)
     row = B.with_ingest_columns(df).first()
     assert row["_source_file"].endswith("a.csv")
+
+
+def test_workbook_streams_in_chunks(spark, tmp_dir):
+    src = spark.createDataFrame([(f"CH{i:02d}", f"n{i}", None, "sim", None) for i in range(23)],
+                                R.CHANNELS_SCHEMA).coalesce(1)
+    write_workbooks(src, tmp_dir)
+    back = read_workbooks(spark, tmp_dir, R.CHANNELS_SCHEMA, chunk_rows=4)
+    assert sorted(r["id_canal"] for r in back.collect()) == [f"CH{i:02d}" for i in range(23)]
