@@ -44,3 +44,22 @@ assert n > 0, n
 """
     subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, check=True, timeout=300,
                    env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+
+
+def test_results_do_not_depend_on_session_time_zone(tmp_dir):
+    """Parsing and formatting happen in one session zone, so a DST zone gives the oracle's results."""
+    import subprocess
+    import sys
+    code = f"""
+import sys
+sys.path.insert(0, {ROOT!r}); sys.path.insert(0, {os.path.join(ROOT, 'tests')!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')
+         .config('spark.sql.session.timeZone', 'America/New_York').getOrCreate())
+from starloom.plans.catalog import queries, oracle_sql
+from oracle_harness import compare
+for n in ['d01_parse_timestamp', 'gold_fact_entregas']:
+    r = compare(spark, '/root/testdata/sf0.001', n, queries()[n], oracle_sql()[n])
+    assert r['status'] == 'match', r
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, check=True, timeout=300)
