@@ -211,3 +211,30 @@ def _e01(s: Star) -> DataFrame:
 register("e01_flag_counts", q(_e01), O.with_ctes(FLAGGED, " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, flag, count(*) AS n FROM (SELECT unnest(string_split(_dq_flags, '|')) AS flag "
     f"FROM {t} WHERE _dq_flags <> '') GROUP BY flag" for t in FLAGGED)))
+
+
+# F: dedup isolated on the natural duplicates of lineitem ((orderkey, linenumber) is not unique)
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_TIE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+            "l_linestatus", "l_shipdate"]
+
+
+def _f01(s: Star) -> DataFrame:
+    from starloom.operators.dedup import dedup_keep_latest
+    return dedup_keep_latest(s.table("lineitem"), LINE_KEYS, "l_shipdate")
+
+
+def _f02(s: Star) -> DataFrame:
+    from starloom.operators.dedup import dedup_by_rank
+    returned = F.col("l_returnflag") == F.lit("R")  # marker row (returned line) loses
+    return dedup_by_rank(s.table("lineitem"), LINE_KEYS, [returned.asc(), F.col("l_quantity").desc_nulls_last()])
+
+
+def _line_sql(order: list[str]) -> str:
+    cols = ", ".join(LINE_KEYS + LINE_TIE[:-1]) + f", strftime(l_shipdate, '{O.TS_OUT}') AS l_shipdate"
+    return f"SELECT {cols} FROM ({O.dedup('lineitem', LINE_KEYS, order, LINE_TIE)})"
+
+
+register("f01_dedup_latest", q(_f01), _line_sql(["l_shipdate DESC NULLS LAST"]))
+register("f02_dedup_marker", q(_f02), _line_sql(["(l_returnflag = 'R') ASC NULLS FIRST",
+                                                "l_quantity DESC NULLS LAST"]))
