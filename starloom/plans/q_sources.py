@@ -52,9 +52,11 @@ def write_json_array(df: DataFrame, path: str) -> None:
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         target = os.path.join(path, f"part-{part:05d}.json")
+        # one temp file per attempt, hidden (leading dot) so readers never see a partial file
+        tmp = os.path.join(path, f".{os.path.basename(target)}.attempt-{TaskContext.get().taskAttemptId()}.tmp")
         n = 0
         os.makedirs(path, exist_ok=True)
-        with open(target + ".tmp", "w", encoding="utf-8") as fh:
+        with open(tmp, "w", encoding="utf-8") as fh:
             fh.write("[\n")
             for pdf in batches:
                 for doc in pdf["j"]:
@@ -62,9 +64,9 @@ def write_json_array(df: DataFrame, path: str) -> None:
                     n += 1
             fh.write("\n]\n")
         if n:
-            os.replace(target + ".tmp", target)
+            os.replace(tmp, target)
         else:
-            os.remove(target + ".tmp")
+            os.remove(tmp)
         yield pd.DataFrame({"rows": [n]})
 
     ship_package(df.sparkSession)

@@ -210,13 +210,15 @@ def write_workbooks(df: DataFrame, path: str, sheet: str = "Sheet1") -> int:
         part = TaskContext.get().partitionId()
         os.makedirs(path, exist_ok=True)
         target = os.path.join(path, f"part-{part:05d}.xlsx")
+        # one temp file per attempt, hidden (leading dot) so readers never see a partial file
+        tmp = os.path.join(path, f".{os.path.basename(target)}.attempt-{TaskContext.get().taskAttemptId()}.tmp")
         rows_in = ([[None if pd.isna(v) else str(v) for v in rec] for rec in pdf.itertuples(index=False)]
                    for pdf in batches)
-        n = write_xlsx(target + ".tmp", columns, rows_in, sheet)
+        n = write_xlsx(tmp, columns, rows_in, sheet)
         if n:
-            os.replace(target + ".tmp", target)
+            os.replace(tmp, target)
         else:
-            os.remove(target + ".tmp")
+            os.remove(tmp)
         yield pd.DataFrame({"files": [1 if n else 0]})
 
     ship_package(df.sparkSession)
