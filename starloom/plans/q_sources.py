@@ -10,19 +10,17 @@ the oracle is the silver table's oracle.
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import checkpoint_dir, ship_package
+from starloom.session import checkpoint_dir
 from starloom.streaming.incremental import ingest_stream
 from starloom.sources import layers as B
 from starloom.sources import readers as R
+from starloom.sources.writers import write_delimited, write_json_array
 from starloom.sources.workbook import read_workbooks, write_workbooks
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
@@ -34,45 +32,6 @@ def scratch(spark: SparkSession, label: str) -> str:
     return os.path.join(checkpoint_dir(spark), "starloom-io", f"{label}-{uuid.uuid4().hex[:12]}")
 
 
-def write_delimited(df: DataFrame, path: str, sep: str) -> None:
-    """Header text with ``sep``; values written verbatim (no whitespace
-    trimming), null as an empty field, empty string as a quoted ``""``."""
-    (df.write.mode("overwrite").option("header", True).option("sep", sep)
-       .option("quote", '"').option("escape", '"')
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(path))
-
-
-def write_json_array(df: DataFrame, path: str) -> None:
-    """One file per partition holding a single top-level JSON array (the
-    multi-line JSON dump layout); each task writes its own file."""
-    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
-
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
-        target = os.path.join(path, f"part-{part:05d}.json")
-        # one temp file per attempt, hidden (leading dot) so readers never see a partial file
-        tmp = os.path.join(path, f".{os.path.basename(target)}.attempt-{TaskContext.get().taskAttemptId()}.tmp")
-        n = 0
-        os.makedirs(path, exist_ok=True)
-        with open(tmp, "w", encoding="utf-8") as fh:
-            fh.write("[\n")
-            for pdf in batches:
-                for doc in pdf["j"]:
-                    fh.write((",\n" if n else "") + json.dumps(json.loads(doc), ensure_ascii=False, indent=1))
-                    n += 1
-            fh.write("\n]\n")
-        if n:
-            os.replace(tmp, target)
-        else:
-            os.remove(tmp)
-        yield pd.DataFrame({"rows": [n]})
-
-    ship_package(df.sparkSession)
-    js.mapInPandas(write, "rows long").agg(F.sum("rows")).collect()
-
-
 def _silver_oracle(name: str) -> str:
     return O.exported(name, TABLE_COLUMNS[name])
 
