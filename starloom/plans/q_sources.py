@@ -14,7 +14,6 @@ import os
 import uuid
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from starloom.session import checkpoint_dir
 from starloom.streaming.incremental import ingest_stream
