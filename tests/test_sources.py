@@ -122,3 +122,16 @@ def test_workbook_streams_in_chunks(spark, tmp_dir):
     write_workbooks(src, tmp_dir)
     back = read_workbooks(spark, tmp_dir, R.CHANNELS_SCHEMA, chunk_rows=4)
     assert sorted(r["id_canal"] for r in back.collect()) == [f"CH{i:02d}" for i in range(23)]
+
+
+def test_leftover_attempt_files_are_invisible(spark, tmp_dir):
+    """A failed sink attempt leaves only a hidden temp file; readers skip it."""
+    from starloom.sources.writers import write_json_array
+    src = spark.createDataFrame([("CH01", "A", None, "sim", None)], R.CHANNELS_SCHEMA)
+    write_json_array(src, os.path.join(tmp_dir, "json"))
+    write_workbooks(src, os.path.join(tmp_dir, "xlsx"))
+    for sub, name in [("json", ".part-00007.json.attempt-9.tmp"), ("xlsx", ".part-00007.xlsx.attempt-9.tmp")]:
+        with open(os.path.join(tmp_dir, sub, name), "w") as fh:
+            fh.write("[{\"id_canal\": \"BROKEN")   # truncated partial write
+    assert [r["id_canal"] for r in R.read_json_array(spark, os.path.join(tmp_dir, "json"), R.CHANNELS_SCHEMA).collect()] == ["CH01"]
+    assert [r["id_canal"] for r in read_workbooks(spark, os.path.join(tmp_dir, "xlsx"), R.CHANNELS_SCHEMA).collect()] == ["CH01"]
