@@ -69,3 +69,12 @@ def test_kpis_in_range(star):
     k = kpis(star.fact_pedidos).first()
     assert k["receita_liquida"] > 0 and k["ticket_medio"] > 0 and 0 <= k["pct_cancelado"] <= 100
     assert k["qtd_pedidos"] == star.fact_pedidos.count()
+
+
+def test_segmentation_reports_have_groups(star):
+    from starloom.operators import reports as K
+    assert K.revenue_by(star.fact_pedidos, star.dim_vendedor, "seller_id", ["regional_name"]).count() > 1
+    assert K.revenue_by(star.fact_pedidos_itens, star.dim_produto, "product_id", ["category"],
+                        amount="total_item").count() > 1
+    assert K.monthly_revenue(star.fact_pedidos, star.dim_data).count() >= 12
+    assert K.lead_time_by_carrier(star.fact_entregas).count() > 0
