@@ -6,8 +6,10 @@ inside a task with the standard library (``zipfile`` + ``xml.etree``
 on the driver, and a sheet is streamed row by row into bounded pandas
 chunks rather than held as one XML tree.
 Every cell comes back as text under the declared schema; a missing or empty
-cell is null (never NaN).  Shared strings, inline strings and plain numbers
-are supported; date serials and formulas are returned as their stored text.
+cell is null (never NaN).  Shared strings, inline strings, booleans and
+plain numbers are supported; numeric cells styled with a date format become
+'yyyy-MM-dd HH:mm:ss' text (the strict date parser accepts it); formulas
+return their cached value.
 
 Writing (used to produce workbook inputs from data): each partition becomes
 one workbook file, streamed batch by batch into the zip entry by its task
@@ -16,6 +18,7 @@ under a deterministic name, so a retried task overwrites its own file.
 
 from __future__ import annotations
 
+import datetime as _dt
 import io
 import os
 import re
@@ -71,6 +74,37 @@ def _first_sheet_path(z: zipfile.ZipFile, sheet: str | None) -> str:
     return "xl/worksheets/sheet1.xml"
 
 
+# Built-in spreadsheet number-format ids that render as dates/times.
+_BUILTIN_DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
+_EPOCH = _dt.datetime(1899, 12, 30)  # day 0 of the 1900 date system (1900 leap-year bug included)
+
+
+def _is_date_code(code: str) -> bool:
+    """A custom format renders a date if, outside quoted text and [..]
+    sections, it uses day/month/year/hour/second tokens."""
+    bare = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", code or "").lower()
+    return bool(re.search(r"[dmyhs]", bare))
+
+
+def _date_styles(z: zipfile.ZipFile) -> set[int]:
+    """Indexes of cell styles (``s`` attribute) whose number format is a date."""
+    if "xl/styles.xml" not in z.namelist():
+        return set()
+    root = ET.fromstring(z.read("xl/styles.xml"))  # style table: small, bounded by styles not rows
+    date_ids = set(_BUILTIN_DATE_FORMATS)
+    for nf in root.findall("m:numFmts/m:numFmt", _NS):
+        if _is_date_code(nf.get("formatCode")):
+            date_ids.add(int(nf.get("numFmtId")))
+    xfs = root.findall("m:cellXfs/m:xf", _NS)
+    return {i for i, xf in enumerate(xfs) if int(xf.get("numFmtId", "0")) in date_ids}
+
+
+def _serial_to_text(value: str) -> str:
+    """Date serial -> 'yyyy-MM-dd HH:mm:ss' (to the nearest second)."""
+    stamp = _EPOCH + _dt.timedelta(seconds=round(float(value) * 86400))
+    return stamp.strftime("%Y-%m-%d %H:%M:%S")
+
+
 def _shared_strings(z: zipfile.ZipFile) -> list[str]:
     if "xl/sharedStrings.xml" not in z.namelist():
         return []
@@ -88,6 +122,7 @@ def iter_xlsx_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str |
     with ``iterparse`` so a large sheet is never held as one XML tree."""
     z = zipfile.ZipFile(io.BytesIO(data))
     shared = _shared_strings(z)
+    date_styles = _date_styles(z)
     m = f"{{{_NS['m']}}}"
     with z.open(_first_sheet_path(z, sheet)) as fh:
         for _, row in ET.iterparse(fh):
@@ -108,6 +143,9 @@ def iter_xlsx_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str |
                         val = shared[int(val)]
                     elif val is not None and kind == "b":
                         val = "TRUE" if val == "1" else "FALSE"
+                    elif val is not None and kind in (None, "n") and c.get("s") is not None \
+                            and int(c.get("s")) in date_styles:
+                        val = _serial_to_text(val)
                 cells[idx] = val if val != "" else None
             width = max(cells) + 1 if cells else 0
             yield [cells.get(i) for i in range(width)]

@@ -135,3 +135,44 @@ def test_leftover_attempt_files_are_invisible(spark, tmp_dir):
             fh.write("[{\"id_canal\": \"BROKEN")   # truncated partial write
     assert [r["id_canal"] for r in R.read_json_array(spark, os.path.join(tmp_dir, "json"), R.CHANNELS_SCHEMA).collect()] == ["CH01"]
     assert [r["id_canal"] for r in read_workbooks(spark, os.path.join(tmp_dir, "xlsx"), R.CHANNELS_SCHEMA).collect()] == ["CH01"]
+
+
+def _styled_workbook() -> bytes:
+    ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}" xmlns:r="{rel}"><sheets>'
+                   f'<sheet name="clientes" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet xmlns="{ns}">'
+                   '<numFmts count="2"><numFmt numFmtId="164" formatCode="dd/mm/yyyy hh:mm"/>'
+                   '<numFmt numFmtId="165" formatCode="&quot;day&quot; 0.00"/></numFmts>'
+                   '<cellXfs count="4"><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/>'
+                   '</cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{ns}"><sheetData>'
+                   '<row r="1"><c r="A1" t="inlineStr"><is><t>customer_id</t></is></c>'
+                   '<c r="B1" t="inlineStr"><is><t>data_cadastro</t></is></c>'
+                   '<c r="C1" t="inlineStr"><is><t>updated_at</t></is></c>'
+                   '<c r="D1" t="inlineStr"><is><t>cidade</t></is></c></row>'
+                   '<row r="2"><c r="A2" t="inlineStr"><is><t>c0001</t></is></c>'
+                   '<c r="B2" s="1"><v>45678</v></c><c r="C2" s="2"><v>45678.5</v></c>'
+                   '<c r="D2" s="3"><v>42</v></c></row>'
+                   '</sheetData></worksheet>')
+    return buf.getvalue()
+
+
+def test_workbook_date_cells_become_parseable_text(spark, tmp_dir):
+    data = _styled_workbook()
+    rows = parse_xlsx(data)
+    assert rows[1] == ["c0001", "2025-01-21 00:00:00", "2025-01-21 12:00:00", "42"]
+    with open(os.path.join(tmp_dir, "crm.xlsx"), "wb") as fh:
+        fh.write(data)
+    raw = read_workbooks(spark, tmp_dir, R.CUSTOMERS_SCHEMA)
+    out = S.silver_customers(raw).collect()[0]
+    import datetime as dt
+    assert out["data_cadastro"] == dt.date(2025, 1, 21)
+    assert out["updated_at"].strftime("%Y-%m-%d %H:%M:%S") == "2025-01-21 12:00:00"
+    assert out["customer_id"] == "C0001" and out["cidade"] == "42"
