@@ -77,6 +77,7 @@ def _first_sheet_path(z: zipfile.ZipFile, sheet: str | None) -> str:
 # Built-in spreadsheet number-format ids that render as dates/times.
 _BUILTIN_DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 _EPOCH = _dt.datetime(1899, 12, 30)  # day 0 of the 1900 date system (1900 leap-year bug included)
+_EPOCH_1904 = _dt.datetime(1904, 1, 1)  # day 0 when the workbook sets date1904
 
 
 def _is_date_code(code: str) -> bool:
@@ -99,9 +100,15 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return {i for i, xf in enumerate(xfs) if int(xf.get("numFmtId", "0")) in date_ids}
 
 
-def _serial_to_text(value: str) -> str:
+def _date_epoch(z: zipfile.ZipFile) -> _dt.datetime:
+    pr = ET.fromstring(z.read("xl/workbook.xml")).find("m:workbookPr", _NS)
+    flag = (pr.get("date1904") if pr is not None else None) or "0"
+    return _EPOCH_1904 if flag.lower() in ("1", "true") else _EPOCH
+
+
+def _serial_to_text(value: str, epoch: _dt.datetime = _EPOCH) -> str:
     """Date serial -> 'yyyy-MM-dd HH:mm:ss' (to the nearest second)."""
-    stamp = _EPOCH + _dt.timedelta(seconds=round(float(value) * 86400))
+    stamp = epoch + _dt.timedelta(seconds=round(float(value) * 86400))
     return stamp.strftime("%Y-%m-%d %H:%M:%S")
 
 
@@ -123,6 +130,7 @@ def iter_xlsx_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str |
     z = zipfile.ZipFile(io.BytesIO(data))
     shared = _shared_strings(z)
     date_styles = _date_styles(z)
+    epoch = _date_epoch(z) if date_styles else _EPOCH
     m = f"{{{_NS['m']}}}"
     with z.open(_first_sheet_path(z, sheet)) as fh:
         for _, row in ET.iterparse(fh):
@@ -145,7 +153,7 @@ def iter_xlsx_rows(data: bytes, sheet: str | None = None) -> Iterator[list[str |
                         val = "TRUE" if val == "1" else "FALSE"
                     elif val is not None and kind in (None, "n") and c.get("s") is not None \
                             and int(c.get("s")) in date_styles:
-                        val = _serial_to_text(val)
+                        val = _serial_to_text(val, epoch)
                 cells[idx] = val if val != "" else None
             width = max(cells) + 1 if cells else 0
             yield [cells.get(i) for i in range(width)]

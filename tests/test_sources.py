@@ -137,12 +137,13 @@ def test_leftover_attempt_files_are_invisible(spark, tmp_dir):
     assert [r["id_canal"] for r in read_workbooks(spark, os.path.join(tmp_dir, "xlsx"), R.CHANNELS_SCHEMA).collect()] == ["CH01"]
 
 
-def _styled_workbook() -> bytes:
+def _styled_workbook(date1904: bool = False) -> bytes:
     ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     buf = io.BytesIO()
     with zipfile.ZipFile(buf, "w") as z:
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}" xmlns:r="{rel}"><sheets>'
+        pr = '<workbookPr date1904="1"/>' if date1904 else ""
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{ns}" xmlns:r="{rel}">{pr}<sheets>'
                    f'<sheet name="clientes" sheetId="1" r:id="rId1"/></sheets></workbook>')
         z.writestr("xl/_rels/workbook.xml.rels",
                    '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
@@ -176,3 +177,8 @@ def test_workbook_date_cells_become_parseable_text(spark, tmp_dir):
     assert out["data_cadastro"] == dt.date(2025, 1, 21)
     assert out["updated_at"].strftime("%Y-%m-%d %H:%M:%S") == "2025-01-21 12:00:00"
     assert out["customer_id"] == "C0001" and out["cidade"] == "42"
+
+
+def test_workbook_1904_date_system():
+    rows = parse_xlsx(_styled_workbook(date1904=True))
+    assert rows[1][1] == "2029-01-22 00:00:00"   # same serial, 1462 days later
