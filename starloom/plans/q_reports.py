@@ -438,3 +438,36 @@ register("l13_flatten_nested", q(lambda s: L.flatten(s.raw_deliveries)), O.with_
 SELECT delivery_id, order_ref, delivery_status, cost, carrier_name AS carrier_name, carrier_mode AS carrier_mode,
   shipped_at AS timestamps_shipped_at, delivered_at AS timestamps_delivered_at,
   dest_state AS destination_state, dest_city AS destination_city FROM raw_deliveries"""))
+
+
+def _l06b(s: Star):
+    return (L.numeric_issues(s.raw_orders, "gross_amount", null_is_bad=True)
+            .select(F.lit("raw_orders").alias("table_name"), F.lit("gross_amount").alias("column_name"), "*")
+            .unionByName(L.numeric_issues(s.raw_items, "quantity", null_is_bad=True)
+                         .select(F.lit("raw_items").alias("table_name"), F.lit("quantity").alias("column_name"), "*")))
+
+
+def _l06b_sql(t: str, c: str) -> str:
+    num = f"TRY_CAST(trim({c}) AS DOUBLE)"
+    return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
+            f"{cif(f'{num} IS NULL')} AS n_non_numeric, "
+            f"{cif(f'contains({c}, {chr(39)},{chr(39)})')} AS n_comma_decimal, {cif(f'{num} < 0')} AS n_negative FROM {t}")
+
+
+# L6 with the other convention: a missing value counts as non-numeric.
+register("l06b_numeric_issues_null_as_bad", q(_l06b), O.with_ctes(
+    ["raw_orders", "raw_items"], _l06b_sql("raw_orders", "gross_amount") + " UNION ALL " + _l06b_sql("raw_items", "quantity")))
+
+
+def _l14(s: Star):
+    # L5 on a composite key: order id compared case-insensitively, plus item sequence and product code.
+    key = F.struct(F.upper(F.col("order_id")).alias("o"), F.col("item_seq").alias("i"), F.col("product_code").alias("p"))
+    dups = L.duplicate_rows(s.raw_items, key, "dup_key")
+    return dups.select("order_id", "item_seq", "product_code", "quantity", "n_copies")
+
+
+register("l14_duplicate_composite_keys", q(_l14), O.with_ctes(["raw_items"], """
+SELECT r.order_id, r.item_seq, r.product_code, r.quantity, c.n_copies
+FROM raw_items r JOIN (SELECT upper(order_id) AS o, item_seq AS i, product_code AS p, count(*) AS n_copies
+                       FROM raw_items GROUP BY 1, 2, 3 HAVING count(*) > 1) c
+  ON upper(r.order_id) = c.o AND r.item_seq = c.i AND r.product_code = c.p"""))
