@@ -471,3 +471,12 @@ SELECT r.order_id, r.item_seq, r.product_code, r.quantity, c.n_copies
 FROM raw_items r JOIN (SELECT upper(order_id) AS o, item_seq AS i, product_code AS p, count(*) AS n_copies
                        FROM raw_items GROUP BY 1, 2, 3 HAVING count(*) > 1) c
   ON upper(r.order_id) = c.o AND r.item_seq = c.i AND r.product_code = c.p"""))
+
+
+# L12, second form: the first ten distinct case variants of a key, in sorted order.
+register("l12b_first_distinct_case_variants",
+         q(lambda s: s.raw_items.where(F.upper(F.col("product_code")) != F.col("product_code"))
+           .select("product_code").distinct().orderBy("product_code").limit(10)),
+         O.with_ctes(["raw_items"], """
+SELECT DISTINCT product_code FROM raw_items WHERE upper(product_code) <> product_code
+ORDER BY product_code LIMIT 10"""))
