@@ -475,8 +475,8 @@ FROM raw_items r JOIN (SELECT upper(order_id) AS o, item_seq AS i, product_code
 
 # L12, second form: the first ten distinct case variants of a key, in sorted order.
 register("l12b_first_distinct_case_variants",
-         q(lambda s: s.raw_items.where(F.upper(F.col("product_code")) != F.col("product_code"))
-           .select("product_code").distinct().orderBy("product_code").limit(10)),
+         q(lambda s: s.raw_items.where(F.upper(F.col("order_id")) != F.col("order_id"))
+           .select("order_id").distinct().orderBy("order_id").limit(10)),
          O.with_ctes(["raw_items"], """
-SELECT DISTINCT product_code FROM raw_items WHERE upper(product_code) <> product_code
-ORDER BY product_code LIMIT 10"""))
+SELECT DISTINCT order_id FROM raw_items WHERE upper(order_id) <> order_id
+ORDER BY order_id LIMIT 10"""))
