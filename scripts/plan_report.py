@@ -77,5 +77,24 @@ def main():
         print(f"- scans: {', '.join(s['scans'])}\n")
 
 
+def flagship(sf: str) -> None:
+    """Full final plan tree of the flagship query (k10), operator lines only."""
+    spark = get_session()
+    df = queries()["k10_segment_kpis"](spark, sf)
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    if "== Final Plan ==" in plan:
+        plan = plan.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
+    lines = [re.sub(r"#\d+L?", "", ln)[:150] for ln in plan.splitlines() if ln.strip()]
+    print("## Flagship (k10_segment_kpis) final physical plan\n")
+    print("```")
+    print("\n".join(lines))
+    print("```")
+
+
 if __name__ == "__main__":
     main()
+    flagship(sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1")
