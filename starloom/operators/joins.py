@@ -38,20 +38,26 @@ def with_key_exists(df: DataFrame, key_col: str, keys: DataFrame, keys_col: str,
     false if not, null when the key itself is null (``IN`` semantics).
 
     The key side is de-duplicated first so the join can never multiply rows.
-    Rows with a null key carry a spread salt (the key side's salt is 0), so
-    a table where a third of the keys are null does not send that third to
-    one reducer; a hot non-null key is split by AQE's skew-join handling.
+    The join key is ``struct(key, salt)``: salt 0 for every present key (and
+    on the key side), a spread bucket for a null key.  Being one struct
+    expression, the salt stays part of the shuffle's hash key (a separate
+    ``salt = 0`` condition would be constant-folded out of it), so a table
+    where a third of the keys are null spreads those rows over
+    ``null_spread`` partitions instead of one reducer; they still never
+    match.  A hot non-null key is split by AQE's skew-join handling.
+    The key side is cast to the type of ``df.key_col``.
     """
-    key_side = (keys.select(F.col(keys_col).alias(_K))
+    key_type = df.schema[key_col].dataType
+    key_side = (keys.select(F.col(keys_col).cast(key_type).alias(_K))
                 .where(F.col(_K).isNotNull())
                 .distinct()
-                .withColumn(_KSALT, F.lit(0))
-                .withColumn(_HIT, F.lit(True)))
-    salted = df.withColumn(_SALT, _null_salt(df, key_col, null_spread))
-    cond = (salted[key_col] == key_side[_K]) & (salted[_SALT] == key_side[_KSALT])
-    joined = salted.join(key_side, cond, "left")
+                .select(F.struct(F.col(_K).alias("k"), F.lit(0).cast("long").alias("s")).alias(_KSALT),
+                        F.lit(True).alias(_HIT)))
+    salted = df.withColumn(_SALT, F.struct(F.col(key_col).alias("k"),
+                                           _null_salt(df, key_col, null_spread).cast("long").alias("s")))
+    joined = salted.join(key_side, salted[_SALT] == key_side[_KSALT], "left")
     return (joined.withColumn(out_col, F.when(F.col(key_col).isNotNull(), F.col(_HIT).isNotNull()))
-                  .drop(_K, _HIT, _SALT, _KSALT))
+                  .drop(_HIT, _SALT, _KSALT))
 
 
 def resolve_fk(key: Column | str, exists: Column | str, unknown: str) -> Column:

@@ -70,3 +70,52 @@ def test_duplicate_listing_and_grain_check_under_skew(spark):
 def test_session_enables_skew_handling(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_hot_key_join_partition_is_split_by_aqe(spark):
+    """With broadcast off and skew thresholds at test scale, AQE splits the
+    hot key's partition of the existence join (SortMergeJoin skew=true)."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = _skewed(spark).where(F.col("k").isNotNull())
+        keys = df.select(F.col("k").alias("key")).distinct()
+        out = with_key_exists(df, "k", keys, "key", "exists")
+        rows = out.groupBy("exists").agg(F.count(F.lit(1)).alias("n")).collect()
+        assert {r["exists"]: r["n"] for r in rows} == {True: 2 * N // 3}
+        counted = with_key_exists(df, "k", keys, "key", "exists")
+        counted.collect()
+        assert "skew=true" in _plan(counted)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_null_key_rows_spread_over_partitions(spark):
+    """The salt is part of the shuffle key: null-key rows land in many partitions."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold",
+                                                 "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        df = _skewed(spark)
+        keys = df.select(F.col("k").alias("key")).distinct()
+        out = with_key_exists(df, "k", keys, "key", "exists")
+        spread = (out.where(F.col("k").isNull()).select(F.spark_partition_id().alias("p"))
+                  .distinct().count())
+        assert spread > 1
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
