@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import orphans
+
 Check = tuple[str, str, DataFrame]
 
 
@@ -41,8 +43,7 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
 
 def referential(df: DataFrame, col: str, dim: DataFrame, dim_col: str) -> DataFrame:
     """Rows whose key has no dimension row (null keys count)."""
-    keys = dim.select(F.col(dim_col).alias("_k")).distinct()
-    return df.join(keys, df[col] == keys["_k"], "left_anti").agg(F.count(F.lit(1)).alias("violations"))
+    return orphans(df.select(col), col, dim, dim_col).agg(F.count(F.lit(1)).alias("violations"))
 
 
 def forbidden_value(df: DataFrame, col: str, value) -> DataFrame:

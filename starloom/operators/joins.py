@@ -24,12 +24,16 @@ NULL_SPREAD = 256
 
 
 def _null_salt(df: DataFrame, key_col: str, buckets: int) -> Column:
-    """0 for a present key; for a null key a deterministic bucket from the
-    row's atomic content, so null-key rows (which can never match) spread
-    over ``buckets`` shuffle partitions instead of all hashing to one."""
+    """0 for a present key; for a null key a bucket from the input partition
+    index and the row's atomic content, so null-key rows (which can never
+    match) spread over ``buckets`` shuffle partitions instead of all hashing
+    to one.  The partition index spreads even identical copies that arrive
+    in different input partitions, and a retried map task sees the same
+    index and rows, so the shuffle output is reproducible."""
     atomic = [F.col(f"`{f.name}`") for f in df.schema.fields
               if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.when(F.col(key_col).isNull(), F.pmod(F.xxhash64(*atomic), F.lit(buckets))).otherwise(F.lit(0))
+    bucket = F.pmod(F.xxhash64(F.spark_partition_id(), *atomic), F.lit(buckets))
+    return F.when(F.col(key_col).isNull(), bucket).otherwise(F.lit(0))
 
 
 def with_key_exists(df: DataFrame, key_col: str, keys: DataFrame, keys_col: str,
@@ -68,6 +72,10 @@ def resolve_fk(key: Column | str, exists: Column | str, unknown: str) -> Column:
 
 
 def orphans(df: DataFrame, key_col: str, dim: DataFrame, dim_col: str) -> DataFrame:
-    """Rows whose key has no match in ``dim`` (null keys count as orphans)."""
-    return df.join(dim.select(F.col(dim_col).alias(_K)).distinct(),
-                   F.col(key_col) == F.col(_K), "left_anti")
+    """Rows whose key has no match in ``dim`` (null keys count as orphans).
+
+    Same result as a left-anti join, but through :func:`with_key_exists`, so
+    null-key rows are spread over partitions instead of one reducer."""
+    flag = "__starloom_exists"
+    return (with_key_exists(df, key_col, dim, dim_col, flag)
+            .where(~F.coalesce(F.col(flag), F.lit(False))).drop(flag))

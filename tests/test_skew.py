@@ -119,3 +119,32 @@ def test_null_key_rows_spread_over_partitions(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_orphans_match_left_anti(spark):
+    from starloom.operators.joins import orphans
+    df = _skewed(spark)
+    dim = spark.createDataFrame([("HOT",), ("K5",)], "key string")
+    ours = sorted(map(tuple, orphans(df, "k", dim, "key").collect()), key=repr)
+    anti = sorted(map(tuple, df.join(dim, df["k"] == dim["key"], "left_anti").collect()), key=repr)
+    assert ours == anti and len(ours) > N // 3
+
+
+def test_identical_null_key_copies_spread(spark):
+    """A third of the rows are identical copies with a null key: still spread."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                 "spark.sql.adaptive.autoBroadcastJoinThreshold",
+                                                 "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k in old:
+            spark.conf.set(k, "false" if k.endswith("enabled") else "-1")
+        df = spark.range(0, 30000, numPartitions=12).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("id").cast("string")).alias("k"))
+        keys = df.select(F.col("k").alias("key")).distinct()
+        out = with_key_exists(df, "k", keys, "key", "exists")
+        nulls = out.where(F.col("k").isNull())
+        assert nulls.count() == 10000
+        assert nulls.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
