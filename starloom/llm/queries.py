@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import quality_rules, secret_scan
+from starloom.llm import pii, quality_rules, secret_scan
 from starloom.llm.common import load
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +17,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(load(spark, sf_dir, "documents"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(load(spark, sf_dir, "documents")))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(load(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op8_secret_scan)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op8_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL}
