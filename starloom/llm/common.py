@@ -20,12 +20,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the checkpoint folder that the cluster shares."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/starloom-llm/{label}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder and read
     back: cuts the lineage at files that every executor can read, so a lost
     executor costs no recomputation of what lies before."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/starloom-llm/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -37,10 +42,11 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
 
-def bounded_sample(df: DataFrame, rows: int, fraction: float = 0.2, seed: int = 7) -> DataFrame:
-    """At most ``rows`` rows for fitting: a seeded sample, cut by a limit that
-    reads only as many partitions as it needs."""
-    return df.sample(fraction=fraction, seed=seed).limit(rows)
+def bounded_sample(df: DataFrame, rows: int, seed: int = 7) -> DataFrame:
+    """At most ``rows`` rows for fitting: a seeded sample whose fraction follows
+    the number of rows, so that no task gathers more than a few rows beyond them."""
+    n = df.count()
+    return df.sample(fraction=min(1.0, 1.2 * rows / max(n, 1)), seed=seed).limit(rows)
 
 
 def text_words(text: str) -> list[bytes]:

@@ -7,12 +7,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import pii, quality_rules, secret_scan
-from starloom.llm.common import load
+from starloom.llm import pii, quality_rules, secret_scan, token_store
+from starloom.llm.common import load, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine of the cluster."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(load(spark, sf_dir, "documents"))
 
@@ -21,10 +27,16 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(load(spark, sf_dir, "documents")))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_store.write_token_files(load(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=1)
+    return token_store.index_and_checksums(spark, path)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(load(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op8_secret_scan)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op7_token_files, op8_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL}

@@ -148,7 +148,7 @@ def _prose_scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fit_prose(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[tuple[str, int], tuple[float, float]]:
     """Mean and deviation of prose scores by encoding and length class, from
     at most ``sample_rows`` rows."""
-    sample = bounded_sample(docs.select("text"), sample_rows, fraction=0.05)
+    sample = bounded_sample(docs.select("text"), sample_rows)
     stats = (sample.mapInPandas(_prose_scores, "encoding string, class int, score double")
              .groupBy("encoding", "class")
              .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("sd"), F.count("*").alias("n")))
