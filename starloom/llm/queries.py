@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import mixing, pii, quality_rules, secret_scan, token_store
+from starloom.llm import mixing, pii, quality_rules, secret_scan, token_store, toxicity
 from starloom.llm.common import load, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.detect(load(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(load(spark, sf_dir, "documents"))
 
@@ -41,6 +45,6 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(load(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op5_mixing, op7_token_files, op8_secret_scan)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op7_token_files, op8_secret_scan)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql()}
