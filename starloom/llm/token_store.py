@@ -23,6 +23,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -129,6 +130,12 @@ class Encoder:
         return np.split(ids, np.concatenate([[0], end])[last][:-1])
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder, kept from task to task with the words it remembers."""
+    return Encoder(path)
+
+
 def id_type(vocabulary: int) -> str:
     """Little-endian unsigned, as narrow as the vocabulary allows."""
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -152,7 +159,7 @@ BLOCK = ("part int, block int, first_id long, last_id long, dictionary string, i
 
 def _ids_of(path: str, end_id: int, kind: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for pdf in batches:
             yield pd.DataFrame({"ids": [np.append(a, end_id).astype(kind).tobytes() for a in encoder.encode(pdf["text"].tolist())]})
     return run
@@ -160,7 +167,7 @@ def _ids_of(path: str, end_id: int, kind: str):
 
 def _blocks(path: str, end_id: int, kind: str, data: bytes, name: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         squeeze = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data), write_checksum=True)
         part, block = TaskContext.get().partitionId(), 0
         frames, ids, sizes, held = [], [], [], 0
