@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -239,12 +240,18 @@ class PieceSampler:
         return text[1:] if self.prefix else text
 
 
+@lru_cache(maxsize=2)
+def sampler_of(model: str, smoothing: float, seed: int) -> PieceSampler:
+    """The worker's sampler, kept from task to task with the words it remembers."""
+    return PieceSampler(model, smoothing, seed)
+
+
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",
            smoothing: float = SMOOTHING, seed: int = 0) -> DataFrame:
     """doc_id, ids (sampled pieces), n_pieces, ids_crc32 (of the ids as little-endian
     32-bit integers) and lossless (decoding gives the text back) of every row."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sampler = PieceSampler(model, smoothing, seed)
+        sampler = sampler_of(model, smoothing, seed)
 
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
             texts = pdf["text"].tolist()
