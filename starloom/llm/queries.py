@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import mixing, pii, piece_sampling, quality_rules, secret_scan, token_store, toxicity
+from starloom.llm import mixing, ngram_join, pii, piece_sampling, quality_rules, secret_scan, token_store, toxicity
 from starloom.llm.common import load, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,11 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.encode(load(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op7_token_files, op8_secret_scan,
-                                                          op9_sentencepiece)}
+                                                          op9_sentencepiece, op10_ngram_join)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql()}
