@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import mixing, ngram_join, pii, piece_sampling, quality_rules, secret_scan, token_store, toxicity
+from starloom.llm import ann, mixing, ngram_join, pii, piece_sampling, quality_rules, secret_scan, token_store, toxicity
 from starloom.llm.common import load, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +20,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(load(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(load(spark, sf_dir, "documents"))
 
@@ -53,7 +58,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op7_token_files, op8_secret_scan,
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_nearest, op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op7_token_files, op8_secret_scan,
                                                           op9_sentencepiece, op10_ngram_join)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql()}
