@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, mixing, ngram_join, pii, piece_sampling, quality_rules, secret_scan, token_store, toxicity
+from starloom.llm import ann, mixing, ngram_join, pii, piece_sampling, quality_eb, quality_rules, secret_scan, token_store, toxicity
 from starloom.llm.common import load, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(load(spark, sf_dir, "documents"))
 
 
+def op6_quality_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_eb.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), host_col="source", path_col="lang")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_store.write_token_files(load(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=1)
@@ -58,7 +62,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(load(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_nearest, op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op7_token_files, op8_secret_scan,
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_nearest, op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op6_quality_sites, op7_token_files, op8_secret_scan,
                                                           op9_sentencepiece, op10_ngram_join)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql()}
