@@ -34,18 +34,24 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block, slots of a shard, documents of a hash range, rounds of the shuffle, cells of the draw.
 BLOCK, SHARD, RANGE, ROUNDS, CELLS = 32, 4096, 20_000, 12, 1024
-#: Modulus (prime) and multipliers of the counters' hash.
-P, A, C = 2147483647, 1103515245, 12345
+#: Slots of a task, at most about.
+TASK_SLOTS = 1 << 20
+#: The counters' hash works on 31 bits: mask, odd multipliers, step between salts.
+BITS, MASK, M1, M2, SALT = 31, (1 << 31) - 1, 1103515245, 1566083941, 1640531527
+WIDEST = (1 << 63) - 1
+
+
+def _shifted(x: Column, by: int) -> Column:
+    return x.bitwiseXOR(F.shiftright(x, by))
 
 
 def mix(x: Column, salt: int = 0) -> Column:
-    """A number below P from a counter: the permutation polynomial y^5 of an
-    affine image (5 does not divide P - 1), twice."""
-    for k in (1, 2):
-        y = F.pmod(F.pmod(x, F.lit(P)) * F.lit(A) + F.lit(C * k + salt * 7919), F.lit(P))
-        square = (y * y) % P
-        x = (((square * square) % P) * y) % P
-    return x
+    """31 hashed bits of a counter: shifts and odd multiplications, each of
+    which maps the 31-bit numbers onto themselves."""
+    t = (_shifted(x.bitwiseAND(F.lit(WIDEST)), BITS).bitwiseAND(F.lit(MASK)) + F.lit(salt * SALT % MASK)).bitwiseAND(F.lit(MASK))
+    for by, factor in ((15, M1), (13, M2)):
+        t = (_shifted(t, by) * F.lit(factor)).bitwiseAND(F.lit(MASK))
+    return _shifted(t, 16)
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -82,7 +88,7 @@ def _placed(sized: DataFrame, sources: DataFrame, rows: int) -> DataFrame:
     """Each document with its first word's place among the words of its source."""
     ranges = max(1, rows // RANGE)
     at = sized.join(sources.select("sid", "source"), sized["source"].eqNullSafe(sources["source"])).select(
-        "sid", "doc_id", "size", "text_hash", "h", F.floor(F.col("h") * ranges / P).alias("range"))
+        "sid", "doc_id", "size", "text_hash", "h", F.shiftright(F.col("h") * ranges, BITS).alias("range"))
     before = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = at.groupBy("sid", "range").agg(F.sum("size").alias("n")).select(
         "sid", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("range_start"))
@@ -94,19 +100,20 @@ def _placed(sized: DataFrame, sources: DataFrame, rows: int) -> DataFrame:
 
 
 def _keys(sid: Column, epoch: Column, n: Column) -> Column:
-    """Partner sums and hash offsets of the shuffle's rounds."""
+    """Partner sums and hash salts of the shuffle's rounds, one after the other."""
     def of(r):
         seed = sid.cast("long") * 1000003 + epoch * 10007 + r * 101
-        return F.struct(F.pmod(mix(seed) * 32768 + mix(seed, 1), n).alias("k"), mix(seed, 2).alias("c"))
-    return F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), of)
+        return F.struct(F.pmod(mix(seed) * 32768 + mix(seed, 1).bitwiseAND(F.lit(32767)), n).alias("k"), mix(seed, 2).alias("c"))
+    return F.transform(F.sequence(F.lit(1).cast("long"), F.lit(ROUNDS).cast("long")), of)
 
 
 def _shuffled(x: Column, n: Column, keys: Column) -> Column:
     """Swap-or-not: in each round x and its partner (k - x) mod n stay or swap by one hashed bit of the larger."""
     def step(at, key):
-        partner = F.pmod(key["k"] - at, n)
-        y = F.pmod(F.pmod(F.greatest(at, partner), F.lit(P)) * F.lit(A) + key["c"], F.lit(P))
-        return F.when((y * y) % P * 2 >= P, partner).otherwise(at)
+        partner = F.when(key["k"] >= at, key["k"] - at).otherwise(key["k"] - at + n)
+        top = F.greatest(at, partner)
+        t = _shifted(top, BITS).bitwiseXOR(key["c"]).bitwiseAND(F.lit(MASK))
+        return F.when((_shifted(t, 15) * F.lit(M1)).bitwiseAND(F.lit(MASK)) > F.lit(MASK // 2), partner).otherwise(at)
     return F.aggregate(keys, x, step)
 
 
@@ -120,9 +127,10 @@ def slots(sources: DataFrame, total_slots: int, shard_slots: int = SHARD) -> Dat
     width = max(1, -(-total_slots // CELLS))
     cells = odds.select("sid", "low", "high", F.explode(F.sequence(
         F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))).alias("cell"))
-    draws = spark.range(total_slots).select(
-        F.floor(F.col("id") / shard_slots).alias("shard"),
-        F.pmod(mix(F.col("id"), 3) * 32768 + F.pmod(mix(F.col("id"), 4), F.lit(32768)), F.lit(total_slots)).alias("u"))
+    tasks = max(spark.sparkContext.defaultParallelism, total_slots // TASK_SLOTS)
+    draws = spark.range(0, total_slots, 1, tasks).select(
+        F.floor(F.col("id") / shard_slots).alias("shard"), mix(F.col("id"), 3).alias("a"), mix(F.col("id"), 4).alias("b"))
+    draws = draws.select("shard", F.pmod(F.col("a") * (MASK + 1) + F.col("b"), F.lit(total_slots)).alias("u"))
     counts = (draws.withColumn("cell", F.floor(F.col("u") / width)).join(cells, "cell")
               .filter("u >= low AND u < high").groupBy("shard", "sid").agg(F.count("*").alias("n")))
     before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -139,10 +147,10 @@ def slots(sources: DataFrame, total_slots: int, shard_slots: int = SHARD) -> Dat
         F.sequence(F.floor(F.col("first") / F.col("blocks")), F.floor((F.col("upto") - 1) / F.col("blocks"))),
         lambda e: F.struct(e.alias("epoch"), F.greatest(F.col("first"), e * F.col("blocks")).alias("a"),
                            F.least(F.col("upto"), (e + 1) * F.col("blocks")).alias("b")))).alias("r"))
-    return (runs.select("shard", "sid", "blocks", "r.epoch", "r.a", "r.b",
-                        _keys(F.col("sid"), F.col("r.epoch"), F.col("blocks")).alias("keys"))
-            .select("shard", "sid", "blocks", "epoch", "keys", F.explode(F.sequence("a", F.col("b") - 1)).alias("q"))
-            .select("shard", "sid", "epoch", _shuffled(F.pmod("q", "blocks"), F.col("blocks"), F.col("keys")).alias("block")))
+    runs = runs.select("shard", "sid", "blocks", "r.epoch", "r.a", "r.b",
+                       _keys(F.col("sid"), F.col("r.epoch"), F.col("blocks")).alias("keys"))
+    numbers = runs.repartition(tasks, "shard", "sid", "epoch").withColumn("q", F.explode(F.sequence("a", F.col("b") - 1)))
+    return numbers.select("shard", "sid", "epoch", _shuffled(F.pmod("q", "blocks"), F.col("blocks"), F.col("keys")).alias("block"))
 
 
 class Mix:
@@ -215,10 +223,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def _sql_mix(x: str, salt: int = 0) -> str:
-    for k in (1, 2):
-        y = f"(((({x}) % {P} + {P}) % {P}) * {A} + {C * k + salt * 7919}) % {P}"
-        x = f"list_transform([{y}], lambda y: ((((y * y) % {P}) * ((y * y) % {P})) % {P} * y) % {P})[1]"
-    return x
+    t = f"((xor(({x}) & {WIDEST}, (({x}) & {WIDEST}) >> {BITS}) & {MASK}) + {salt * SALT % MASK}) & {MASK}"
+    for by, factor in ((15, M1), (13, M2)):
+        t = f"list_transform([{t}], lambda t: (xor(t, t >> {by}) * {factor}) & {MASK})[1]"
+    return f"list_transform([{t}], lambda t: xor(t, t >> 16))[1]"
 
 
 def sql() -> str:
@@ -230,10 +238,10 @@ def sql() -> str:
     for r in range(1, ROUNDS + 1):
         s = seed.format(r=r)
         steps.append(
-            f"k{r} AS (SELECT sid, n, epoch, x, (({_sql_mix(s)} * 32768 + {_sql_mix(s, 1)}) % n - x + n) % n AS o, "
+            f"k{r} AS (SELECT sid, n, epoch, x, (({_sql_mix(s)} * 32768 + ({_sql_mix(s, 1)} & 32767)) % n - x + n) % n AS o, "
             f"{_sql_mix(s, 2)} AS c FROM p{r - 1}), "
-            f"p{r} AS (SELECT sid, n, epoch, CASE WHEN (y * y) % {P} * 2 >= {P} THEN o ELSE x END AS x FROM "
-            f"(SELECT *, ((greatest(x, o) % {P}) * {A} + c) % {P} AS y FROM k{r}))")
+            f"p{r} AS (SELECT sid, n, epoch, CASE WHEN (xor(t, t >> 15) * {M1}) & {MASK} > {MASK // 2} THEN o ELSE x END AS x FROM "
+            f"(SELECT *, xor(xor(greatest(x, o), greatest(x, o) >> {BITS}), c) & {MASK} AS t FROM k{r}))")
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, {_sql_mix('coalesce(doc_id, -1)')} AS h,
                   coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size FROM documents),
