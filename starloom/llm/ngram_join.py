@@ -16,9 +16,11 @@ no look.  Candidates are settled in three steps: (1) within each prefix
 shingle, all holders against one pivot; (2) in shingles with many holders left
 in different components, all smaller components against the largest one and
 each other, in blocks; (3) all pairs that are left, under the multi-match
-rule.  Each step verifies whole sets and merges components.  Together they
-decide every pair that the prefixes admit, without emitting the pairs of a
-large group as rows.
+rule.  Pairs pass a parity bitmap first (its Hamming distance never exceeds
+the symmetric difference, so it drops no link), which spares most of them the
+fetching of their sets; each step then verifies whole sets and merges
+components.  Together they decide every pair that the prefixes admit, without
+emitting the pairs of a large group as rows.
 
 Nothing grows on the driver: the sketch has a fixed size and a bitmap of the
 documents to fetch too.
@@ -64,7 +66,7 @@ def shingler_of(words: int) -> "Shingler":
 class Shingler:
     """Sorted distinct shingle hashes of texts; hashes of words are remembered."""
 
-    def __init__(self, words: int = WORDS, remembered: int = 500_000):
+    def __init__(self, words: int = WORDS, remembered: int = 200_000):
         self.words, self.remembered, self.known = words, remembered, {}
 
     def hashes(self, text: str) -> np.ndarray:
@@ -97,8 +99,25 @@ def _node(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """Bitmap of two to four bits per shingle, a power of two in all; each
+    shingle flips its bit."""
+    bits = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
+    at = ((hashes >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference: the larger bitmap, folded to
+    the size of the other, differs from it in so many bits."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    size = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def digests(rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows of two kinds: documents (doc_id, n, key, node) and counters of the sketch (counter, n)."""
+    """Rows of two kinds: documents (doc_id, n, key, node, bitmap) and counters of the sketch (counter, n)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, sketch = shingler_of(words), np.zeros(SKETCH, np.int64)
         for pdf in batches:
@@ -111,13 +130,14 @@ def digests(rows: DataFrame, words: int = WORDS) -> DataFrame:
                 yield pd.DataFrame({
                     "doc_id": some["doc_id"].astype("Int64"), "counter": pd.array([None] * len(some), "Int32"),
                     "n": [len(h) for h in sets], "key": keys,
-                    "node": pd.array([None if k is None else _node(k) for k in keys], "Int64")})
+                    "node": pd.array([None if k is None else _node(k) for k in keys], "Int64"),
+                    "bitmap": [parity(h) if len(h) else None for h in sets]})
         at = np.flatnonzero(sketch)
         if len(at):
             none = [None] * len(at)
             yield pd.DataFrame({"doc_id": pd.array(none, "Int64"), "counter": pd.array(at, "Int32"), "n": sketch[at],
-                                "key": none, "node": pd.array(none, "Int64")})
-    return rows.mapInPandas(run, "doc_id long, counter int, n long, key binary, node long")
+                                "key": none, "node": pd.array(none, "Int64"), "bitmap": none})
+    return rows.mapInPandas(run, "doc_id long, counter int, n long, key binary, node long, bitmap binary")
 
 
 def choose_matches(counts: np.ndarray, shortest: int) -> int:
@@ -174,6 +194,28 @@ def _matches(a: str, b: str) -> Column:
     return F.least(F.col(a) % 8, F.col(b) % 8)
 
 
+def possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, part_a, part_b) whose bitmaps leave room for a link."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ok = [(100 - percent) * (m + n) >= (100 + percent) * least_difference(x, y)
+                  for m, n, x, y in zip(pdf["n_a"], pdf["n_b"], pdf["bitmap_a"], pdf["bitmap_b"])]
+            yield pdf.loc[ok, ["a", "b", "part_a", "part_b"]]
+
+    of = lambda side: bitmaps.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"),
+                                     F.col("bitmap").alias(f"bitmap_{side}"))
+    return written(pairs.join(of("b"), "b").join(of("a"), "a").mapInPandas(
+        run, "a long, b long, part_a long, part_b long"), "join-possible")
+
+
+def _around(pairs: DataFrame) -> DataFrame:
+    """Groups for ``verify``: each first node against its partners."""
+    partners = pairs.select(F.col("a").alias("group"), F.col("b").alias("node"), F.col("part_b").alias("part"),
+                            F.lit(False).alias("is_left"))
+    return partners.unionByName(pairs.select(F.col("a").alias("group"), F.col("a").alias("node"),
+                                             F.col("part_a").alias("part"), F.lit(True).alias("is_left")).distinct())
+
+
 def shingle_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """node and shingles of the wanted classes (node, rep), fetched from the
     document that stands for each.  A bitmap of fixed size spares most other
@@ -314,7 +356,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     counts = first.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # SKETCH rows at most
     sketch[counts["counter"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
     documents = first.filter("counter IS NULL").select("doc_id", "n", "key", "node")
-    classes = documents.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "node").agg(F.min("doc_id").alias("rep"))
+    classes = written(first.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "node", "n").agg(
+        F.min("doc_id").alias("rep"), F.max("bitmap").alias("bitmap")), "join-classes")
+    bitmaps = classes.select("node", "n", "bitmap")
 
     identified = rows.filter("doc_id IS NOT NULL")
     at = Window.partitionBy("shingle")
@@ -325,60 +369,67 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         .filter("lo < hi").dropDuplicates(["shingle", "node"])
         .select("shingle", "node", "meta", F.col("pivot.node").alias("pivot"), F.col("pivot.meta").alias("pivot_meta")),
         "join-entries")
-    wanted = shared.select("node").distinct().join(classes.select("rep", "node"), "node")
-    sets = written(shingle_sets(identified, wanted, words), "join-sets")
+
+    def fetched(nodes: DataFrame) -> DataFrame:
+        wanted = nodes.distinct().join(classes.select("rep", "node"), "node")
+        return written(shingle_sets(identified, wanted, words), "join-sets")
 
     # 1. Every holder against the pivot of its shingle.
     pairs = (shared.filter("node != pivot").groupBy("pivot", "node")
              .agg(F.count("*").alias("c"), F.first("meta").alias("meta"), F.first("pivot_meta").alias("pivot_meta"))
-             .filter(_fits("meta", "pivot_meta", percent) & (F.col("c") >= _matches("meta", "pivot_meta"))))
-    near = pairs.select(F.col("pivot").alias("group"), "node", F.col("node").alias("part"), F.lit(False).alias("is_left"))
-    groups = near.unionByName(near.select("group", F.col("group").alias("node"), F.col("group").alias("part"),
-                                          F.lit(True).alias("is_left")).distinct())
-    links = written(verify(groups, sets, percent), "join-links")
+             .filter(_fits("meta", "pivot_meta", percent) & (F.col("c") >= _matches("meta", "pivot_meta")))
+             .select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot").alias("part_a"), F.col("node").alias("part_b")))
+    pairs = possible(pairs, bitmaps, percent)
+    hot = shared.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") > HOT)
+    sets = fetched(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(
+        shared.join(hot, "shingle").select("node")))
+    links = written(verify(_around(pairs), sets, percent), "join-links")
     parts = written(components(links), "join-parts")
 
     # 2. Shingles with many holders in several components: the others against the largest.
-    left = written(_labelled(shared, parts), "join-left")
+    left = written(_labelled(shared.drop("pivot", "pivot_meta"), parts), "join-left")
     heads = left.groupBy("shingle", "part").agg(F.count("*").alias("n"))
     heads = heads.withColumn("holders", F.sum("n").over(at)).withColumn(
         "top", F.max(F.struct("n", "part")).over(at)).filter((F.col("holders") > HOT) & (F.col("part") != F.col("top.part")))
     parents = written(heads.groupBy("part").agg(F.max("top").alias("top")).select("part", F.col("top.part").alias("label")),
                       "join-parents")
-    members = shared.select("node").distinct().join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    # Of each component its members in hot shingles, whose sets are at hand; a
+    # member outside them shares no hot shingle and is left to step 3.
+    members = left.join(hot, "shingle").select("node", "part").distinct()
     small = members.join(parents, "part").select(F.col("label").alias("group"), "node", "part")
     large = members.join(parents.select(F.col("label").alias("part")).distinct(), "part").select(
         F.col("part").alias("group"), "node", "part")
     groups = small.withColumn("is_left", F.lit(True)).unionByName(
         small.unionByName(large).withColumn("is_left", F.lit(False)))
-    more = written(verify(groups, sets, percent), "join-links")
-    links = links.unionByName(more)
+    links = links.unionByName(written(verify(groups, sets, percent), "join-links"))
     merged = written(components(links), "join-parts")
 
     # 3. Pairs that are left: in different components, not compared by a common label.
-    left = (left.join(parents, "part", "left").withColumn("label", F.coalesce("label", "part")).drop("part")
+    compared = small.select("node", F.col("group").alias("label")).unionByName(
+        large.select("node", F.col("group").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
+    left = (left.drop("part").join(compared, "node", "left").withColumn("label", F.coalesce("label", "node"))
             .join(merged, "node", "left").withColumn("part", F.coalesce("part", "node")))
-    left = written(left.withColumn("lo", F.min("label").over(at)).withColumn("hi", F.max("label").over(at))
-                   .filter("lo < hi").drop("lo", "hi"), "join-rest")
+    left = written(left.withColumns({"lo": F.min("label").over(at), "hi": F.max("label").over(at),
+                                     "first": F.min("part").over(at), "last": F.max("part").over(at)})
+                   .filter("lo < hi AND first < last").drop("lo", "hi", "first", "last"), "join-rest")
     labels = left.select("shingle", "label").distinct()
     crossed = labels.join(labels.withColumnRenamed("label", "label_b"), "shingle").filter("label < label_b")
-    a = left.select("shingle", "label", F.col("node").alias("a"), F.col("meta").alias("meta_a"), F.col("part").alias("part_a"))
-    b = left.select("shingle", F.col("label").alias("label_b"), F.col("node").alias("b"), F.col("meta").alias("meta_b"),
-                    F.col("part").alias("part_b"))
-    pairs = (crossed.join(a, ["shingle", "label"]).join(b, ["shingle", "label_b"])
-             .filter((F.col("part_a") != F.col("part_b")) & _fits("meta_a", "meta_b", percent))
-             .groupBy("a", "b").agg(F.count("*").alias("c"), F.first("meta_a").alias("meta_a"), F.first("meta_b").alias("meta_b"),
-                                    F.first("part_a").alias("part_a"), F.first("part_b").alias("part_b"))
-             .filter(F.col("c") >= _matches("meta_a", "meta_b")))
-    pairs = written(pairs, "join-pairs")
-    near = pairs.select(F.col("a").alias("group"), F.col("b").alias("node"), F.col("part_b").alias("part"), F.lit(False).alias("is_left"))
-    groups = near.unionByName(pairs.select(F.col("a").alias("group"), F.col("a").alias("node"), F.col("part_a").alias("part"),
-                                           F.lit(True).alias("is_left")).distinct())
-    last = written(verify(groups, sets, percent), "join-links")
-    final = components(links.unionByName(last))
+    a = left.select("shingle", "label", F.col("part").alias("part_a"), F.col("node").alias("a"), F.col("meta").alias("meta_a"))
+    b = left.select("shingle", F.col("label").alias("label_b"), F.col("part").alias("part_b"), F.col("node").alias("b"),
+                    F.col("meta").alias("meta_b"))
+    pairs = (crossed.join(a, ["shingle", "label"]).join(b, ["shingle", "label_b"]).filter("part_a != part_b")
+             .filter(_fits("meta_a", "meta_b", percent)).groupBy("a", "b")
+             .agg(F.count("*").alias("c"), F.first("meta_a").alias("meta_a"), F.first("meta_b").alias("meta_b"),
+                  F.first("part_a").alias("part_a"), F.first("part_b").alias("part_b"))
+             .filter(F.col("c") >= _matches("meta_a", "meta_b")).select("a", "b", "part_a", "part_b"))
+    pairs = possible(pairs, bitmaps, percent)
+    final = merged
+    if not pairs.isEmpty():
+        sets = fetched(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
+        final = components(links.unionByName(written(verify(_around(pairs), sets, percent), "join-links")))
 
     # Components of classes, then of documents.
-    known = classes.join(final, "node", "left").withColumn(
+    known = classes.select("key", "node", "rep").join(final, "node", "left").withColumn(
         "part", F.coalesce("part", "node"))
     smallest = known.groupBy("part").agg(F.min("rep").alias("component_id"))
     by_key = known.join(smallest, "part").select("key", "component_id")
