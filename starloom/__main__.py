@@ -17,7 +17,9 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="starloom")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="bronze -> silver -> gold under a base path")
-    b.add_argument("--sf-dir", required=True)
+    b.add_argument("--sf-dir", help="test tables to derive the sources from")
+    b.add_argument("--source-dir", help="folder of raw source files, instead of --sf-dir")
+    b.add_argument("--input-bytes", type=int, help="volume to size scans and shuffles for")
     b.add_argument("--base-path", required=True)
     c = sub.add_parser("checks", help="run the integrity check suite (V1-V9)")
     c.add_argument("--sf-dir", required=True)
@@ -30,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_session()
     if args.cmd == "build":
         from starloom.sources.layers import build_all
-        print(json.dumps(build_all(spark, args.sf_dir, args.base_path), indent=1))
+        print(json.dumps(build_all(spark, args.sf_dir, args.base_path, args.source_dir, args.input_bytes), indent=1))
     elif args.cmd == "checks":
         from functools import reduce
 

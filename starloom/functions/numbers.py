@@ -23,11 +23,10 @@ def parse_br_decimal_to_double(col: Column | str) -> Column:
 
 
 def safe_cast_double(col: Column | str) -> Column:
-    """Sentinels ('N/A', 'unknown', 'null', blank) and null -> null, else
-    :func:`parse_br_decimal_to_double`."""
-    text = F.lower(F.trim(_c(col).cast("string")))
-    return (F.when(text.isNull() | text.isin(*vocab.NUMERIC_SENTINELS), F.lit(None).cast("double"))
-            .otherwise(parse_br_decimal_to_double(col)))
+    """Sentinels ('N/A', 'unknown', 'null', blank) and null -> null, else the
+    number.  No sentinel has the shape of a number, so
+    :func:`parse_br_decimal_to_double` rejects them already."""
+    return parse_br_decimal_to_double(col)
 
 
 def mismatch(a: Column | str, b: Column | str, tolerance: float = 0.01) -> Column:

@@ -77,3 +77,17 @@ def survivor_is_latest(clean: DataFrame, survivors: DataFrame, keys: Sequence[st
     j = survivors.select(*keys, F.col(order_col).alias("_kept")).join(latest, list(keys), "inner")
     bad = F.col("_latest").isNotNull() & (F.col("_kept").isNull() | (F.col("_kept") < F.col("_latest")))
     return j.agg(F.count_if(bad).alias("violations"))
+
+
+def at_latest(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """All copies that share the latest ``order_col`` of their key."""
+    top = df.groupBy(*keys).agg(F.max(order_col).alias("_top"))
+    return df.join(top, list(keys)).where(F.col(order_col).eqNullSafe(F.col("_top"))).drop("_top")
+
+
+def survivor_has(copies: DataFrame, survivors: DataFrame) -> DataFrame:
+    """Keys of which some copy had a property but the survivor lacks it; both
+    sides are (key, property)."""
+    some = copies.toDF("k", "ok").groupBy("k").agg(F.bool_or(F.coalesce("ok", F.lit(False))).alias("ok"))
+    kept = survivors.toDF("k", "has")
+    return some.join(kept, "k").agg(F.count_if(F.col("ok") & ~F.coalesce("has", F.lit(False))).alias("violations"))

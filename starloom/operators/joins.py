@@ -1,67 +1,47 @@
 """Key existence, foreign-key resolution and lookup joins.
 
 No key set ever travels through the driver: existence is a left join
-against the distinct key side.  No broadcast hint is given: with AQE on,
-the planner measures the distinct key side after its shuffle and turns the
-join into a broadcast only when that measured size is under
+against the distinct key side, on the plain key.  Spark then knows that the
+right side is unique, so a flag that nobody reads costs nothing: the optimizer
+drops the whole join.  No broadcast hint is given: with AQE on, the planner
+measures the distinct key side after its shuffle and turns the join into a
+broadcast only when that measured size is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
-sort-merge join whose skewed partitions AQE splits.
+sort-merge join whose skewed partitions AQE splits, the one of the null keys
+as well as that of any hot key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _K = "__starloom_key"
 _HIT = "__starloom_hit"
 
 
-_SALT = "__starloom_salt"
-_KSALT = "__starloom_key_salt"
-NULL_SPREAD = 256
-
-
-def _null_salt(df: DataFrame, key_col: str, buckets: int) -> Column:
-    """0 for a present key; for a null key a bucket from the input partition
-    index and the row's atomic content, so null-key rows (which can never
-    match) spread over ``buckets`` shuffle partitions instead of all hashing
-    to one.  The partition index spreads even identical copies that arrive
-    in different input partitions, and a retried map task sees the same
-    index and rows, so the shuffle output is reproducible."""
-    atomic = [F.col(f"`{f.name}`") for f in df.schema.fields
-              if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    bucket = F.pmod(F.xxhash64(F.spark_partition_id(), *atomic), F.lit(buckets))
-    return F.when(F.col(key_col).isNull(), bucket).otherwise(F.lit(0))
-
-
-def with_key_exists(df: DataFrame, key_col: str, keys: DataFrame, keys_col: str,
-                    out_col: str, null_spread: int = NULL_SPREAD) -> DataFrame:
+def with_key_exists(df: DataFrame, key_col: str, keys: DataFrame, keys_col: str, out_col: str,
+                    nulls_apart: bool = False) -> DataFrame:
     """Add ``out_col``: true if ``df.key_col`` occurs in ``keys.keys_col``,
     false if not, null when the key itself is null (``IN`` semantics).
 
-    The key side is de-duplicated first so the join can never multiply rows.
-    The join key is ``struct(key, salt)``: salt 0 for every present key (and
-    on the key side), a spread bucket for a null key.  Being one struct
-    expression, the salt stays part of the shuffle's hash key (a separate
-    ``salt = 0`` condition would be constant-folded out of it), so a table
-    where a third of the keys are null spreads those rows over
-    ``null_spread`` partitions instead of one reducer; they still never
-    match.  A hot non-null key is split by AQE's skew-join handling.
-    The key side is cast to the type of ``df.key_col``.
+    The key side is de-duplicated first so the join can never multiply rows,
+    and cast to the type of ``df.key_col``.  ``nulls_apart`` sends the rows
+    with a null key around the join instead of through it: they are not
+    shuffled at all, for the price of reading ``df`` once more.
     """
     key_type = df.schema[key_col].dataType
-    key_side = (keys.select(F.col(keys_col).cast(key_type).alias(_K))
-                .where(F.col(_K).isNotNull())
-                .distinct()
-                .select(F.struct(F.col(_K).alias("k"), F.lit(0).cast("long").alias("s")).alias(_KSALT),
-                        F.lit(True).alias(_HIT)))
-    salted = df.withColumn(_SALT, F.struct(F.col(key_col).alias("k"),
-                                           _null_salt(df, key_col, null_spread).cast("long").alias("s")))
-    joined = salted.join(key_side, salted[_SALT] == key_side[_KSALT], "left")
-    return (joined.withColumn(out_col, F.when(F.col(key_col).isNotNull(), F.col(_HIT).isNotNull()))
-                  .drop(_HIT, _SALT, _KSALT))
+    # Dealt by another hash than the join's, so that the join shuffles both
+    # sides itself: AQE splits hot partitions of such joins alone, and the
+    # distinct keys are the small side.
+    key_side = (keys.select(F.col(keys_col).cast(key_type).alias(_K)).where(F.col(_K).isNotNull()).distinct()
+                .repartition(F.xxhash64(_K)).withColumn(_HIT, F.lit(True)))
+    through = df.where(F.col(key_col).isNotNull()) if nulls_apart else df
+    joined = through.join(key_side, F.col(key_col) == F.col(_K), "left").withColumn(
+        out_col, F.when(F.col(key_col).isNotNull(), F.col(_HIT).isNotNull())).drop(_HIT, _K)
+    if not nulls_apart:
+        return joined
+    return joined.unionByName(df.where(F.col(key_col).isNull()).withColumn(out_col, F.lit(None).cast("boolean")))
 
 
 def resolve_fk(key: Column | str, exists: Column | str, unknown: str) -> Column:
@@ -74,8 +54,7 @@ def resolve_fk(key: Column | str, exists: Column | str, unknown: str) -> Column:
 def orphans(df: DataFrame, key_col: str, dim: DataFrame, dim_col: str) -> DataFrame:
     """Rows whose key has no match in ``dim`` (null keys count as orphans).
 
-    Same result as a left-anti join, but through :func:`with_key_exists`, so
-    null-key rows are spread over partitions instead of one reducer."""
+    Same result as a left-anti join that keeps null keys."""
     flag = "__starloom_exists"
     return (with_key_exists(df, key_col, dim, dim_col, flag)
             .where(~F.coalesce(F.col(flag), F.lit(False))).drop(flag))

@@ -13,13 +13,13 @@ from starloom.functions.dates import calendar_columns
 
 
 def synthetic_row(df: DataFrame, **values) -> DataFrame:
-    """One row with ``df``'s schema: given values cast to the declared type,
-    every other column a typed null (works for arrays, structs, timestamps)."""
-    exprs = [
-        (F.lit(values[f.name]) if f.name in values else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in df.schema.fields
-    ]
-    return df.sparkSession.range(1).select(*exprs)
+    """One row of ``df``'s schema: typed nulls (arrays, structs and stamps
+    too), over which the given values are laid, cast to their column's type."""
+    spark, schema = df.sparkSession, df.schema
+    empty = F.from_json(F.lit("{}"), schema).alias("row")
+    blank = spark.range(1).select(empty).select("row.*")
+    return blank.withColumns({name: F.lit(value).cast(schema[name].dataType) for name, value in values.items()
+                              if name in schema.names})
 
 
 def with_unknown_member(df: DataFrame, **values) -> DataFrame:
@@ -52,14 +52,12 @@ def calendar_dimension(columns: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     number of days in the span, which does not grow with data volume.
     """
     bounds = date_bounds(columns)
-    # Two levels: one row per month of the span, spread over the cluster,
-    # then each month expands to its days; a wide span (dirty far-off
-    # dates) never materialises in one task.
+    # Two levels: one row per month of the span, then its days; the rows of
+    # any span that dates can have are few.
     months = bounds.select(
         "min_date", "max_date",
         F.explode(F.sequence(F.trunc("min_date", "month"), F.trunc("max_date", "month"),
                              F.expr("interval 1 month"))).alias("month_start"))
-    months = months.repartition(months.sparkSession.sparkContext.defaultParallelism)
     days = months.select(
         F.explode(F.sequence(F.greatest("month_start", "min_date"),
                              F.least(F.last_day("month_start"), F.col("max_date")),
@@ -72,8 +70,3 @@ def latest_per_key(df: DataFrame, key_col: str, value_cols: Sequence[str],
     """Grouped max of several columns (each maximum independent)."""
     return df.groupBy(F.col(key_col).alias(out_key or key_col)).agg(
         *[F.max(c).alias(c) for c in value_cols])
-
-
-def lookup_columns(alias: str, cols: Sequence[tuple[str, str]], default) -> list[Column]:
-    """``coalesce(alias.col, default) AS name`` for denormalised lookups."""
-    return [F.coalesce(F.col(f"{alias}.{c}"), F.lit(default)).alias(name) for c, name in cols]

@@ -52,23 +52,24 @@ def case_variant_count(df: DataFrame, col: str) -> Column:
 
 
 def duplicate_rows(df: DataFrame, key: Column, key_name: str = "dup_key") -> DataFrame:
-    """Every row whose (normalised) key occurs more than once, with the copy
-    count.  Per-key counts come from a partial+final aggregate, so a hot key
+    """Every row whose key occurs more than once, null being a key like any
+    other, with the copy count.  Per-key counts come from a partial+final aggregate, so a hot key
     is pre-counted map-side; the join back is split by AQE if skewed."""
     keyed = df.withColumn(key_name, key)
     counts = (keyed.groupBy(key_name).agg(F.count(F.lit(1)).alias("n_copies"))
                    .where(F.col("n_copies") > 1))
-    return keyed.join(counts, key_name, "inner")
+    kept = counts.select(F.col(key_name).alias("__key"), "n_copies")
+    return keyed.join(kept, F.col(key_name).eqNullSafe(F.col("__key")), "inner").drop("__key")
 
 
 def numeric_issues(df: DataFrame, col: str, null_is_bad: bool = False) -> DataFrame:
-    """(n_non_numeric, n_comma_decimal, n_negative) for a text column."""
+    """(n_non_numeric, n_comma_decimal, n_negative, n_zero) for a text column."""
     c = F.col(col)
     num = F.trim(c).try_cast("double")
     bad = num.isNull() if null_is_bad else (c.isNotNull() & num.isNull())
     return df.agg(F.count_if(bad).alias("n_non_numeric"),
                   F.count_if(c.contains(",")).alias("n_comma_decimal"),
-                  F.count_if(num < 0).alias("n_negative"))
+                  F.count_if(num < 0).alias("n_negative"), F.count_if(num == 0).alias("n_zero"))
 
 
 def orphan_keys(df: DataFrame, key: Column, dim: DataFrame, dim_key: Column,

@@ -38,8 +38,3 @@ def with_dq_flags(df: DataFrame, flags: Sequence[tuple[str, Column]],
 def add_dq_flag(df: DataFrame, flag_col: str, condition: Column, flag_name: str) -> DataFrame:
     """Single-flag form, for call sites that add one flag at a time."""
     return with_dq_flags(df, [(flag_name, condition)], flag_col)
-
-
-def flags_text(flag_col: str = FLAG_COL, sep: str = "|") -> Column:
-    """Flags as one string (for export / comparison)."""
-    return F.array_join(F.col(flag_col), sep)

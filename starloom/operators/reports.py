@@ -1,7 +1,9 @@
 """Business questions over the star schema (all partial+final aggregates).
 
-Money is summed as ``decimal(18,2)`` and returned as double, so totals do
-not depend on the order partial sums are combined in.
+Money is summed as ``decimal(38,6)`` and returned as double: totals do not
+depend on the order partial sums are combined in and no amount is rounded to
+cents first.  An amount beyond that type is left out of the sums and counted
+by :func:`rejected_amounts`; it never aborts a report.
 
 Reports that join a fact to a dimension pre-aggregate the fact by the join
 key first (sums and counts are decomposable), so the dimension join sees
@@ -19,8 +21,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def money(col: str) -> Column:
+    return F.col(col).try_cast("decimal(38,6)")
+
+
 def money_sum(col: str) -> Column:
-    return F.sum(F.col(col).cast("decimal(18,2)")).cast("double")
+    return F.sum(money(col)).cast("double")
+
+
+def rejected_amounts(fact: DataFrame, amount: str) -> DataFrame:
+    """Amounts that are there but beyond the money type, and all that are there."""
+    return fact.agg(F.count_if(F.col(amount).isNotNull() & money(amount).isNull()).alias("qtd_rejeitados"),
+                    F.count(amount).alias("qtd_valores"))
 
 
 def ratio(num: Column, den: Column, scale: float = 1.0) -> Column:
@@ -33,7 +45,7 @@ def kpis(fact_orders: DataFrame) -> DataFrame:
     return fact_orders.agg(
         money_sum("net_amount").alias("receita_liquida"),
         F.count(F.lit(1)).alias("qtd_pedidos"),
-        ratio(F.sum(F.col("net_amount").cast("decimal(18,2)")), F.count("net_amount")).alias("ticket_medio"),
+        ratio(F.sum(money("net_amount")), F.count(money("net_amount"))).alias("ticket_medio"),
         ratio(F.sum(F.col("is_cancelado").cast("int")), F.count(F.lit(1)), 100.0).alias("pct_cancelado"),
     )
 
@@ -55,21 +67,17 @@ def late_rate(fact_orders: DataFrame) -> DataFrame:
     )
 
 
-def _dec(col: str) -> Column:
-    return F.col(col).cast("decimal(18,2)")
-
-
 def revenue_by(fact: DataFrame, dim: DataFrame, on: str, group_cols: Sequence[str],
                amount: str = "net_amount", count_name: str = "qtd_pedidos") -> DataFrame:
     """fact LEFT JOIN dim on ``on``, grouped sum; a null group (no dimension
     match) is kept."""
-    pre = fact.groupBy(on).agg(F.sum(_dec(amount)).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    pre = fact.groupBy(on).agg(F.sum(money(amount)).alias("_s"), F.count(F.lit(1)).alias("_n"))
     return (pre.join(dim, on, "left").groupBy(*group_cols)
                .agg(F.sum("_s").cast("double").alias("receita"), F.sum("_n").alias(count_name)))
 
 
 def monthly_revenue(fact_orders: DataFrame, dim_date: DataFrame) -> DataFrame:
-    pre = fact_orders.groupBy("order_date_key").agg(F.sum(_dec("net_amount")).alias("_s"),
+    pre = fact_orders.groupBy("order_date_key").agg(F.sum(money("net_amount")).alias("_s"),
                                                     F.count(F.lit(1)).alias("_n"))
     joined = pre.join(dim_date, pre["order_date_key"] == dim_date["date_key"], "left")
     return joined.groupBy("year", "month").agg(F.sum("_s").cast("double").alias("receita"),
@@ -87,7 +95,7 @@ def item_customer_product(fact_items: DataFrame, dim_customer: DataFrame,
                           dim_product: DataFrame) -> DataFrame:
     # customer_id stays a grouping key of the pre-aggregate, so the distinct
     # customer count over pre-aggregated rows equals the one over items.
-    pre = fact_items.groupBy("customer_id", "product_id").agg(F.sum(_dec("total_item")).alias("_s"),
+    pre = fact_items.groupBy("customer_id", "product_id").agg(F.sum(money("total_item")).alias("_s"),
                                                               F.count(F.lit(1)).alias("_n"))
     return (pre.join(dim_customer, "customer_id", "left")
             .join(dim_product, "product_id", "left")
@@ -99,7 +107,7 @@ def item_customer_product(fact_items: DataFrame, dim_customer: DataFrame,
 
 def segment_kpis(fact_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     pre = fact_orders.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(_dec("net_amount")).alias("_s"),
+        F.count(F.lit(1)).alias("_n"), F.sum(money("net_amount")).alias("_s"),
         F.count_if(F.col("is_atrasado")).alias("_late"), F.count("is_atrasado").alias("_tracked"),
         F.count_if(F.col("is_cancelado")).alias("_cancel"))
     return (pre.join(dim_customer, "customer_id", "left").groupBy("segmento")

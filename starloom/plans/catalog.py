@@ -8,10 +8,12 @@ same text for dates, timestamps and arrays.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.session import RUNTIME_CONF
 from starloom.plans import oracle as O
 from starloom.plans.star import export, star_for
 
@@ -112,9 +114,19 @@ def load_extra_modules() -> None:
     import starloom.plans.q_extensions  # noqa: F401
 
 
+def _with_settings(fn: QueryFn) -> QueryFn:
+    """The query with the library's settings applied to the session it gets."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for key, value in RUNTIME_CONF.items():
+            spark.conf.set(key, value)
+        return fn(spark, sf_dir)
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
     load_extra_modules()
-    return {k: v[0] for k, v in REGISTRY.items()}
+    return {k: _with_settings(v[0]) for k, v in REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:

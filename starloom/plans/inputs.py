@@ -19,21 +19,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.sources.readers import spread_scan
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-# Tables whose row-level cleansing is heavy enough to spread when they
-# arrive as fewer files than cores (dimension tables stay as read).
-LARGE = {"orders", "lineitem", "events"}
+# Codes outside the format of every real key: references to nothing.
+NO_PRODUCT, NO_ORDER = "PX99999", "OX9999999"
+# Customers per seller in the source tables: spreads orders over all seller keys.
+CUSTOMERS_PER_SELLER = 15
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df) if name in LARGE else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _code(prefix: str, col: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(col.cast("string"), width, "0"))
+    """Prefix and key, zero-padded up to ``width`` and never shortened."""
+    digits = col.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) < width, F.lpad(digits, width, "0")).otherwise(digits))
 
 
 def _money(col: Column) -> Column:
@@ -247,7 +247,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     gross = _money(F.col("o_totalprice"))
     disc = F.concat((k % 500).cast("string"), F.lit("."), F.lpad((k % 100).cast("string"), 2, "0"))
     net = (F.col("o_totalprice").cast("decimal(18,2)") - disc.cast("decimal(18,2)")).cast("string")
-    net = F.when(k % 23 == 0, gross).otherwise(net)
+    # Some amounts carry a third decimal; one is beyond every money type.
+    net = (F.when(k % 23 == 0, gross).when(k % 101 == 0, F.concat(net, F.lit("5")))
+           .when(k == 5, F.lit("9" * 40)).otherwise(net))
 
     def amount(text: Column) -> Column:
         return F.when(k % 3 == 1, _comma(text)).otherwise(text)
@@ -268,7 +270,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(oid).alias("order_id"),
         F.when(k % 53 == 0, F.lit("C9999")).when(k % 4 == 1, F.lower(cust))
          .otherwise(cust).alias("customer_code"),
-        _code("V", F.col("o_custkey") % 100, 4).alias("seller_id"),
+        _code("V", F.floor(F.col("o_custkey") / CUSTOMERS_PER_SELLER), 4).alias("seller_id"),
         _pick(k, 8, [F.date_format(od, "yyyy-MM-dd'T'HH:mm:ss"), F.date_format(od, "yyyy-MM-dd HH:mm:ss"),
                      F.date_format(od, "dd/MM/yyyy HH:mm"), F.date_format(od, "yyyy-MM-dd"),
                      F.date_format(od, "dd/MM/yyyy"), F.date_format(od, "yyyy/MM/dd"),
@@ -312,7 +314,7 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.when(ln % 2 == 0, F.lower(oid)).otherwise(oid).alias("order_id"),
         ln.cast("string").alias("item_seq"),
-        F.when(F.col("l_suppkey") % 17 == 0, F.lit("P99999"))
+        F.when(F.col("l_suppkey") % 17 == 0, F.lit(NO_PRODUCT))
          .otherwise(_code("P", F.col("l_partkey"), 5)).alias("product_code"),
         F.when(r == 0, F.lit("")).when(r == 1, F.concat(F.lit("-"), qty)).when(r == 2, F.lit("0"))
          .when(r == 3, F.lit("unknown")).otherwise(qty).alias("quantity"),
@@ -342,7 +344,7 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.lit("cancelled")))
     return li.select(
         F.concat(F.lit("D"), ok.cast("string"), F.lit("-"), ln.cast("string")).alias("delivery_id"),
-        F.when(pk % 43 == 0, F.lit(None).cast("string")).when(pk % 41 == 0, F.lit("O9999999"))
+        F.when(pk % 43 == 0, F.lit(None).cast("string")).when(pk % 41 == 0, F.lit(NO_ORDER))
          .when(pk % 3 == 0, F.lower(oid)).otherwise(oid).alias("order_ref"),
         status.alias("delivery_status"),
         F.when(pk % 19 == 0, F.lit("unknown"))
@@ -377,7 +379,7 @@ def raw_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     k = F.col("event_id")
-    oid = _code("O", k % 1000, 7)
+    oid = _code("O", k, 7)
     cust = _code("C", F.col("user_id"), 6)
     et = F.col("event_type")
     event_type = (F.when(k % 41 == 0, F.lit(None).cast("string"))

@@ -43,7 +43,8 @@ def L(values: list) -> list[str]:
 
 
 def code(prefix: str, expr: str, width: int) -> str:
-    return f"('{prefix}' || lpad(CAST({expr} AS VARCHAR), {width}, '0'))"
+    digits = f"CAST({expr} AS VARCHAR)"
+    return f"('{prefix}' || lpad({digits}, CAST(greatest(length({digits}), {width}) AS INTEGER), '0'))"
 
 
 def money(expr: str) -> str:
@@ -252,8 +253,9 @@ def _raw_orders() -> str:
     od = "o_orderdate"
     gross = money("o_totalprice")
     disc = f"(CAST({k} % 500 AS VARCHAR) || '.' || lpad(CAST({k} % 100 AS VARCHAR), 2, '0'))"
-    net = (f"(CASE WHEN {k} % 23 = 0 THEN {gross} ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) - "
-           f"CAST({disc} AS DECIMAL(18,2)) AS VARCHAR) END)")
+    less = f"CAST(CAST(o_totalprice AS DECIMAL(18,2)) - CAST({disc} AS DECIMAL(18,2)) AS VARCHAR)"
+    net = (f"(CASE WHEN {k} % 23 = 0 THEN {gross} WHEN {k} % 101 = 0 THEN {less} || '5' "
+           f"WHEN {k} = 5 THEN '{'9' * 40}' ELSE {less} END)")
 
     def amount(t):
         return f"(CASE WHEN {k} % 3 = 1 THEN {comma(t)} ELSE {t} END)"
@@ -272,7 +274,7 @@ def _raw_orders() -> str:
     base = f"""SELECT {k} AS _k,
       CASE WHEN {k} % 6 = 1 THEN lower({oid}) WHEN {k} % 6 = 2 THEN ' ' || {oid} || '  ' ELSE {oid} END AS order_id,
       CASE WHEN {k} % 53 = 0 THEN 'C9999' WHEN {k} % 4 = 1 THEN lower({cust}) ELSE {cust} END AS customer_code,
-      {code("V", "o_custkey % 100", 4)} AS seller_id,
+      {code("V", "o_custkey // 15", 4)} AS seller_id,
       {order_date} AS order_date,
       CASE WHEN {k} % 19 = 0 THEN NULL ELSE strftime(CAST({od} AS DATE) + 60, '%Y-%m-%d') END AS promised_date,
       {status} AS status_order,
@@ -301,7 +303,7 @@ def _raw_items() -> str:
     return f"""raw_items AS (SELECT
       CASE WHEN l_linenumber % 2 = 0 THEN lower({oid}) ELSE {oid} END AS order_id,
       CAST(l_linenumber AS VARCHAR) AS item_seq,
-      CASE WHEN l_suppkey % 17 = 0 THEN 'P99999' ELSE {code("P", "l_partkey", 5)} END AS product_code,
+      CASE WHEN l_suppkey % 17 = 0 THEN 'PX99999' ELSE {code("P", "l_partkey", 5)} END AS product_code,
       CASE WHEN {r} = 0 THEN '' WHEN {r} = 1 THEN '-' || {qty} WHEN {r} = 2 THEN '0'
            WHEN {r} = 3 THEN 'unknown' ELSE {qty} END AS quantity,
       CASE WHEN l_linenumber % 3 = 0 THEN {comma(price)} ELSE {price} END AS unit_price,
@@ -327,7 +329,7 @@ def _raw_deliveries() -> str:
                         f"CASE WHEN {pk} % 10 = 4 THEN '31/02/2025 10:00' ELSE {strf(shipped, 'dd/MM/yyyy')} END"])
     return f"""raw_deliveries AS (SELECT
       'D' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS delivery_id,
-      CASE WHEN {pk} % 43 = 0 THEN NULL WHEN {pk} % 41 = 0 THEN 'O9999999' WHEN {pk} % 3 = 0 THEN lower({oid})
+      CASE WHEN {pk} % 43 = 0 THEN NULL WHEN {pk} % 41 = 0 THEN 'OX9999999' WHEN {pk} % 3 = 0 THEN lower({oid})
            ELSE {oid} END AS order_ref,
       {status} AS delivery_status,
       CASE WHEN {pk} % 19 = 0 THEN 'unknown'
@@ -343,7 +345,7 @@ def _raw_deliveries() -> str:
 
 def _raw_tickets() -> str:
     k = "event_id"
-    oid = code("O", f"{k} % 1000", 7)
+    oid = code("O", k, 7)
     cust = code("C", "user_id", 6)
     return f"""raw_tickets AS (SELECT
       'T' || CAST({k} AS VARCHAR) AS ticket_id,

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.functions import vocab
-from starloom.operators.dedup import dedup_keep_latest
 from starloom.operators.expectations import Expectation, evaluate
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
 from starloom.plans.star import export, star_for
-from starloom.streaming.incremental import upsert_latest
+from starloom.streaming.incremental import new_arrivals, upsert_latest
 
 # X1 ------------------------------------------------------------------------
 CUTOFF = "1999-01-01 00:00:00"
@@ -22,11 +21,17 @@ def order_rank():
 
 
 def _x01(spark, sf_dir):
+    """Target: everything stamped before the cutoff.  Increment: the rest, and
+    rows that arrive late, undated or with a stamp the target has already."""
     clean = S.orders_clean(star_for(spark, sf_dir).raw_orders)
-    cutoff = F.lit(CUTOFF).cast("timestamp")
-    lu = F.col("last_update")
-    target = dedup_keep_latest(clean.where(lu.isNull() | (lu < cutoff)), ["order_id"], "last_update", order_rank())
-    increment = clean.where(lu >= cutoff)
+    stamp, cutoff = F.col("last_update"), F.lit(CUTOFF).cast("timestamp")
+    old = stamp.isNull() | (stamp < cutoff)
+    late = F.coalesce(F.crc32(F.col("order_id").cast("binary")) % 10 == 3, F.lit(False))
+    arrived = clean.withColumn("_ingested_at", F.when(old & ~late, F.lit("2024-01-01").cast("timestamp"))
+                               .otherwise(F.lit("2024-01-02").cast("timestamp")))
+    mark = F.lit("2024-01-01").cast("timestamp")
+    target = arrived.where(F.col("_ingested_at") <= mark).drop("_ingested_at")
+    increment = new_arrivals(arrived, mark).drop("_ingested_at")
     return export(upsert_latest(target, increment, ["order_id"], "last_update", order_rank()))
 
 
@@ -37,19 +42,12 @@ _ORDER_BY = ["last_update DESC NULLS LAST", "(gross_amount IS NOT NULL) DESC NUL
 
 
 def _x01_sql() -> str:
-    target = O.dedup(f"(SELECT * FROM orders_clean WHERE last_update IS NULL OR last_update < TIMESTAMP '{CUTOFF}')",
-                     ["order_id"], _ORDER_BY, _ORDER_TIE)
-    inc = (f"SELECT * FROM orders_clean WHERE last_update >= TIMESTAMP '{CUTOFF}' AND last_update IS NOT NULL "
-           f"AND ((SELECT max(last_update) FROM x_target) IS NULL OR last_update > (SELECT max(last_update) FROM x_target))")
-    merged = O.dedup("(SELECT * FROM x_target UNION ALL SELECT * FROM x_inc)", ["order_id"], _ORDER_BY, _ORDER_TIE)
-    cols = []
-    for name, kind in TABLE_COLUMNS["silver_orders"]:
-        cols.append({"ts": f"strftime({name}, '{O.TS_OUT}') AS {name}",
-                     "date": f"strftime({name}, '%Y-%m-%d') AS {name}"}.get(kind, name))
-    body = O.with_ctes(["orders_clean"], "SELECT 1")
-    body = body[: body.rindex("SELECT 1")].rstrip()
-    return (f"{body},\nx_target AS ({target}),\nx_inc AS ({inc}),\nx_merged AS ({merged})\n"
-            f"SELECT {', '.join(cols)} FROM x_merged")
+    # Whatever order rows arrive in, the table ends as if it had been built at once.
+    merged = O.dedup("orders_clean", ["order_id"], _ORDER_BY, _ORDER_TIE)
+    cols = [{"ts": f"strftime({name}, '{O.TS_OUT}') AS {name}",
+             "date": f"strftime({name}, '%Y-%m-%d') AS {name}"}.get(kind, name)
+            for name, kind in TABLE_COLUMNS["silver_orders"]]
+    return O.with_ctes(["orders_clean"], f"SELECT {', '.join(cols)} FROM ({merged})")
 
 
 register("x01_incremental_upsert", _x01, _x01_sql())

@@ -10,6 +10,7 @@ from starloom.operators import profile as L
 from starloom.operators import reports as K
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
+from starloom.plans.inputs import NO_PRODUCT
 from starloom.plans.catalog import register
 from starloom.plans.star import Star, export, star_for
 
@@ -20,7 +21,7 @@ def cif(cond: str) -> str:
 
 
 def msum(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(TRY_CAST({col} AS DECIMAL(38,6))) AS DOUBLE)"
 
 
 def dratio(num: str, den: str, scale: str = "1.0") -> str:
@@ -38,7 +39,7 @@ def q(fn):
 
 register("k01_kpis", q(lambda s: K.kpis(s.fact_pedidos)), O.with_ctes(["fact_pedidos"], f"""
 SELECT {msum('net_amount')} AS receita_liquida, count(*) AS qtd_pedidos,
-  {dratio(f"sum(CAST(net_amount AS DECIMAL(18,2)))", "count(net_amount)")} AS ticket_medio,
+  {dratio("sum(TRY_CAST(net_amount AS DECIMAL(38,6)))", "count(TRY_CAST(net_amount AS DECIMAL(38,6)))")} AS ticket_medio,
   {dratio("sum(CAST(is_cancelado AS INTEGER))", "count(*)", "100.0")} AS pct_cancelado
 FROM fact_pedidos"""))
 
@@ -96,6 +97,12 @@ SELECT c.segmento, count(*) AS qtd_pedidos, {msum('f.net_amount')} AS receita,
 FROM fact_pedidos f LEFT JOIN dim_cliente c USING (customer_id) GROUP BY c.segmento"""))
 
 
+register("k11_rejected_amounts", q(lambda s: K.rejected_amounts(s.fact_pedidos, "net_amount")),
+         O.with_ctes(["fact_pedidos"], f"""
+SELECT {cif('net_amount IS NOT NULL AND TRY_CAST(net_amount AS DECIMAL(38,6)) IS NULL')} AS qtd_rejeitados,
+  count(net_amount) AS qtd_valores FROM fact_pedidos"""))
+
+
 # ------------------------------------------------------------------ V checks
 
 def _distinct_count(df, *cols):
@@ -195,12 +202,12 @@ register("v04_forbidden_values", q(lambda s: V.run_checks([
     ("placeholder_customer_resolved", "fact_pedidos",
      V.forbidden_value(s.fact_pedidos, "customer_id", vocab.PLACEHOLDER_CUSTOMER)),
     ("orphan_product_resolved", "fact_pedidos_itens",
-     V.forbidden_value(s.fact_pedidos_itens, "product_id", "P99999")),
+     V.forbidden_value(s.fact_pedidos_itens, "product_id", NO_PRODUCT)),
 ])), O.with_ctes(["fact_pedidos", "fact_pedidos_itens"], _checks_sql([
     ("placeholder_customer_resolved", "fact_pedidos",
      f"(SELECT {cif(chr(39).join(['customer_id = ', vocab.PLACEHOLDER_CUSTOMER, '']))} FROM fact_pedidos)"),
     ("orphan_product_resolved", "fact_pedidos_itens",
-     f"(SELECT {cif(chr(39).join(['product_id = ', 'P99999', '']))} FROM fact_pedidos_itens)"),
+     f"(SELECT {cif(chr(39).join(['product_id = ', 'PX99999', '']))} FROM fact_pedidos_itens)"),
 ])))
 
 register("v05_unique_grain", q(lambda s: V.run_checks([
@@ -260,6 +267,71 @@ register("v07_survivor_is_latest", q(lambda s: V.run_checks([
      _survivor_sql("orders_clean", "silver_orders", "order_id", "last_update")),
 ])))
 
+def _v07b(s: Star):
+    email = F.col("email").rlike(vocab.EMAIL_PATTERN)
+    return V.run_checks([
+        ("marked_copy_lost", "silver_channels", s.silver_channels.agg(
+            F.count_if(F.lower(F.coalesce("observacao", F.lit(""))).contains("duplicado")).alias("violations"))),
+        ("marked_copy_lost", "silver_sellers", s.silver_sellers.agg(
+            F.count_if(F.lower("seller_name").contains("duplicado")).alias("violations"))),
+        ("valid_fk_preferred", "silver_sellers", V.survivor_has(
+            s.raw_sellers.select(normalize_key("seller_id").alias("seller_id"), ~F.lower("seller_name").contains("duplicado")
+                                 & ~F.coalesce(normalize_key("canal_id"), F.lit("")).isin("CH98", "CH99", "")),
+            s.silver_sellers.select("seller_id", ~F.col("canal_id").isin("CH98", "CH99", vocab.NOT_INFORMED)))),
+        ("email_tie_broken", "silver_customers", V.survivor_has(
+            V.at_latest(S.customers_clean(s.raw_customers), ["customer_id"], "updated_at").select("customer_id", email),
+            s.silver_customers.select("customer_id", email))),
+        ("complete_row_preferred", "silver_orders", V.survivor_has(
+            V.at_latest(S.orders_clean(s.raw_orders), ["order_id"], "last_update").select(
+                "order_id", F.col("gross_amount").isNotNull()),
+            s.silver_orders.select("order_id", F.col("gross_amount").isNotNull()))),
+        ("valid_date_preferred", "silver_deliveries", V.survivor_has(
+            s.raw_deliveries.select("delivery_id", parse_multi_format_timestamp("timestamps.shipped_at").isNotNull()),
+            s.silver_deliveries.select("delivery_id", F.col("shipped_at").isNotNull()))),
+    ])
+
+
+def _has_sql(copies: str, kept: str) -> str:
+    return (f"(SELECT {cif('c.ok AND NOT coalesce(s.ok, FALSE)')} FROM (SELECT k, bool_or(ok) AS ok FROM ({copies}) "
+            f"GROUP BY k) c JOIN ({kept}) s USING (k))")
+
+
+def _latest_sql(clean: str, key: str, stamp: str, ok: str) -> str:
+    return (f"SELECT {key} AS k, {ok} AS ok FROM (SELECT *, max({stamp}) OVER (PARTITION BY {key}) AS top FROM {clean}) "
+            f"WHERE {stamp} IS NOT DISTINCT FROM top")
+
+
+register("v07b_survivor_rules", q(_v07b), O.with_ctes(
+    ["silver_channels", "silver_sellers", "raw_sellers", "customers_clean", "silver_customers", "orders_clean",
+     "silver_orders", "raw_deliveries", "silver_deliveries"], _checks_sql([
+        ("marked_copy_lost", "silver_channels",
+         f"(SELECT {cif('contains(lower(coalesce(observacao, {0}{0})), {0}duplicado{0})'.format(chr(39)))} FROM silver_channels)"),
+        ("marked_copy_lost", "silver_sellers",
+         f"(SELECT {cif('contains(lower(seller_name), {0}duplicado{0})'.format(chr(39)))} FROM silver_sellers)"),
+        ("valid_fk_preferred", "silver_sellers", _has_sql(
+            f"SELECT {O.key('seller_id')} AS k, NOT contains(lower(seller_name), 'duplicado') AND "
+            f"coalesce({O.key('canal_id')}, '') NOT IN ('CH98', 'CH99', '') AS ok FROM raw_sellers",
+            f"SELECT seller_id AS k, canal_id NOT IN ('CH98', 'CH99', '{vocab.NOT_INFORMED}') AS ok FROM silver_sellers")),
+        ("email_tie_broken", "silver_customers", _has_sql(
+            _latest_sql("customers_clean", "customer_id", "updated_at", O.email_ok("email")),
+            f"SELECT customer_id AS k, {O.email_ok('email')} AS ok FROM silver_customers")),
+        ("complete_row_preferred", "silver_orders", _has_sql(
+            _latest_sql("orders_clean", "order_id", "last_update", "gross_amount IS NOT NULL"),
+            "SELECT order_id AS k, gross_amount IS NOT NULL AS ok FROM silver_orders")),
+        ("valid_date_preferred", "silver_deliveries", _has_sql(
+            f"SELECT delivery_id AS k, {O.parse_ts('shipped_at')} IS NOT NULL AS ok FROM raw_deliveries",
+            "SELECT delivery_id AS k, shipped_at IS NOT NULL AS ok FROM silver_deliveries")),
+    ])))
+
+
+register("v04b_unknown_members", q(lambda s: s.fact_pedidos.agg(
+    F.count_if(F.col("customer_id") == vocab.UNKNOWN_CUSTOMER).alias("pedidos_cliente_desconhecido")).withColumn(
+    "itens_produto_desconhecido", s.fact_pedidos_itens.agg(
+        F.count_if(F.col("product_id") == vocab.UNKNOWN_PRODUCT)).scalar())),
+    O.with_ctes(["fact_pedidos", "fact_pedidos_itens"], f"""
+SELECT (SELECT {cif(f"customer_id = '{vocab.UNKNOWN_CUSTOMER}'")} FROM fact_pedidos) AS pedidos_cliente_desconhecido,
+  (SELECT {cif(f"product_id = '{vocab.UNKNOWN_PRODUCT}'")} FROM fact_pedidos_itens) AS itens_produto_desconhecido"""))
+
 BAD_DATES = ["2025-13-40", "31/02/2025 10:00"]
 
 
@@ -301,7 +373,7 @@ def _v09(s: Star):
 
 def _kpi_sql(pred: str) -> str:
     return (f"(SELECT CASE WHEN {pred} THEN 0 ELSE 1 END FROM (SELECT {msum('net_amount')} AS r, "
-            f"{dratio('sum(CAST(net_amount AS DECIMAL(18,2)))', 'count(net_amount)')} AS t, "
+            f"{dratio('sum(TRY_CAST(net_amount AS DECIMAL(38,6)))', 'count(TRY_CAST(net_amount AS DECIMAL(38,6)))')} AS t, "
             f"{dratio('sum(CAST(is_cancelado AS INTEGER))', 'count(*)', '100.0')} AS c FROM fact_pedidos))")
 
 
@@ -357,6 +429,16 @@ JOIN (SELECT upper(trim(customer_id)) AS dup_key, count(*) AS n_copies FROM raw_
       GROUP BY 1 HAVING count(*) > 1) c USING (dup_key)"""))
 
 
+# L5 on the key as it is: copies that differ in case or blanks are other keys, null is one.
+register("l05b_duplicate_raw_keys",
+         q(lambda s: L.duplicate_rows(s.raw_deliveries.select("order_ref", "delivery_id", "cost"), F.col("order_ref"))
+           .select("order_ref", "delivery_id", "n_copies", "cost")),
+         O.with_ctes(["raw_deliveries"], """
+SELECT r.order_ref, r.delivery_id, c.n_copies, r.cost FROM raw_deliveries r
+JOIN (SELECT order_ref, count(*) AS n_copies FROM raw_deliveries GROUP BY 1 HAVING count(*) > 1) c
+  ON r.order_ref IS NOT DISTINCT FROM c.order_ref"""))
+
+
 def _l06(s: Star):
     return (L.numeric_issues(s.raw_orders, "gross_amount")
             .select(F.lit("raw_orders").alias("table_name"), F.lit("gross_amount").alias("column_name"), "*")
@@ -368,7 +450,7 @@ def _l06_sql(t: str, c: str) -> str:
     num = f"TRY_CAST(trim({c}) AS DOUBLE)"
     return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
             f"{cif(f'{c} IS NOT NULL AND {num} IS NULL')} AS n_non_numeric, "
-            f"{cif(f'contains({c}, {chr(39)},{chr(39)})')} AS n_comma_decimal, {cif(f'{num} < 0')} AS n_negative FROM {t}")
+            f"{cif(f'contains({c}, {chr(39)},{chr(39)})')} AS n_comma_decimal, {cif(f'{num} < 0')} AS n_negative, {cif(f'{num} = 0')} AS n_zero FROM {t}")
 
 
 register("l06_numeric_issues", q(_l06), O.with_ctes(["raw_orders", "raw_items"],
@@ -383,10 +465,25 @@ def _l07(s: Star):
     b = L.orphan_keys(s.raw_deliveries, normalize_key("order_ref"), s.raw_orders,
                       normalize_key("order_id")).select(F.lit("deliveries.order_ref->orders").alias("relation"),
                                                         "orphan_key")
-    return a.unionByName(b)
+    c = L.orphan_keys(s.raw_items, normalize_key("order_id"), s.raw_orders, normalize_key("order_id")).select(
+        F.lit("items.order_id->orders").alias("relation"), "orphan_key")
+    d = L.orphan_keys(s.raw_tickets, normalize_key("order_id"), s.raw_orders, normalize_key("order_id")).select(
+        F.lit("tickets.order_id->orders").alias("relation"), "orphan_key")
+    e = L.orphan_keys(s.raw_orders, normalize_key("customer_code"), s.raw_customers, normalize_key("customer_id")).select(
+        F.lit("orders.customer_code->customers").alias("relation"), "orphan_key")
+    return a.unionByName(b).unionByName(c).unionByName(d).unionByName(e)
+
 
+def _orphans_sql(relation: str, src: str, col: str, dim: str, dim_col: str) -> str:
+    return f"""SELECT '{relation}' AS relation, k AS orphan_key FROM (
+  SELECT DISTINCT {O.key(col)} AS k FROM {src} WHERE {O.key(col)} IS NOT NULL EXCEPT SELECT {O.key(dim_col)} FROM {dim})"""
 
-register("l07_orphan_keys", q(_l07), O.with_ctes(["raw_items", "raw_products", "raw_deliveries", "raw_orders"], f"""
+
+register("l07_orphan_keys", q(_l07), O.with_ctes(["raw_items", "raw_products", "raw_deliveries", "raw_orders",
+                                                  "raw_tickets", "raw_customers"], f"""
+{_orphans_sql("items.order_id->orders", "raw_items", "order_id", "raw_orders", "order_id")} UNION ALL
+{_orphans_sql("tickets.order_id->orders", "raw_tickets", "order_id", "raw_orders", "order_id")} UNION ALL
+{_orphans_sql("orders.customer_code->customers", "raw_orders", "customer_code", "raw_customers", "customer_id")} UNION ALL
 SELECT 'items.product_code->products' AS relation, k AS orphan_key FROM (
   SELECT DISTINCT {O.key('product_code')} AS k FROM raw_items WHERE {O.key('product_code')} IS NOT NULL
   EXCEPT SELECT {O.key('product_id')} FROM raw_products)
@@ -402,6 +499,13 @@ register("l08_pattern_mismatch", q(lambda s: L.pattern_mismatch(s.raw_customers,
 SELECT email AS value, count(*) AS n FROM raw_customers
 WHERE email IS NULL OR NOT regexp_matches(email, '{PROFILE_EMAIL}') GROUP BY email"""))
 
+# L8, second half: codes that don't have their key's shape (a letter and digits).
+CODE_SHAPE = r"^P[0-9]{5,}$"
+register("l08b_code_shape", q(lambda s: L.pattern_mismatch(s.raw_items, "product_code", CODE_SHAPE, True)),
+         O.with_ctes(["raw_items"], f"""
+SELECT product_code AS value, count(*) AS n FROM raw_items
+WHERE product_code IS NULL OR NOT regexp_matches(product_code, '{CODE_SHAPE}') GROUP BY product_code"""))
+
 register("l09_distinct_values", q(lambda s: s.raw_sellers.select(F.col("status").alias("value")).distinct()),
          O.with_ctes(["raw_sellers"], "SELECT DISTINCT status AS value FROM raw_sellers"))
 
@@ -451,7 +555,7 @@ def _l06b_sql(t: str, c: str) -> str:
     num = f"TRY_CAST(trim({c}) AS DOUBLE)"
     return (f"SELECT '{t}' AS table_name, '{c}' AS column_name, "
             f"{cif(f'{num} IS NULL')} AS n_non_numeric, "
-            f"{cif(f'contains({c}, {chr(39)},{chr(39)})')} AS n_comma_decimal, {cif(f'{num} < 0')} AS n_negative FROM {t}")
+            f"{cif(f'contains({c}, {chr(39)},{chr(39)})')} AS n_comma_decimal, {cif(f'{num} < 0')} AS n_negative, {cif(f'{num} = 0')} AS n_zero FROM {t}")
 
 
 # L6 with the other convention: a missing value counts as non-numeric.

@@ -14,6 +14,7 @@ import os
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from starloom.session import checkpoint_dir
 from starloom.streaming.incremental import ingest_stream
@@ -147,3 +148,66 @@ register("s08_workbook", _channels_workbook, _silver_oracle("silver_channels"))
 register("s09_bronze_layer_roundtrip", _customers_bronze, _silver_oracle("silver_customers"))
 register("s10_stream_ingest", _tickets_stream, _silver_oracle("silver_tickets"))
 register("s11_bronze_layer_counts", _bronze_counts, _bronze_counts_sql())
+
+
+# ---------------------------------------------------------- source files and layers
+
+def _reordered_header(spark, sf_dir):
+    """A file whose columns stand in another order than the schema's: names decide."""
+    st = star_for(spark, sf_dir)
+    path = scratch(spark, "items-reordered")
+    write_delimited(st.raw_items.select(*reversed(st.raw_items.columns)), path, ",")
+    return export(S.silver_items(R.read_delimited(spark, path, R.ITEMS_SCHEMA, sep=","), st.raw_products))
+
+
+def _malformed_lines(spark, sf_dir):
+    """Every tenth ticket's line is cut short; bronze keeps its text and the file it came from."""
+    st = star_for(spark, sf_dir)
+    base = scratch(spark, "tickets-malformed")
+    line = F.to_json(F.struct(*st.raw_tickets.columns))
+    cut = F.substring("ticket_id", 2, 20).cast("long") % 10 == 0
+    (st.raw_tickets.select(F.when(cut, F.substring_index(line, ",", 1)).otherwise(line).alias("line"))
+     .write.text(f"{base}/tickets.ndjson"))
+    B.build_bronze_from_files(spark, base, f"{base}/out", only=["tickets"])
+    bronze = B.read_table(spark, f"{base}/out", "bronze", "tickets")
+    return bronze.agg(F.count(F.lit(1)).alias("rows"), F.count(R.CORRUPT).alias("malformed"),
+                      F.count_if(F.col(R.CORRUPT).startswith('{"ticket_id":"T')).alias("malformed_text_kept"),
+                      F.count_if(F.col("_source_file").contains("tickets.ndjson")).alias("with_file"))
+
+
+def _layer_counts_query(layer: str):
+    tables = [*B.SILVER_TABLES] if layer == "silver" else [*B.GOLD_TABLES]
+
+    def run(spark, sf_dir):
+        """The layers written one from the other, then the row report read back."""
+        base = scratch(spark, f"{layer}-layer")
+        B.build_bronze(spark, sf_dir, base)
+        B.build_silver(spark, base)
+        if layer == "gold":
+            B.build_gold(spark, base)
+        return B.layer_counts(spark, base, layer, tables)
+    return run
+
+
+def _written_fact(spark, sf_dir):
+    """fact_pedidos_itens as the gold layer holds it, built from written layers."""
+    base = scratch(spark, "gold-fact")
+    B.build_bronze(spark, sf_dir, base)
+    B.build_silver(spark, base)
+    B.build_gold(spark, base)
+    return export(B.read_table(spark, base, "gold", "fact_pedidos_itens"))
+
+
+def _counts_sql(layer: str, names: dict[str, str]) -> str:
+    return O.with_ctes(list(names.values()), " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{n}' AS table_name, count(*) AS rows FROM {cte}" for n, cte in names.items()))
+
+
+register("s12_reordered_header", _reordered_header, _silver_oracle("silver_items"))
+register("s13_malformed_lines", _malformed_lines, O.with_ctes(["raw_tickets"], """
+SELECT count(*) AS rows, count(*) FILTER (WHERE bad) AS malformed, count(*) FILTER (WHERE bad) AS malformed_text_kept,
+  count(*) AS with_file FROM (SELECT CAST(substr(ticket_id, 2) AS BIGINT) % 10 = 0 AS bad FROM raw_tickets)"""))
+register("s14_silver_layer_counts", _layer_counts_query("silver"),
+         _counts_sql("silver", {t: f"silver_{t}" for t in B.SILVER_TABLES}))
+register("s15_gold_layer_counts", _layer_counts_query("gold"), _counts_sql("gold", {t: t for t in B.GOLD_TABLES}))
+register("s16_gold_fact_written", _written_fact, O.exported("fact_pedidos_itens", TABLE_COLUMNS["fact_pedidos_itens"]))

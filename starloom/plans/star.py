@@ -7,7 +7,6 @@ form (dates/timestamps as text, arrays joined) for comparison and writing.
 
 from __future__ import annotations
 
-import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,33 +83,20 @@ class Star:
         return G.dim_data(self.silver_orders, self.silver_deliveries, self.silver_tickets)
     @cached_property
     def fact_pedidos(self):
-        return G.fact_pedidos(self.silver_orders, self.silver_deliveries, self.raw_customers)
+        return G.fact_pedidos(self.silver_orders, self.silver_deliveries, G.customer_members(self.raw_customers))
     @cached_property
     def fact_pedidos_itens(self):
-        return G.fact_pedidos_itens(self.silver_items, self.silver_orders, self.raw_customers,
-                                    self.raw_products)
+        return G.fact_pedidos_itens(S.items_tested(self.raw_items, self.raw_products), self.silver_orders,
+                                    G.customer_members(self.raw_customers), G.product_members(self.raw_products))
     @cached_property
     def fact_entregas(self): return G.fact_entregas(self.silver_deliveries)
     @cached_property
-    def fact_ocorrencias(self): return G.fact_ocorrencias(self.silver_tickets, self.raw_customers)
-
-
-_STARS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Star]]" = weakref.WeakKeyDictionary()
+    def fact_ocorrencias(self): return G.fact_ocorrencias(self.silver_tickets, G.customer_members(self.raw_customers))
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
-    """The lazily wired star for this session and folder, built once per
-    process.  Only immutable logical plans are shared between queries: every
-    action still scans and computes from the tables (nothing is cached).
-    The file listing is taken when a table is first read; use a new
-    ``Star`` if the folder's files change while the session lives."""
-    per = _STARS.get(spark)
-    if per is None or spark.sparkContext._jsc is None:
-        per = _STARS[spark] = {}
-    st = per.get(sf_dir)
-    if st is None:
-        st = per[sf_dir] = Star(spark, sf_dir)
-    return st
+    """The lazily wired star over a folder, with a file listing of its own."""
+    return Star(spark, sf_dir)
 
 
 SILVER = ["customers", "products", "channels", "regions", "sellers", "orders", "items",

@@ -20,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Stamps are parsed and rendered in one zone, strictly.
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.legacy.timeParserPolicy": "EXCEPTION",
     # Top-1 dedup keeps its partial (map-side) group limit.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
@@ -55,12 +58,16 @@ def get_session(app_name: str = "starloom", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    fresh scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir``; only when it is unset and the master is
+    local (tests) a fresh scratch folder is created and registered.  On a
+    cluster a folder of the driver's machine would be of no use, so there an
+    unset one is an error.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)

@@ -11,6 +11,7 @@ path (one folder per layer), and the whole-chain builder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -19,6 +20,9 @@ from pyspark.sql import functions as F
 from starloom.plans import gold as G
 from starloom.plans import inputs as I
 from starloom.plans import silver as S
+from starloom.session import tune_for_input
+from starloom.sources import readers as R
+from starloom.sources.workbook import read_workbooks
 
 
 def layer_path(base_path: str, layer: str, table: str) -> str:
@@ -60,6 +64,32 @@ GOLD_TABLES = ["dim_cliente", "dim_produto", "dim_canal", "dim_regiao", "dim_ven
                "fact_pedidos", "fact_pedidos_itens", "fact_entregas", "fact_ocorrencias"]
 
 
+def source_readers(spark: SparkSession, source_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """The nine raw sources of a folder, by the reader of their format.  A
+    name stands for a file or a folder of files."""
+    at = source_dir.rstrip("/")
+    return {
+        "products": lambda: R.read_json_array(spark, f"{at}/products.json", R.PRODUCTS_SCHEMA, keep_corrupt=True),
+        "orders": lambda: R.read_delimited(spark, f"{at}/orders.csv", R.ORDERS_SCHEMA, sep=";", keep_corrupt=True),
+        "items": lambda: R.read_delimited(spark, f"{at}/items.csv", R.ITEMS_SCHEMA, sep=",", keep_corrupt=True),
+        "regions": lambda: R.read_delimited(spark, f"{at}/regions.txt", R.REGIONS_SCHEMA, sep="|", keep_corrupt=True),
+        "sellers": lambda: R.read_delimited(spark, f"{at}/sellers.csv", R.SELLERS_SCHEMA, sep=";", keep_corrupt=True),
+        "deliveries": lambda: R.read_ndjson(spark, f"{at}/deliveries.ndjson", R.DELIVERIES_SCHEMA, keep_corrupt=True),
+        "tickets": lambda: R.read_ndjson(spark, f"{at}/tickets.ndjson", R.TICKETS_SCHEMA, keep_corrupt=True),
+        "channels": lambda: read_workbooks(spark, f"{at}/channels.xlsx", R.CHANNELS_SCHEMA),
+        "customers": lambda: R.read_delimited(spark, f"{at}/customers.csv", R.CUSTOMERS_SCHEMA, sep=",", keep_corrupt=True),
+    }
+
+
+def build_bronze_from_files(spark: SparkSession, source_dir: str, base_path: str,
+                            only: list[str] | None = None) -> dict[str, int]:
+    """Raw source files -> bronze: every record as delivered, malformed ones
+    as text in ``_corrupt_record``, with the file that each came from."""
+    return {name: write_table(with_ingest_columns(read(), None if name != "channels" else f"{source_dir}/channels.xlsx"),
+                              base_path, "bronze", name)
+            for name, read in source_readers(spark, source_dir).items() if only is None or name in only}
+
+
 def build_bronze(spark: SparkSession, sf_dir: str, base_path: str) -> dict[str, int]:
     """Raw sources (derived from the test tables) -> bronze, as delivered."""
     return {name: write_table(with_ingest_columns(fn(spark, sf_dir), f"{name}"), base_path, "bronze", name)
@@ -67,7 +97,7 @@ def build_bronze(spark: SparkSession, sf_dir: str, base_path: str) -> dict[str,
 
 
 def build_silver(spark: SparkSession, base_path: str) -> dict[str, int]:
-    b = {t: read_table(spark, base_path, "bronze", t).drop("_ingested_at", "_source_file")
+    b = {t: read_table(spark, base_path, "bronze", t).drop("_ingested_at", "_source_file", R.CORRUPT)
          for t in I.RAW_BUILDERS}
     frames = {
         "products": S.silver_products(b["products"]),
@@ -85,25 +115,31 @@ def build_silver(spark: SparkSession, base_path: str) -> dict[str, int]:
 
 def build_gold(spark: SparkSession, base_path: str) -> dict[str, int]:
     s = {t: read_table(spark, base_path, "silver", t) for t in SILVER_TABLES}
-    raw_customers = read_table(spark, base_path, "bronze", "customers")
-    raw_products = read_table(spark, base_path, "bronze", "products")
+    # Facts resolve their keys against the dimensions of this very build.
+    customers, products = G.dim_cliente(s["customers"]), G.dim_produto(s["products"])
     frames = {
-        "dim_cliente": G.dim_cliente(s["customers"]),
-        "dim_produto": G.dim_produto(s["products"]),
+        "dim_cliente": customers,
+        "dim_produto": products,
         "dim_canal": G.dim_canal(s["channels"]),
         "dim_regiao": G.dim_regiao(s["regions"]),
         "dim_vendedor": G.dim_vendedor(s["sellers"], s["channels"], s["regions"]),
         "dim_data": G.dim_data(s["orders"], s["deliveries"], s["tickets"]),
-        "fact_pedidos": G.fact_pedidos(s["orders"], s["deliveries"], raw_customers),
-        "fact_pedidos_itens": G.fact_pedidos_itens(s["items"], s["orders"], raw_customers, raw_products),
+        "fact_pedidos": G.fact_pedidos(s["orders"], s["deliveries"], customers),
+        "fact_pedidos_itens": G.fact_pedidos_itens(s["items"], s["orders"], customers, products),
         "fact_entregas": G.fact_entregas(s["deliveries"]),
-        "fact_ocorrencias": G.fact_ocorrencias(s["tickets"], raw_customers),
+        "fact_ocorrencias": G.fact_ocorrencias(s["tickets"], customers),
     }
     return {t: write_table(df, base_path, "gold", t) for t, df in frames.items()}
 
 
-def build_all(spark: SparkSession, sf_dir: str, base_path: str) -> dict[str, dict[str, int]]:
-    """bronze -> silver -> gold under ``base_path`` (a shared folder)."""
-    return {"bronze": build_bronze(spark, sf_dir, base_path),
+def build_all(spark: SparkSession, sf_dir: str | None, base_path: str, source_dir: str | None = None,
+              input_bytes: int | None = None) -> dict[str, dict[str, int]]:
+    """bronze -> silver -> gold under ``base_path`` (a shared folder), from
+    source files or else the test tables; ``input_bytes`` sizes scans and
+    shuffles for the volume."""
+    if input_bytes:
+        tune_for_input(spark, input_bytes)
+    return {"bronze": build_bronze_from_files(spark, source_dir, base_path) if source_dir
+            else build_bronze(spark, sf_dir, base_path),
             "silver": build_silver(spark, base_path),
             "gold": build_gold(spark, base_path)}

@@ -1,5 +1,4 @@
-"""Schema-declared readers for the raw source formats, plus a scan-spread
-guard.
+"""Schema-declared readers for the raw source formats.
 
 Every reader takes an explicit schema (all leaf scalars as string, as the
 sources deliver them), so no inference pass runs and the schema cannot
@@ -10,6 +9,7 @@ file is read by one task per file, so keep such sources as many files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -48,34 +48,37 @@ CUSTOMERS_SCHEMA = T.StructType(_s("customer_id", "nome_cliente", "segmento", "p
                                    "data_cadastro", "email", "status_cliente", "updated_at"))
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+#: Column that keeps the text of a record that doesn't parse.
+CORRUPT = "_corrupt_record"
+
+
+def _json(spark: SparkSession, schema: T.StructType, keep_corrupt: bool):
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]) if keep_corrupt else schema
+    return spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
     """A file holding one top-level JSON array -> one row per element."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return _json(spark, schema, keep_corrupt).option("multiLine", True).json(path)
 
 
-def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Newline-delimited JSON (splittable)."""
-    return spark.read.schema(schema).json(path)
+def read_ndjson(spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
+    """Newline-delimited JSON (splittable).  ``keep_corrupt`` adds the text of
+    malformed lines as ``_corrupt_record``, so bronze loses none of them."""
+    return _json(spark, schema, keep_corrupt).json(path)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   quote: str = '"', escape: str = '"') -> DataFrame:
-    """Header CSV / pipe / semicolon text.  ``escape='"'`` decodes doubled
-    quotes inside quoted cells (JSON kept in a CSV cell); empty cells -> null."""
-    return (spark.read.schema(schema).option("header", True).option("sep", sep)
-            .option("quote", quote).option("escape", escape).option("mode", "PERMISSIVE").csv(path))
-
-
-def spread_scan(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin a scan that arrives as fewer files than cores.
-
-    A few large unsplittable files (one parquet row group, one JSON array)
-    would otherwise run all row-level cleansing in one task.  With many
-    input files (the normal case at scale) this is a no-op, so it never
-    adds a shuffle to a well-laid-out source.
-    """
-    spark = df.sparkSession
-    target = min_tasks or spark.sparkContext.defaultParallelism
-    if target > 1 and len(df.inputFiles()) < target:
-        return df.repartition(target)
-    return df
+                   quote: str = '"', escape: str = '"', keep_corrupt: bool = False) -> DataFrame:
+    """Header CSV / pipe / semicolon text; columns are found by the names in
+    the header, whatever their order, and one that is missing is null.
+    ``escape='"'`` decodes doubled quotes inside quoted cells (JSON kept in a
+    CSV cell); empty cells -> null.  The files of one source share a header."""
+    options = {"header": True, "sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE"}
+    named = spark.read.options(**options).csv(path).columns  # reads the header line alone
+    full = T.StructType([T.StructField(n, T.StringType()) for n in named]
+                        + [T.StructField(CORRUPT, T.StringType())] * keep_corrupt)
+    found = spark.read.options(**options).option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(path)
+    columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in named
+               else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return found.select(*columns, *([CORRUPT] if keep_corrupt else []))

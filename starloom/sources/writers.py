@@ -5,16 +5,14 @@
   string as a quoted ``""``, so :func:`starloom.sources.readers.read_delimited`
   reads back exactly what was written.
 * :func:`write_json_array` - the multi-line "JSON dump" layout (one
-  top-level array per file), which Spark's JSON writer does not produce:
-  each task streams its partition into one array file.  Temp files are per
-  attempt and hidden, and the rename is atomic, so retries and speculative
-  attempts never leave a partial file visible to readers.
+  top-level array per file), which Spark's JSON writer does not produce.
+
+Both go through Spark's own text writers, so any file system serves and the
+committer keeps retries and speculative attempts from showing.
 """
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,31 +31,23 @@ def write_delimited(df: DataFrame, path: str, sep: str) -> None:
        .csv(path))
 
 
-def write_json_array(df: DataFrame, path: str) -> None:
-    """One file per partition holding a single top-level JSON array (the
-    multi-line JSON dump layout); each task writes its own file."""
-    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+def _array_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines of one JSON array over a partition's documents; none without documents."""
+    opening = "["
+    for pdf in batches:
+        lines = []
+        for doc in pdf["j"]:
+            lines.append(opening + doc)
+            opening = ","
+        if lines:
+            yield pd.DataFrame({"line": lines})
+    if opening == ",":
+        yield pd.DataFrame({"line": ["]"]})
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-        part = TaskContext.get().partitionId()
-        target = os.path.join(path, f"part-{part:05d}.json")
-        # one temp file per attempt, hidden (leading dot) so readers never see a partial file
-        tmp = os.path.join(path, f".{os.path.basename(target)}.attempt-{TaskContext.get().taskAttemptId()}.tmp")
-        n = 0
-        os.makedirs(path, exist_ok=True)
-        with open(tmp, "w", encoding="utf-8") as fh:
-            fh.write("[\n")
-            for pdf in batches:
-                for doc in pdf["j"]:
-                    fh.write((",\n" if n else "") + json.dumps(json.loads(doc), ensure_ascii=False, indent=1))
-                    n += 1
-            fh.write("\n]\n")
-        if n:
-            os.replace(tmp, target)
-        else:
-            os.remove(tmp)
-        yield pd.DataFrame({"rows": [n]})
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One file per partition holding a single top-level JSON array (the
+    multi-line JSON dump layout)."""
     ship_package(df.sparkSession)
-    js.mapInPandas(write, "rows long").agg(F.sum("rows")).collect()
+    js = df.select(F.to_json(F.struct(*df.columns)).alias("j"))
+    js.mapInPandas(_array_lines, "line string").write.mode("overwrite").text(path)

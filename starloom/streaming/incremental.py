@@ -1,11 +1,13 @@
 """Incremental loads: high-water mark, latest-wins upsert, streaming ingest.
 
-* :func:`high_water_filter` keeps increment rows newer than the target's
-  newest row.  The target maximum is a scalar subquery evaluated inside the
-  plan, never a value fetched to the driver.
+* :func:`new_arrivals` keeps the rows that were ingested after a persisted
+  mark.  The mark is on the ingest stamp, never on the data's own stamps, so
+  rows that are late, undated or dated like the newest row are kept.
 * :func:`upsert_latest` merges target and increment by business key,
   latest ``order_col`` winning (the same total order as silver dedup), so
-  repeated application is idempotent.
+  repeated application is idempotent and late rows lose or win by rule.
+* :func:`upsert_partitions` rewrites only the partitions that an increment
+  touches, next to the target, and swaps them in partition by partition.
 * :func:`ingest_stream` picks up only new raw files with Structured
   Streaming (the file source's checkpoint remembers what was read) and
   writes each micro-batch to its own ``batch_id=N`` folder with overwrite,
@@ -24,19 +26,34 @@ from pyspark.sql import types as T
 from starloom.operators.dedup import dedup_keep_latest
 
 
-def high_water_filter(increment: DataFrame, target: DataFrame, order_col: str) -> DataFrame:
-    """Rows of ``increment`` with ``order_col`` above max(target.order_col).
-    An empty target (null mark) lets every non-null row through."""
-    mark = target.select(F.max(order_col)).scalar()
-    keep = F.col(order_col).isNotNull() & (mark.isNull() | (F.col(order_col) > mark))
-    return increment.where(keep)
+def new_arrivals(arrivals: DataFrame, mark, ingest_col: str = "_ingested_at") -> DataFrame:
+    """Rows ingested after ``mark`` (a literal or a one-row scalar; null: all),
+    and those without an ingest stamp."""
+    stamp, mark = F.col(ingest_col), mark if isinstance(mark, Column) else F.lit(mark)
+    return arrivals.where(mark.isNull() | stamp.isNull() | (stamp > mark))
 
 
 def upsert_latest(target: DataFrame, increment: DataFrame, keys: Sequence[str], order_col: str,
-                  extra_order: Sequence[Column] = (), use_high_water_mark: bool = True) -> DataFrame:
-    """New target = latest row per key over target and (filtered) increment."""
-    inc = high_water_filter(increment, target, order_col) if use_high_water_mark else increment
-    return dedup_keep_latest(target.unionByName(inc), keys, order_col, extra_order)
+                  extra_order: Sequence[Column] = ()) -> DataFrame:
+    """New target = latest row per key over target and increment: one
+    deduplication, whatever state either is in."""
+    return dedup_keep_latest(target.unionByName(increment), keys, order_col, extra_order)
+
+
+def upsert_partitions(spark: SparkSession, target_path: str, increment: DataFrame, keys: Sequence[str], order_col: str,
+                      partition_col: str, staging_path: str, extra_order: Sequence[Column] = ()) -> None:
+    """Merge ``increment`` into the table at ``target_path``, partitioned by
+    ``partition_col`` (a function of the key): only partitions that the
+    increment touches are read and rewritten.  The merged partitions are
+    written to ``staging_path`` first, as a job must not overwrite what it
+    reads, and then replace theirs (dynamic partition overwrite); a failed
+    swap is repeated from the staging files."""
+    touched = increment.select(partition_col).distinct()
+    current = spark.read.parquet(target_path).join(touched, partition_col, "left_semi")
+    merged = upsert_latest(current.select(*increment.columns), increment, keys, order_col, extra_order)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_path)
+    (spark.read.schema(increment.schema).parquet(staging_path).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target_path))
 
 
 def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.expectations import observe_violations
 from starloom.sources import readers as R
-from starloom.streaming.incremental import high_water_filter, ingest_stream, upsert_latest
+from starloom.streaming.incremental import ingest_stream, new_arrivals, upsert_latest, upsert_partitions
 
 
 def _write_ndjson(path, rows):
@@ -31,10 +31,32 @@ def test_stream_ingests_each_file_once(spark, tmp_dir):
     assert back.where(F.col("_source_file").endswith("b.json")).count() == 1
 
 
-def test_upsert_latest_and_high_water_mark(spark):
+def test_late_equal_and_undated_rows_are_kept(spark):
+    target = spark.createDataFrame([("A", "2024-01-02", 1)], "k string, stamp string, _ingested_at int")
+    arrivals = spark.createDataFrame([("B", "2024-01-02", 2), ("C", None, 2), ("D", "2024-01-01", 2), ("E", "2024-01-03", 1),
+                                      ("F", "2024-01-03", None)], "k string, stamp string, _ingested_at int")
+    new = new_arrivals(arrivals, target.agg(F.max("_ingested_at")).scalar())
+    assert sorted(r["k"] for r in new.collect()) == ["B", "C", "D", "F"]
+    out = upsert_latest(target, new, ["k"], "stamp")
+    assert sorted(r["k"] for r in out.collect()) == ["A", "B", "C", "D", "F"]
+    assert new_arrivals(arrivals, None).count() == 5
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_dir):
+    target, staging = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "s")
+    rows = spark.createDataFrame([("A", 1, "old", 0), ("B", 1, "old", 1), ("C", 1, "old", 1)], "k string, ts int, v string, p int")
+    rows.write.partitionBy("p").parquet(target)
+    before = {f: os.path.getmtime(os.path.join(target, "p=0", f)) for f in os.listdir(os.path.join(target, "p=0"))}
+    inc = spark.createDataFrame([("B", 2, "new", 1), ("D", 1, "new", 2), ("C", 0, "late", 1)], "k string, ts int, v string, p int")
+    upsert_partitions(spark, target, inc, ["k"], "ts", "p", staging)
+    out = {r["k"]: (r["v"], r["p"]) for r in spark.read.parquet(target).collect()}
+    assert out == {"A": ("old", 0), "B": ("new", 1), "C": ("old", 1), "D": ("new", 2)}
+    assert before == {f: os.path.getmtime(os.path.join(target, "p=0", f)) for f in os.listdir(os.path.join(target, "p=0"))}
+
+
+def test_upsert_latest_is_idempotent(spark):
     target = spark.createDataFrame([("A", 1, "old"), ("B", 5, "old")], "k string, ts int, v string")
     inc = spark.createDataFrame([("A", 6, "new"), ("B", 4, "late"), ("C", 7, "new")], "k string, ts int, v string")
-    assert sorted(r["k"] for r in high_water_filter(inc, target, "ts").collect()) == ["A", "C"]
     out = {r["k"]: r["v"] for r in upsert_latest(target, inc, ["k"], "ts").collect()}
     assert out == {"A": "new", "B": "old", "C": "new"}
     again = upsert_latest(upsert_latest(target, inc, ["k"], "ts"), inc, ["k"], "ts")

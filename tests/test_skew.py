@@ -74,7 +74,7 @@ def test_session_enables_skew_handling(spark):
 
 def test_hot_key_join_partition_is_split_by_aqe(spark):
     """With broadcast off and skew thresholds at test scale, AQE splits the
-    hot key's partition of the existence join (SortMergeJoin skew=true)."""
+    partitions of the hot key and of the null keys (SortMergeJoin skew=true)."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -85,11 +85,11 @@ def test_hot_key_join_partition_is_split_by_aqe(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        df = _skewed(spark).where(F.col("k").isNotNull())
-        keys = df.select(F.col("k").alias("key")).distinct()
+        df = _skewed(spark)
+        keys = df.where("k IS NOT NULL").select(F.col("k").alias("key")).distinct()
         out = with_key_exists(df, "k", keys, "key", "exists")
         rows = out.groupBy("exists").agg(F.count(F.lit(1)).alias("n")).collect()
-        assert {r["exists"]: r["n"] for r in rows} == {True: 2 * N // 3}
+        assert {r["exists"]: r["n"] for r in rows} == {True: 2 * N // 3, None: N // 3}
         counted = with_key_exists(df, "k", keys, "key", "exists")
         counted.collect()
         assert "skew=true" in _plan(counted)
@@ -101,8 +101,8 @@ def test_hot_key_join_partition_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_null_key_rows_spread_over_partitions(spark):
-    """The salt is part of the shuffle key: null-key rows land in many partitions."""
+def test_null_key_rows_go_around_the_join(spark):
+    """Asked for, null-key rows are not shuffled at all: they stay where they came from."""
     old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
                                                  "spark.sql.adaptive.autoBroadcastJoinThreshold",
                                                  "spark.sql.adaptive.coalescePartitions.enabled")}
@@ -112,10 +112,11 @@ def test_null_key_rows_spread_over_partitions(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         df = _skewed(spark)
         keys = df.select(F.col("k").alias("key")).distinct()
-        out = with_key_exists(df, "k", keys, "key", "exists")
+        out = with_key_exists(df, "k", keys, "key", "exists", nulls_apart=True)
+        assert out.count() == N and out.where("k IS NULL AND exists IS NULL").count() == N // 3
         spread = (out.where(F.col("k").isNull()).select(F.spark_partition_id().alias("p"))
                   .distinct().count())
-        assert spread > 1
+        assert spread == 12  # as many as the input has
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -141,7 +142,7 @@ def test_identical_null_key_copies_spread(spark):
         df = spark.range(0, 30000, numPartitions=12).select(
             F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.col("id").cast("string")).alias("k"))
         keys = df.select(F.col("k").alias("key")).distinct()
-        out = with_key_exists(df, "k", keys, "key", "exists")
+        out = with_key_exists(df, "k", keys, "key", "exists", nulls_apart=True)
         nulls = out.where(F.col("k").isNull())
         assert nulls.count() == 10000
         assert nulls.select(F.spark_partition_id()).distinct().count() > 1
