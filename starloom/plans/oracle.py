@@ -9,7 +9,7 @@ multi-layout date parse), they do not share code with the Spark side.
 
 from __future__ import annotations
 
-from starloom.functions import vocab
+from starloom.plans import oracle_values as vocab
 
 NI = vocab.NOT_INFORMED
 
