@@ -203,17 +203,21 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     is when all are taken); documents that the mix leaves out don't appear."""
     plan = Mix(docs, id_col, text_col, source_col)
     # Repeated ids are told apart by the hash of the text, equal rows by a number.
-    same = Window.partitionBy("doc_id", "text_hash").orderBy("sid", "off")
-    numbers = plan.placed.filter("size > 0").withColumn("copy", F.row_number().over(same))
-    picks = plan.pieces().filter("epoch IS NOT NULL").groupBy("sid", "off", "doc_id", "text_hash", "size", "epoch").agg(
-        F.sum("n").alias("n"), F.collect_list(F.struct("start", "n")).alias("parts"))
-    picks = picks.join(numbers.select("sid", "off", "copy"), ["sid", "off"]).select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("copy").alias("__copy"),
-        F.col("size").alias("__size"), F.col("n").alias("__n"), F.col("parts").alias("__parts"))
-    left = docs.withColumns({"__id": docs[id_col].cast("long"), "__hash": F.xxhash64(docs[text_col])})
-    left = left.withColumn("__copy", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(0))))
-    out = left.alias("l").join(picks.alias("r"), F.col("l.__id").eqNullSafe(F.col("r.__id")) & (F.col("l.__hash") == F.col("r.__hash"))
-                               & (F.col("l.__copy") == F.col("r.__copy")))
+    row_key = lambda i, h: F.xxhash64(i, h)
+    same = Window.partitionBy("__key", "__hash")
+    numbers = plan.placed.filter("size > 0").withColumns(
+        {"__key": row_key(F.col("doc_id"), F.col("text_hash")), "__hash": F.col("text_hash")}).withColumn(
+        "__copy", F.row_number().over(same.orderBy("sid", "off")))
+    picks = plan.pieces().filter("epoch IS NOT NULL").groupBy("sid", "off", "size", "epoch").agg(
+        F.sum("n").alias("__n"), F.collect_list(F.struct("start", "n")).alias("__parts"))
+    picks = picks.join(numbers.select("sid", "off", "__key", "__hash", "__copy"), ["sid", "off"]).withColumnRenamed("size", "__size")
+    text_hash = F.xxhash64(docs[text_col])
+    left = docs.withColumns({"__key": row_key(docs[id_col].cast("long"), text_hash), "__hash": text_hash})
+    left = left.withColumn("__copy", F.row_number().over(same.orderBy(F.lit(0))))
+    # The number is compared by a difference, which leaves the documents dealt
+    # by key and hash as they are: the texts are shuffled once.
+    out = left.alias("l").join(picks.alias("r"), (F.col("l.__key") == F.col("r.__key")) & (F.col("l.__hash") == F.col("r.__hash"))
+                               & (F.col("l.__copy") - F.col("r.__copy") == 0))
     word = F.regexp_extract_all(F.col(f"l.{text_col}"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     some = F.array_join(F.flatten(F.transform(F.array_sort("__parts"), lambda p: F.slice(
         F.col("__words"), (p["start"] + 1).cast("int"), p["n"].cast("int")))), "")
