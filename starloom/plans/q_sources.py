@@ -10,13 +10,12 @@ the oracle is the silver table's oracle.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import checkpoint_dir
+from starloom.session import scratch_root
 from starloom.streaming.incremental import ingest_stream
 from starloom.sources import layers as B
 from starloom.sources import readers as R
@@ -29,7 +28,7 @@ from starloom.plans.star import export, star_for
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    return os.path.join(checkpoint_dir(spark), "starloom-io", f"{label}-{uuid.uuid4().hex[:12]}")
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def _silver_oracle(name: str) -> str:

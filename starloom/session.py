@@ -7,10 +7,12 @@ shuffle statistics, not guesses) and splits skewed join partitions.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Settings that change results or plan shape; applied to an existing session
@@ -75,6 +77,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+_ROOTS: dict[str, str] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint folder.  It goes
+    when the driver's Python ends: results are lazy, so what they read has to
+    stay as long as the session may be used."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app not in _ROOTS:
+        _ROOTS[app] = f"{checkpoint_dir(spark).rstrip('/')}/starloom-{app}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(_ROOTS[app])
+        atexit.register(_remove, path.getFileSystem(sc._jsc.hadoopConfiguration()), path)
+    return _ROOTS[app]
+
+
+def _remove(file_system, path) -> None:
+    try:
+        file_system.delete(path, True)
+    except (Py4JError, OSError):  # the JVM is gone already; the cluster clears the folder
+        pass
+
+
 _SHIPPED: set[str] = set()
 
 
