@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import checkpoint_dir, ship_package
+from starloom.session import scratch_root, ship_package
 
 #: Code points that separate words: space and the ASCII controls 9 to 13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -22,7 +22,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the checkpoint folder that the cluster shares."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/starloom-llm/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
