@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -64,8 +65,8 @@ class Encoder:
     #: Normal and splitting steps (as the tokenizer file names them) that this holds for.
     NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
     SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-    PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-    PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    ODD = re.compile("[^\n\x21-\x7eÀ-ÖØ-öø-ÿ]")
+    PIECE = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -76,7 +77,8 @@ class Encoder:
         self.by_word = ((spec.get("normalizer") or {}).get("normalizers") == self.NORMAL
                         and split[0].get("pattern", {}).get("Regex") == self.SPLIT
                         and [s.get("type") for s in split] == ["Split", "ByteLevel"])
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+        # What all special tokens begin with (something that no text holds, if there are none).
+        self.mark = os.path.commonprefix([t["content"] for t in spec.get("added_tokens", [])] or ["\n\n"])
         letters = _byte_letters()
         self.letters = str.maketrans({chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(256)})
         self.forget()
@@ -87,32 +89,45 @@ class Encoder:
         self.flat = np.zeros(0, np.uint32)
         self.start = self.size = np.zeros(0, np.int64)
 
-    def word(self, word: bytes) -> list[int]:
-        text = word.decode("utf-8", "surrogatepass")
-        if not self.PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in self.PIECE.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if len(self.pieces) >= CACHE:
-                    self.pieces.clear()
-                ids = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
-            out += ids
-        return out
+    def spelled(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of plain words one after the other, and how many each has."""
+        pieces = self.PIECE.findall((b"\n".join(words) + b"\n").decode().lower())
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        tokenize, known = self.tokenizer.model.tokenize, self.pieces
+        for piece in set(pieces).difference(known):
+            known[piece] = [t.id for t in tokenize(piece if piece.isascii() else piece.translate(self.letters))]
+        ids, sizes, before = [], [], 0
+        for piece in pieces:
+            if piece == "\n":  # a word's end
+                sizes.append(len(ids) - before)
+                before = len(ids)
+            else:
+                ids += known[piece]
+        return ids, sizes
 
     def remember(self, words: list[bytes]) -> None:
         new = list(set(words).difference(self.at))
         if self.at and len(self.at) + len(new) > CACHE:
             self.forget()
             new = list(set(words))
-        if new:
-            got = [self.word(w) for w in new]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-            self.size = np.concatenate([self.size, size])
-            self.flat = np.concatenate([self.flat, np.fromiter((i for g in got for i in g), np.uint32, int(size.sum()))])
+        if not new:
+            return
+        texts = b"\n".join(new).decode("utf-8", "surrogatepass")
+        other = []
+        if self.ODD.search(texts) or self.mark in texts:
+            odd = [w for w in new for t in [w.decode("utf-8", "surrogatepass")] if self.ODD.search(t) or self.mark in t]
+            other = [self.tokenizer.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids for w in odd]
+            new = [*set(new).difference(odd), *odd]
+        ids, sizes = self.spelled(new[:len(new) - len(other)]) if len(new) > len(other) else ([], [])
+        for found in other:
+            ids += found
+            sizes.append(len(found))
+        size = np.array(sizes, np.int64)
+        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit arrays."""
