@@ -35,7 +35,7 @@ SPACE = "▁"
 #: Stands for a space sign in the text itself, which is no space: a code that no text holds and no piece has.
 SIGN = "\udfff"
 #: Exponent of the rank of a merge piece; distinct words remembered; texts whose draws advance together.
-SMOOTHING, CACHE, SLICE = 1.0, 300_000, 512
+SMOOTHING, CACHE, SLICE = 1.0, 150_000, 256
 
 
 def _hashed(x: np.ndarray) -> np.ndarray:
