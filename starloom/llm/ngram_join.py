@@ -407,7 +407,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     # 3. Pairs that are left: in different components, not compared by a common label.
     compared = small.select("node", F.col("group").alias("label")).unionByName(
         large.select("node", F.col("group").alias("label"))).groupBy("node").agg(F.min("label").alias("label"))
-    left = (left.drop("part").join(compared, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # Labels of compared members are component ids, so node ids too; the flag
+    # keeps them apart from the nodes that step 2 did not compare.
+    label = F.struct(F.col("label").isNull().alias("alone"), F.coalesce("label", "node").alias("id"))
+    left = (left.drop("part").join(compared, "node", "left").withColumn("label", label)
             .join(merged, "node", "left").withColumn("part", F.coalesce("part", "node")))
     left = written(left.withColumns({"lo": F.min("label").over(at), "hi": F.max("label").over(at),
                                      "first": F.min("part").over(at), "last": F.max("part").over(at)})

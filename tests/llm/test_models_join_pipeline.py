@@ -123,6 +123,37 @@ def test_join_of_a_large_near_group(spark):
     assert got == plain_components(rows)
 
 
+def test_smallest_node_without_a_hot_shingle_meets_a_small_member(spark, monkeypatch):
+    """b is compared with y, z and w in their hot shingle, but not with x, whose node names their component."""
+    def node(text):
+        return ngram_join._node(ngram_join.class_key(ngram_join.Shingler().hashes(text)))
+
+    words = [f"w{i}" for i in range(59)]
+    x = words + [min((f"last{k}" for k in range(200)), key=lambda last: node(" ".join([*words, last])))]
+    texts = {"x": " ".join(x), "b": " ".join([*x[:53], *(f"b{i}" for i in range(7))])}
+    texts |= {name: " ".join([*x[6:], f"{name}1", f"{name}2"]) for name in "yzw"}
+    strangers = [" ".join(f"p{i}x{j}" for j in range(60)) for i in range(100)]
+    texts["p"] = spark.createDataFrame([(t, node(t)) for t in strangers], "text string, node long").orderBy(F.xxhash64("node")).first()["text"]
+    nodes = {name: node(t) for name, t in texts.items()}
+    assert nodes["x"] == min(nodes[name] for name in "xyzw")
+    by_hash = spark.createDataFrame([(name, nodes[name]) for name in "xbp"], "name string, node long").orderBy(F.xxhash64("node"))
+    assert by_hash.first()["name"] == "p"  # the pivot, so step 1 does not compare x with b
+    entries = [(s, nodes[name], 8 * len(shingles(texts[name])) + 1)
+               for s, names in enumerate(("xy", "xz", "xw", "xbp", "yzwb")) for name in names]
+    monkeypatch.setattr(ngram_join, "HOT", 3)
+    monkeypatch.setattr(ngram_join, "prefix_entries", lambda *_: spark.createDataFrame(entries, "shingle long, node long, meta long"))
+    rows = list(enumerate(texts.values()))
+    want = plain_components(rows)
+    assert [c for _, c in want.values()] == [0, 0, 0, 0, 0, 5] and not any(linked(texts["b"], texts[name]) for name in "yzw")
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def linked(a, b):
+    a, b = shingles(a), shingles(b)
+    return 100 * len(a & b) >= 75 * len(a | b)
+
+
 def test_bitmap_never_exceeds_the_difference():
     draw = np.random.default_rng(2)
     for _ in range(200):
