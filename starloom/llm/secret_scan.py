@@ -5,8 +5,8 @@ inferred from its characters (hexadecimal, base-32, letters and digits, ...);
 three statistics measure how far it is from independent uniform draws of that
 alphabet: chi-squared uniformity, the number of runs above and below the
 middle of the alphabet, and lag-one serial correlation.  What ordinary prose
-scores is estimated, per encoding and length class, from words of the corpus
-joined to the same lengths; a candidate's p-value is the chance that prose
+scores is estimated, per encoding and length class, from all words of the
+corpus joined to the same lengths; a candidate's p-value is the chance that prose
 looks as random.  Candidates of all documents then pass a false-discovery
 control (Benjamini-Hochberg) weighted by length, as longer runs carry more
 evidence.  P-values are counted in a fixed number of bins, so the driver only
@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded_sample, frames, id_and_text, written
+from starloom.llm.common import frames, id_and_text, written
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -50,8 +50,8 @@ ENCODINGS = {
 ALPHABETS = {k: frozenset(v) for k, v in ENCODINGS.items()}
 #: Shortest candidate of each length class.
 LENGTHS = (16, 24, 32, 48, 64)
-#: False-discovery rate, rows of the sample that prose scores come from, bins of p-values.
-RATE, SAMPLE_ROWS, BINS = 0.001, 300, 400
+#: False-discovery rate, bins of p-values; prose runs that a class is judged by at least, steps of a summed score.
+RATE, BINS, LEAST_RUNS, STEPS = 0.001, 400, 30, 10_000
 #: Share of hexadecimal characters in prose, rounded up; departure that 99 % of random runs stay below.
 HEX_SHARE, RANDOM_BELOW = 0.4, math.log1p(11.3)
 
@@ -119,40 +119,117 @@ SCANNED = ("doc_id long, base array<struct<kind: int, start: long, `end`: long>>
            "runs array<struct<start: long, `end`: long, encoding: string, covered: boolean, score: double>>")
 
 
-def _prose_scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Scores of neighbouring plain words joined to each length class, read in
-    each encoding whose alphabet they could be taken for."""
-    plain = re.compile(r"[A-Za-z]{2,15}")
+PLAIN = re.compile(r"[A-Za-z]{2,15}")
+#: Encodings that words can be taken for, by the letters they are read in; those that score alike share an entry.
+READ_AS = (("fold", ("lower", "upper")), ("fold", ("lower36", "upper36")), ("fold", ("base32",)), ("case", ("letters",)),
+           ("case", ("base62",)), ("case", ("base64", "base64url")), ("case", ("any",)))
+
+
+def _pair_table(encoding: str) -> np.ndarray:
+    """For each pair of neighbouring letters (upper 0 to 25, lower 26 to 51) four
+    times the product of their centred places, shifted, plus whether they lie on
+    different sides of the middle."""
+    alphabet, letters = ENCODINGS[encoding], LOWER.upper() + LOWER
+    if encoding in ("lower", "lower36"):
+        letters = letters.lower()
+    elif encoding == "base32":
+        letters = letters.upper()
+    at, k = np.array([alphabet.find(c) for c in letters], np.int64), len(alphabet)
+    centred, high = 2 * at - (k - 1), at >= k / 2
+    return (np.outer(centred, centred) * 128 + (high[:, None] != high)).astype(np.int32).ravel()
+
+
+PAIRS = [_pair_table(names[0]) for _, names in READ_AS]
+
+
+def _joined(shortest: int, ends: np.ndarray, words_of: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Letters at which runs of neighbouring words start and end: each takes the
+    words it needs to be ``shortest`` long, the next one starts after it."""
+    after = np.searchsorted(ends, ends[:-1] + shortest).tolist()
+    first, last, at = [], [], 0
+    for n in words_of:
+        stop = at + n
+        while at < stop and (then := after[at]) <= stop:
+            first.append(at)
+            last.append(then)
+            at = then
+        at = stop
+    return ends[first], ends[last]
+
+
+def prose_scores(texts: list[str]) -> Iterator[tuple[tuple[str, ...], int, np.ndarray]]:
+    """Encodings, length class and ``departure`` of all neighbouring plain words
+    joined to that class, read in each encoding whose alphabet they could be taken for."""
+    words = [PLAIN.findall(t) for t in texts]
+    flat, words_of = [w for some in words for w in some], list(map(len, words))
+    if not flat:
+        return
+    code = np.frombuffer("".join(flat).encode("ascii"), np.uint8).astype(np.int64)
+    code = np.where(code < 97, code - 65, code - 71)
+    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)))])
+    pairs = code[:-1] * 52 + code[1:]
+    # Sums up to each letter may wrap round; the differences over a run do not.
+    sums = [np.concatenate([np.zeros(1, np.int32), np.cumsum(table[pairs], dtype=np.int32)]) for table in PAIRS]
+    for c, shortest in enumerate(LENGTHS):
+        first, last = _joined(shortest, ends, words_of)
+        if not len(first):
+            continue
+        size = last - first
+        run = np.repeat(np.arange(len(first)), size)
+        inside = np.arange(len(run)) + np.repeat(first - (np.cumsum(size) - size), size)
+        count = np.bincount(run * 52 + code[inside], minlength=52 * len(first)).reshape(-1, 2, 26)
+        squares = {"case": (count ** 2).sum((1, 2)), "fold": (count.sum(1) ** 2).sum(1)}
+        n = size.astype(float)
+        for (letters, names), total in zip(READ_AS, sums):
+            k = len(ENCODINGS[names[0]])
+            both = (total[last - 1] - total[first]).astype(np.int64)
+            switches, product = both & 127, (both >> 7) / 4
+            z_chi = (squares[letters] * k / n - n - (k - 1)) / np.sqrt(2 * (k - 1) * (n - 1) / n)
+            p = (k - math.ceil(k / 2)) / k
+            q = 2 * p * (1 - p)
+            z_runs = (switches - (n - 1) * q) / np.sqrt((n - 1) * q * (1 - q))
+            z_serial = product / ((k * k - 1) / 12 * np.sqrt(n - 1))
+            yield names, c, np.log1p(np.maximum(z_chi, 0) ** 2 + z_runs ** 2 + z_serial ** 2)
+
+
+def _prose_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Number, sum and sum of squares of a task's prose scores, in whole steps, so that their order is of no account."""
+    sums: dict[tuple[str, int], list[int]] = {}
     for pdf in batches:
-        rows = []
-        for text in pdf["text"]:
-            words = plain.findall(text)
-            for c, shortest in enumerate(LENGTHS):
-                at = 0
-                while at < len(words):
-                    run = ""
-                    while at < len(words) and len(run) < shortest:
-                        run += words[at]
-                        at += 1
-                    at += 48  # spread over the text
-                    if len(run) >= shortest:
-                        for encoding in ("lower", "upper", "lower36", "upper36", "base32", "letters", "base62",
-                                         "base64", "base64url", "any"):
-                            alphabet = ALPHABETS[encoding]
-                            own = run if LOWER[0] in alphabet and LOWER[0].upper() in alphabet else (
-                                run.lower() if LOWER[0] in alphabet else run.upper())
-                            rows.append((encoding, c, departure(own, encoding)))
-        yield pd.DataFrame(rows, columns=["encoding", "class", "score"])
-
-
-def fit_prose(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[tuple[str, int], tuple[float, float]]:
-    """Mean and deviation of prose scores by encoding and length class, from
-    at most ``sample_rows`` rows."""
-    sample = bounded_sample(docs.select("text"), sample_rows)
-    stats = (sample.mapInPandas(_prose_scores, "encoding string, class int, score double")
-             .groupBy("encoding", "class")
-             .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("sd"), F.count("*").alias("n")))
-    return {(r["encoding"], r["class"]): (r["mean"], max(r["sd"], 0.05)) for r in stats.collect() if r["n"] >= 30}
+        texts, some, letters = pdf["text"].tolist(), [], 0
+        for k, text in enumerate(texts):
+            some.append(text)
+            letters += len(text)
+            if letters < 1 << 20 and k < len(texts) - 1:
+                continue
+            for names, c, scores in prose_scores(some):
+                steps = np.rint(scores * STEPS).astype(np.int64)
+                for name in names:
+                    old = sums.get((name, c), (0, 0, 0))
+                    sums[name, c] = [old[0] + len(steps), old[1] + int(steps.sum()), old[2] + int((steps ** 2).sum())]
+            some, letters = [], 0
+    yield pd.DataFrame([(*key, n, str(total), str(squares)) for key, (n, total, squares) in sums.items()],
+                       columns=["encoding", "class", "n", "total", "squares"])
+
+
+def fit_prose(docs: DataFrame) -> dict[tuple[str, int], tuple[float, float]]:
+    """Mean and deviation of prose scores by encoding and length class, from all
+    rows; a class with few runs takes those of the nearest class that has enough."""
+    sums = (docs.select("text").mapInPandas(_prose_sums, "encoding string, class int, n long, total string, squares string")
+            .groupBy("encoding", "class")
+            .agg(F.sum("n").alias("n"), *(F.sum(F.col(x).cast("decimal(38,0)")).alias(x) for x in ("total", "squares"))))
+    found = {}
+    for r in sums.collect():  # a row for each encoding and class
+        n, total, squares = r["n"], int(r["total"]), int(r["squares"])
+        if n >= LEAST_RUNS:
+            sd = math.sqrt(max(n * squares - total * total, 0)) / n / STEPS
+            found[r["encoding"], r["class"]] = (total / n / STEPS, max(sd, 0.05))
+    prose = dict(found)
+    for encoding in {e for e, _ in found}:
+        known = [c for e, c in found if e == encoding]
+        for c in range(len(LENGTHS)):
+            prose.setdefault((encoding, c), found[encoding, min(known, key=lambda x: (abs(x - c), x))])
+    return prose
 
 
 def log_p(score: float, encoding: str, n: int, prose: dict) -> float:

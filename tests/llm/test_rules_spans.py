@@ -112,6 +112,35 @@ def test_battery_tells_random_runs_from_prose(spark, odd_docs, no_docs):
     assert secret_scan.without_secrets(odd_docs).count() == odd_docs.count() and secret_scan.scan(no_docs).count() == 0
 
 
+def test_prose_scores_cover_every_word_of_every_row(spark):
+    texts = {r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(40).collect()}
+    texts = [*sorted(texts), "", "ab", "The Quick BROWN fox jumps " * 50]
+    scores = {}
+    for text in texts:
+        words = re.findall("[A-Za-z]{2,15}", text)
+        for c, shortest in enumerate(secret_scan.LENGTHS):
+            run = ""
+            for word in words:
+                run += word
+                if len(run) >= shortest:
+                    for encoding in ("lower", "upper", "lower36", "upper36", "base32", "letters", "base62", "base64", "base64url", "any"):
+                        own = run.lower() if "lower" in encoding else run.upper() if encoding in ("upper", "upper36", "base32") else run
+                        scores.setdefault((encoding, c), []).append(secret_scan.departure(own, encoding))
+                    run = ""
+    fit = secret_scan.fit_prose(spark.createDataFrame([(t,) for t in texts], "text string"))
+    assert set(fit) == set(scores)
+    for key, found in scores.items():
+        assert abs(fit[key][0] - np.mean(found)) < 1e-3 and abs(fit[key][1] - max(np.std(found), 0.05)) < 1e-3
+
+
+def test_prose_of_rare_rows_and_short_texts_is_known(spark):
+    rows = [("",)] * 5000 + [("some quiet words of prose " * 40,)]  # one row has all the prose
+    fit = secret_scan.fit_prose(spark.createDataFrame(rows, "text string"))
+    assert {c for e, c in fit if e == "base62"} == set(range(5))
+    short = secret_scan.fit_prose(spark.createDataFrame([("seventeen plain words",)] * 40, "text string"))
+    assert short["any", 4] == short["any", 0]  # no run is longer
+
+
 def test_discovery_bin_is_benjamini_hochberg():
     bins = np.zeros(400)
     bins[0], bins[100], bins[30] = 990, 8, 2
