@@ -2,13 +2,16 @@
 
 High-recall generators propose overlapping spans of four kinds (email, ip,
 card, phone).  Each candidate gets format features (digits, groups,
-separators, lengths) and context features (neighbouring characters, words that
-announce the kind).  Boosted trees are fitted on a bounded sample of
-candidates, labelled by the strict patterns and check digits, whose outcome is
-not among the features; a threshold per kind is calibrated on candidates held
-out from the fit so that what passes it is right with the asked precision.
-Spans of the strict patterns always stay; candidates whose calibrated score
-passes and that touch no strict span are added.
+separators, lengths) and context features (neighbouring characters); the marks
+that make a span strict ('+', '@', check digits) are masked.  A candidate is
+right if it is strict, or well-formed but for its mark and announced by a cue
+word; wrong if its form rules it out (check digit, number of digits, part of a
+longer code or of another kind's strict span); else its outcome is unknown.
+Boosted trees are fitted on a bounded sample of known ones; a threshold per
+kind is calibrated on all known candidates of the documents held out, so that
+what passes it is right with the asked precision.  Spans of the strict patterns
+always stay; candidates that pass, are not ruled out and touch no strict span
+are added.
 
 Defined results: null and empty texts have no spans; rows are scanned whole
 and one by one, so repeated rows repeat their result; with too few labelled
@@ -42,6 +45,8 @@ LOOSE = (
     re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){11,23}"),
     re.compile(r"(?<![0-9])(?:\+|00)?[(]?[0-9]{1,4}[)]?(?:[\x20.-]?[(]?[0-9]{2,5}[)]?){2,4}"),
 )
+#: Ways to write the sign of an address; what an international number starts with.
+AT, PREFIX = re.compile(r"@|\s?[(\[](?:at|@)[)\]]\s?"), re.compile(r"\A(?:\+|00)")
 CUES = (("mail", "contact", "@"), ("ip", "host", "addr", "server"), ("card", "visa", "credit", "account"),
         ("phone", "tel", "call", "mobile", "fax"))
 #: Rows to fit on, those held out for thresholds included; precision asked of added spans.
@@ -101,25 +106,54 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def unmarked(kind: int, span: str) -> str:
+    """The span without what makes it strict: no '+' or '00' before a phone, one sign for any way to write '@'."""
+    return AT.sub("@", span, count=1) if kind == 0 else PREFIX.sub("", span) if kind == 3 else span
+
+
+def outcome(text: str, kind: int, start: int, end: int, base: list[tuple[int, int, int]]) -> int | None:
+    """1: right, 0: wrong, None: unknown."""
+    if (kind, start, end) in base:
+        return 1
+    if any(k != kind and s < end and start < e for k, s, e in base):
+        return 0
+    if any(s < end and start < e for _, s, e in base):
+        return None
+    span, digits = unmarked(kind, text[start:end]), _digits(text[start:end])
+    glued = (start > 0 and (text[start - 1].isalnum() or text[start - 1] in "_.@-")) or text[end:end + 1].isalnum() or text[end:end + 1] in ("_", "@")
+    if kind == 0:
+        m = re.fullmatch(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.([a-z]{2,24}|[A-Z]{2,24})[.:!?)]*", span)
+        formed = m is not None
+    elif kind == 1:
+        groups = span.split(".")
+        formed = not glued and len(groups) == 4 and all(int(g) <= 255 for g in groups)
+    elif kind == 2:
+        formed = not glued and 13 <= len(digits) <= 19 and luhn(digits)
+    else:
+        formed = not glued and 9 <= len(digits) <= 15
+    if not formed:
+        return 0
+    before = text[max(0, start - CONTEXT):start].lower()
+    return 1 if any(c in before for c in CUES[kind]) else None
+
+
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
-    """Format and context; nothing here tells the outcome of a check digit."""
-    span, before, after = text[start:end], text[max(0, start - CONTEXT):start], text[end:end + 2]
+    """Format and context; nothing here tells a strict span from one without its mark."""
+    span, before, after = unmarked(kind, text[start:end]), text[max(0, start - CONTEXT):start], text[end:end + 2]
     digits = sum(c.isdigit() for c in span)
     groups = [g for g in re.split(r"[^0-9A-Za-z]+", span) if g]
-    cue = before.lower()
     return [
         *(float(kind == k) for k in range(len(KINDS))),
-        float(end - start), float(digits), float(sum(c.isalpha() for c in span)),
+        float(len(span)), float(digits), float(sum(c.isalpha() for c in span)),
         float(sum(not c.isalnum() for c in span)), float(len(groups)),
         float(max(map(len, groups), default=0)), float(min(map(len, groups), default=0)),
         float(len(groups[0]) if groups else 0), float(len(groups[-1]) if groups else 0),
-        float(span.startswith("+")), float("(" in span), float(" " in span), float("-" in span), float("." in span),
-        float("@" in span), float(span.count(".")),
+        float("(" in span), float(" " in span), float("-" in span), float("." in span),
+        float(span.count(".")),
         float(max((int(g) for g in groups if g.isdecimal() and len(g) < 6), default=0)),
         float(not before or before[-1].isspace()), float(bool(before) and before[-1].isalnum()),
         float(bool(before) and before[-1] in "\"'=:"), float(not after or after[0].isspace()),
         float(bool(after) and after[0].isalnum()), float(bool(after) and after[0] in "\"'.,;"),
-        float(any(c in cue for c in CUES[kind])),
     ]
 
 
@@ -131,8 +165,7 @@ def _find(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for doc_id, row, text in zip(pdf["doc_id"], pdf["row"], pdf["text"]):
         base = base_spans(text)
-        strict = set(base)
-        loose = [{"kind": k, "start": s, "end": e, "label": int((k, s, e) in strict),
+        loose = [{"kind": k, "start": s, "end": e, "label": outcome(text, k, s, e, base),
                   "touches": any(s < y and x < e for _, x, y in base), "features": features(text, k, s, e)}
                  for k, s, e in candidates(text)]
         rows.append((doc_id, row, [{"kind": k, "start": s, "end": e} for k, s, e in base], loose))
@@ -145,25 +178,26 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return written(rows.mapInPandas(lambda it: frames(it, _find), FOUND), "pii-candidates")
 
 
-def _featured(found: DataFrame) -> DataFrame:
-    return (found.select("doc_id", "row", F.explode("loose").alias("c"))
-            .select("doc_id", "row", "c.kind", "c.start", "c.end", "c.label", "c.touches",
+def _featured(found: DataFrame, *more: str) -> DataFrame:
+    return (found.select("doc_id", "row", *more, F.explode("loose").alias("c"))
+            .select("doc_id", "row", *more, "c.kind", "c.start", "c.end", "c.label", "c.touches",
                     array_to_vector("c.features").alias("features")))
 
 
 def fit(found: DataFrame, fit_rows: int = FIT_ROWS, precision: float = PRECISION):
-    """(model, threshold by kind) from at most ``fit_rows`` candidates, taken in
-    the order of a hash; a fifth of them, by another hash, sets the thresholds.
-    None if they don't hold both outcomes."""
+    """(model, threshold by kind): trees from at most ``fit_rows`` candidates of
+    known outcome, taken in the order of a hash; all those of the fifth of the
+    documents that another hash holds out set the thresholds.  None if the
+    candidates to fit on don't hold both outcomes."""
     hashed = F.xxhash64("doc_id", "kind", "start", "end")
-    sample = _featured(found).orderBy(hashed).limit(fit_rows).withColumn(
-        "held_out", F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(5)) == 0)
-    sample = written(sample, "pii-sample")
-    counts = {r["label"]: r["n"] for r in sample.filter("not held_out").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    known = _featured(found.withColumn("held_out", F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(5)) == 0),
+                      "held_out").filter("label IS NOT NULL")
+    sample = written(known.filter("not held_out").orderBy(hashed).limit(fit_rows), "pii-sample")
+    counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if min(counts.get(0, 0), counts.get(1, 0)) < LEAST_FIT:
         return None
-    model = GBTClassifier(maxIter=8, maxDepth=3, maxBins=32, stepSize=0.3, seed=11).fit(sample.filter("not held_out"))
-    scored = (model.transform(sample.filter("held_out")).withColumn("p", vector_to_array("probability")[1])
+    model = GBTClassifier(maxIter=8, maxDepth=3, maxBins=32, stepSize=0.3, seed=11).fit(sample)
+    scored = (model.transform(known.filter("held_out")).withColumn("p", vector_to_array("probability")[1])
               .select("kind", "label", F.floor(F.col("p") * 100).cast("int").alias("step")))
     at = Window.partitionBy("kind").orderBy(F.desc("step"))
     steps = (scored.groupBy("kind", "step").agg(F.count("*").alias("n"), F.sum("label").alias("right"))
@@ -185,7 +219,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return base.drop("row")
     model, cut = fitted
     threshold = F.element_at(F.create_map(*(x for k, v in cut.items() for x in (F.lit(k), F.lit(v)))), F.col("kind"))
-    added = (model.transform(_featured(found).filter("not touches"))
+    added = (model.transform(_featured(found).filter("not touches AND (label IS NULL OR label = 1)"))
              .filter(vector_to_array("probability")[1] >= threshold)
              .groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", F.lit(False).alias("base"))).alias("more")))
     return base.join(added, "row", "left").select("doc_id", F.array_sort(F.concat(
