@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import ann, mixing, ngram_join, pii, piece_sampling, quality_eb, quality_rules, secret_scan, token_store, toxicity
+from starloom.llm import (ann, mixing, ngram_join, pii, piece_sampling, prefix_trie, quality_eb, quality_rules, secret_scan, token_store,
+                          toxicity)
 from starloom.llm.common import load, scratch_path
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -62,7 +63,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(load(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(load(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_nearest, op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op6_quality_sites, op7_token_files, op8_secret_scan,
-                                                          op9_sentencepiece, op10_ngram_join)}
+                                                          op9_sentencepiece, op10_ngram_join, op11_prefix_trie)}
 
-ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql()}
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql(), "op11_prefix_trie": prefix_trie.SQL}
