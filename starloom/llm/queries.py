@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (ann, hard_negatives, mixing, ngram_join, pii, piece_sampling, prefix_trie, quality_eb, quality_rules, secret_scan,
+from starloom.llm import (ann, hard_negatives, mixing, ngram_join, pii, piece_sampling, prefix_trie, quality_eb, quality_rules, secret_scan, simhash,
                           token_store, toxicity)
 from starloom.llm.common import load, scratch_path
 
@@ -67,12 +67,16 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(load(spark, sf_dir, "conversations"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
     return hard_negatives.mine(load(spark, sf_dir, "embeddings"), label, F.col("id") % 100 == 0)
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_nearest, op2_quality_rules, op3_pii, op4_toxicity, op5_mixing, op6_quality_sites, op7_token_files, op8_secret_scan,
-                                                          op9_sentencepiece, op10_ngram_join, op11_prefix_trie, op13_hard_negatives)}
+                                                          op9_sentencepiece, op10_ngram_join, op11_prefix_trie, op12_simhash, op13_hard_negatives)}
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality_rules.SQL, "op5_mixing": mixing.sql(), "op11_prefix_trie": prefix_trie.SQL, "op13_hard_negatives": hard_negatives.SQL}
