@@ -124,7 +124,9 @@ PACKED = "block long, labels array<long>, ids binary, of binary, width int, data
 def packed(rows: DataFrame, size: int, as_planes: bool, label: str) -> DataFrame:
     # Equal keys are dealt by ``spread``, so that no key is too frequent for a range.
     order = ["label", "id", "spread"]
-    ranged = rows.withColumn("spread", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = rows.withColumn("spread", F.monotonically_increasing_id()).repartitionByRange(*order)
+    # Neighbouring ranges share a task where they hold less than a block.
+    ranged = ranged.coalesce(-(-max(1, rows.count()) // size)).sortWithinPartitions(*order)
     return written(ranged.select("id", "label", "vector").mapInPandas(_blocks(size, as_planes), PACKED), label)
 
 
