@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import written
 
-#: Moduli of the fingerprint; conversations that share a base; most head turns; ids of a digest block.
-PRIMES, BASES, HEAD, ID_BLOCK = (2147483647, 2147483629, 2147483587), 5, 8, 512
+#: Moduli of the fingerprint; conversations that share a base; most head turns; ids of a digest block; salts of a lookup.
+PRIMES, BASES, HEAD, ID_BLOCK, SALTS = (2147483647, 2147483629, 2147483587), 5, 8, 512, 32
 LIMBS = range(len(PRIMES))
 KEY = ["d", *(f"f{i}" for i in LIMBS)]
 PARENT = [f"p{i}" for i in LIMBS]
@@ -317,8 +317,7 @@ def trie(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
             *(F.min(c).alias(c) for c in both), *(F.max(c).alias(f"{c}_hi") for c in both)), "trie-nodes")
         if not differing(nodes, stored):
             break
-    above = [(F.col("d") - 1).alias("d"), *(F.col(p).alias(k) for p, k in zip(PARENT, KEY[1:]))]
-    children = nodes.filter("d > 0").select(*above).groupBy(*KEY).agg(F.count("*").alias("n_children"))
+    children = nodes.filter("d > 0").select((F.col("d") - 1).alias("d"), *(F.col(p).alias(k) for p, k in zip(PARENT, KEY[1:]))).groupBy(*KEY).agg(F.count("*").alias("n_children"))
     nodes = written(nodes.select(*KEY, "owner", "n_convs", "before").join(children, KEY, "left"), "trie-tree")
     # Each member's path is its own from depth ``top`` on, after ``lead`` bytes; without nodes of its own, nowhere.
     owners = nodes.groupBy(F.col("owner").alias("conv")).agg(
@@ -330,9 +329,12 @@ def trie(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                                     F.sum("leaf").alias("n_leaves"),
                                     F.max(F.when(F.col("d") > F.col("top"), F.col("conv"))).alias("same"))
     # Where a path becomes a member's own, the node above belongs to another one.
-    tops = walked.filter("d = top AND d > 0").select(*KEY, (F.col("d") - 1).alias("up"), *PARENT)
+    # Very many may hang below one node: its owner is looked up once, then met by salted parts of them.
+    above = ["up", *PARENT]
+    tops = walked.filter("d = top AND d > 0").select(*KEY, (F.col("d") - 1).alias("up"), *PARENT, F.pmod(F.xxhash64("conv"), F.lit(SALTS)).alias("salt"))
     up = nodes.select(F.col("d").alias("up"), *(F.col(k).alias(p) for k, p in zip(KEY[1:], PARENT)), F.col("owner").alias("other"))
-    tops = tops.join(up, ["up", *PARENT]).select(*KEY, "other")
+    met = tops.groupBy(*above).agg(F.collect_set("salt").alias("salts")).join(up, above)  # SALTS numbers at most
+    tops = tops.join(met.withColumn("salt", F.explode("salts")), [*above, "salt"]).select(*KEY, "other")
     ends = member_digests(steps.filter("at_end"))
     none = hashlib.sha256(b"").hexdigest()
     return (nodes.join(sums, KEY).join(tops, KEY, "left").join(ends, KEY, "left")
