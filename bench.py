@@ -42,6 +42,8 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.shuffle.partitions",
                      os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+             # The test tables are single files of few row groups: deal them to all cores.
+             .config("spark.starloom.spread", os.environ.get("BENCH_SPREAD", cpus))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
 

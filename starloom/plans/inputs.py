@@ -26,8 +26,21 @@ NO_PRODUCT, NO_ORDER = "PX99999", "OX9999999"
 CUSTOMERS_PER_SELLER = 15
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+#: Setting that names the tasks over which a caller spreads sources that can't be split (one row group a file).
+SPREAD = "spark.starloom.spread"
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: int | None = None) -> DataFrame:
+    """A test table.  ``spread`` (or else the session's ``spark.starloom.spread``;
+    0: as the files are split) deals its rows to that many tasks, which pays
+    only where few unsplittable files feed much work."""
+    found = spark.read.parquet(table_path(sf_dir, name))
+    n = spread if spread is not None else int(spark.conf.get(SPREAD, "0"))
+    return found.repartition(n) if n > 1 else found
 
 
 def _code(prefix: str, col: Column, width: int) -> Column:

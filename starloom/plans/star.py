@@ -1,7 +1,8 @@
-"""Lazy wiring of raw -> silver -> gold over one test-data folder.
+"""Wiring of raw -> silver -> gold over one test-data folder.
 
-Every attribute is a lazy DataFrame built on first access; nothing runs
-until an action.  ``export`` renders a result in a stable, engine-neutral
+Every attribute of ``Star`` is a lazy DataFrame built on first access; nothing
+runs until an action.  ``StoredStar`` writes the heavy tables to a layer store
+when they are first asked for and reads them back.  ``export`` renders a result in a stable, engine-neutral
 form (dates/timestamps as text, arrays joined) for comparison and writing.
 """
 
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from starloom.plans import gold as G
 from starloom.plans import inputs as I
 from starloom.plans import silver as S
+from starloom.sources.layer_store import LayerStore
 
 
 class Star:
@@ -60,7 +62,9 @@ class Star:
     @cached_property
     def silver_orders(self): return S.silver_orders(self.raw_orders)
     @cached_property
-    def silver_items(self): return S.silver_items(self.raw_items, self.raw_products)
+    def items_tested(self): return S.items_tested(self.raw_items, self.raw_products)
+    @cached_property
+    def silver_items(self): return self.items_tested.drop("_product_valid")
     @cached_property
     def silver_deliveries(self): return S.silver_deliveries(self.raw_deliveries, self.raw_orders)
     @cached_property
@@ -86,7 +90,7 @@ class Star:
         return G.fact_pedidos(self.silver_orders, self.silver_deliveries, G.customer_members(self.raw_customers))
     @cached_property
     def fact_pedidos_itens(self):
-        return G.fact_pedidos_itens(S.items_tested(self.raw_items, self.raw_products), self.silver_orders,
+        return G.fact_pedidos_itens(self.items_tested, self.silver_orders,
                                     G.customer_members(self.raw_customers), G.product_members(self.raw_products))
     @cached_property
     def fact_entregas(self): return G.fact_entregas(self.silver_deliveries)
@@ -94,9 +98,34 @@ class Star:
     def fact_ocorrencias(self): return G.fact_ocorrencias(self.silver_tickets, G.customer_members(self.raw_customers))
 
 
+class StoredStar(Star):
+    """The star whose silver tables and facts are written once to a layer
+    store, by the first query that reads them, and read back by all."""
+
+    @cached_property
+    def store(self) -> LayerStore:
+        return LayerStore(self.spark, [I.table_path(self.sf_dir, t) for t in I.TABLES])
+
+
+#: Tables that the store holds; all others are light projections of these or of the sources.
+STORED = ["silver_customers", "silver_products", "silver_channels", "silver_regions", "silver_sellers", "silver_orders", "items_tested",
+          "silver_deliveries", "silver_tickets", "dim_data", "fact_pedidos", "fact_pedidos_itens", "fact_ocorrencias"]
+
+
+def _stored(name: str) -> cached_property:
+    build = getattr(Star, name).func
+    prop = cached_property(lambda self: self.store.table(name, lambda: build(self)))
+    prop.__set_name__(StoredStar, name)
+    return prop
+
+
+for _name in STORED:
+    setattr(StoredStar, _name, _stored(_name))
+
+
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
-    """The lazily wired star over a folder, with a file listing of its own."""
-    return Star(spark, sf_dir)
+    """The star over a folder, with a file listing of its own; layers come from the store."""
+    return StoredStar(spark, sf_dir)
 
 
 SILVER = ["customers", "products", "channels", "regions", "sellers", "orders", "items",
