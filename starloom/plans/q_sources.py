@@ -159,6 +159,18 @@ def _reordered_header(spark, sf_dir):
     return export(S.silver_items(R.read_delimited(spark, path, R.ITEMS_SCHEMA, sep=","), st.raw_products))
 
 
+def _mixed_headers(spark, sf_dir):
+    """One folder whose files have their columns in three different orders:
+    each file is read by its own header."""
+    st = star_for(spark, sf_dir)
+    path = scratch(spark, "orders-mixed")
+    raw, digit = st.raw_orders, F.substring(F.trim("order_id"), -1, 1)
+    low, middle = F.coalesce(digit < "3", F.lit(False)), F.coalesce(digit.between("3", "5"), F.lit(False))
+    for k, (columns, rows) in enumerate([(raw.columns, low), (raw.columns[::-1], middle), (raw.columns[3:] + raw.columns[:3], ~low & ~middle)]):
+        write_delimited(raw.where(rows).select(*columns), f"{path}/kind{k}", ";")
+    return export(S.silver_orders(R.read_delimited(spark, path, R.ORDERS_SCHEMA, sep=";")))
+
+
 def _malformed_lines(spark, sf_dir):
     """Every tenth ticket's line is cut short; bronze keeps its text and the file it came from."""
     st = star_for(spark, sf_dir)
@@ -203,6 +215,7 @@ def _counts_sql(layer: str, names: dict[str, str]) -> str:
 
 
 register("s12_reordered_header", _reordered_header, _silver_oracle("silver_items"))
+register("s17_mixed_headers", _mixed_headers, _silver_oracle("silver_orders"))
 register("s13_malformed_lines", _malformed_lines, O.with_ctes(["raw_tickets"], """
 SELECT count(*) AS rows, count(*) FILTER (WHERE bad) AS malformed, count(*) FILTER (WHERE bad) AS malformed_text_kept,
   count(*) AS with_file FROM (SELECT CAST(substr(ticket_id, 2) AS BIGINT) % 10 = 0 AS bad FROM raw_tickets)"""))

@@ -31,9 +31,12 @@ def layer_path(base_path: str, layer: str, table: str) -> str:
 
 def with_ingest_columns(df: DataFrame, source_file: str | None = None) -> DataFrame:
     """Bronze lineage: ``_ingested_at`` and ``_source_file`` (the scan's own
-    file path when no name is given and the DataFrame is a file scan)."""
-    src = F.lit(source_file) if source_file is not None else F.col("_metadata.file_path")
-    return df.withColumn("_ingested_at", F.current_timestamp()).withColumn("_source_file", src)
+    file path when no name is given and the DataFrame is a file scan; a reader
+    that names the files itself is left as it is)."""
+    stamped = df.withColumn("_ingested_at", F.current_timestamp())
+    if source_file is None and R.SOURCE_FILE in df.columns:
+        return stamped
+    return stamped.withColumn(R.SOURCE_FILE, F.lit(source_file) if source_file is not None else F.col("_metadata.file_path"))
 
 
 def write_table(df: DataFrame, base_path: str, layer: str, table: str,
@@ -70,14 +73,14 @@ def source_readers(spark: SparkSession, source_dir: str) -> dict[str, Callable[[
     at = source_dir.rstrip("/")
     return {
         "products": lambda: R.read_json_array(spark, f"{at}/products.json", R.PRODUCTS_SCHEMA, keep_corrupt=True),
-        "orders": lambda: R.read_delimited(spark, f"{at}/orders.csv", R.ORDERS_SCHEMA, sep=";", keep_corrupt=True),
-        "items": lambda: R.read_delimited(spark, f"{at}/items.csv", R.ITEMS_SCHEMA, sep=",", keep_corrupt=True),
-        "regions": lambda: R.read_delimited(spark, f"{at}/regions.txt", R.REGIONS_SCHEMA, sep="|", keep_corrupt=True),
-        "sellers": lambda: R.read_delimited(spark, f"{at}/sellers.csv", R.SELLERS_SCHEMA, sep=";", keep_corrupt=True),
+        "orders": lambda: R.read_delimited(spark, f"{at}/orders.csv", R.ORDERS_SCHEMA, sep=";", keep_corrupt=True, keep_file=True),
+        "items": lambda: R.read_delimited(spark, f"{at}/items.csv", R.ITEMS_SCHEMA, sep=",", keep_corrupt=True, keep_file=True),
+        "regions": lambda: R.read_delimited(spark, f"{at}/regions.txt", R.REGIONS_SCHEMA, sep="|", keep_corrupt=True, keep_file=True),
+        "sellers": lambda: R.read_delimited(spark, f"{at}/sellers.csv", R.SELLERS_SCHEMA, sep=";", keep_corrupt=True, keep_file=True),
         "deliveries": lambda: R.read_ndjson(spark, f"{at}/deliveries.ndjson", R.DELIVERIES_SCHEMA, keep_corrupt=True),
         "tickets": lambda: R.read_ndjson(spark, f"{at}/tickets.ndjson", R.TICKETS_SCHEMA, keep_corrupt=True),
         "channels": lambda: read_workbooks(spark, f"{at}/channels.xlsx", R.CHANNELS_SCHEMA),
-        "customers": lambda: R.read_delimited(spark, f"{at}/customers.csv", R.CUSTOMERS_SCHEMA, sep=",", keep_corrupt=True),
+        "customers": lambda: R.read_delimited(spark, f"{at}/customers.csv", R.CUSTOMERS_SCHEMA, sep=",", keep_corrupt=True, keep_file=True),
     }
 
 

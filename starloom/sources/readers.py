@@ -8,6 +8,9 @@ file is read by one task per file, so keep such sources as many files.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +53,8 @@ CUSTOMERS_SCHEMA = T.StructType(_s("customer_id", "nome_cliente", "segmento", "p
 
 #: Column that keeps the text of a record that doesn't parse.
 CORRUPT = "_corrupt_record"
+#: Column that names the file of a record.
+SOURCE_FILE = "_source_file"
 
 
 def _json(spark: SparkSession, schema: T.StructType, keep_corrupt: bool):
@@ -68,17 +73,68 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType, keep_corru
     return _json(spark, schema, keep_corrupt).json(path)
 
 
+#: Header groups of one source beyond which its files are taken to be of different sources; bytes of a header line.
+MOST_HEADERS, HEADER_BYTES = 256, 1 << 20
+
+
+def _header_line(spark: SparkSession, path: str) -> str:
+    """First line of a file, through the file system (and codec) that Spark reads it with."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    at, line = hadoop.fs.Path(path), hadoop.io.Text()
+    codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        hadoop.util.LineReader(stream if codec is None else codec.createInputStream(stream)).readLine(line, HEADER_BYTES)
+    finally:
+        stream.close()
+    return line.toString()
+
+
+def header_groups(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(header line, files) of the files at ``path``, from one listing and the
+    first line of each file; empty files have no header and no rows."""
+    sc = spark.sparkContext
+    pattern = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = pattern.getFileSystem(sc._jsc.hadoopConfiguration())
+    files = []
+    for top in fs.globStatus(pattern) or []:
+        found = fs.listFiles(top.getPath(), True)
+        while found.hasNext():
+            f = found.next()
+            below = f.getPath().toString()[len(top.getPath().toString()):]
+            if f.getLen() and not any(p[:1] in ("_", ".") and "=" not in p for p in below.split("/")[1:]):
+                files.append(f.getPath().toString())
+    with ThreadPoolExecutor(16) as pool:  # waits for the file system, not for the processor
+        lines = list(pool.map(lambda f: _header_line(spark, f), files))
+    groups: dict[str, list[str]] = {}
+    for file, line in sorted(zip(files, lines)):
+        groups.setdefault(line.rstrip("\r"), []).append(file)
+    if len(groups) > MOST_HEADERS:
+        raise ValueError(f"{len(groups)} different headers among the {len(files)} files of {path}")
+    return sorted(groups.items())
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                   quote: str = '"', escape: str = '"', keep_corrupt: bool = False) -> DataFrame:
+                   quote: str = '"', escape: str = '"', keep_corrupt: bool = False, keep_file: bool = False) -> DataFrame:
     """Header CSV / pipe / semicolon text; columns are found by the names in
-    the header, whatever their order, and one that is missing is null.
-    ``escape='"'`` decodes doubled quotes inside quoted cells (JSON kept in a
-    CSV cell); empty cells -> null.  The files of one source share a header."""
+    each file's own header, whatever their order, and one that is missing is
+    null.  Files are read together where they share a header, so a source with
+    few headers is few reads.  ``escape='"'`` decodes doubled quotes inside
+    quoted cells (JSON kept in a CSV cell); empty cells -> null.  ``keep_file``
+    adds the path of each row's file as ``_source_file``."""
+    extra = [T.StructField(CORRUPT, T.StringType())] * keep_corrupt + [T.StructField(SOURCE_FILE, T.StringType())] * keep_file
     options = {"header": True, "sep": sep, "quote": quote, "escape": escape, "mode": "PERMISSIVE"}
-    named = spark.read.options(**options).csv(path).columns  # reads the header line alone
-    full = T.StructType([T.StructField(n, T.StringType()) for n in named]
-                        + [T.StructField(CORRUPT, T.StringType())] * keep_corrupt)
-    found = spark.read.options(**options).option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(path)
-    columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in named
-               else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return found.select(*columns, *([CORRUPT] if keep_corrupt else []))
+
+    def read(files: list[str]) -> DataFrame:
+        named = spark.read.options(**options).csv(files[0]).columns  # reads the header line alone
+        full = T.StructType([T.StructField(n, T.StringType()) for n in named]
+                            + [T.StructField(CORRUPT, T.StringType())] * keep_corrupt)
+        found = spark.read.options(**options).option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(files)
+        columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in named
+                   else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return found.select(*columns, *[CORRUPT] * keep_corrupt, *[F.col("_metadata.file_path").alias(SOURCE_FILE)] * keep_file)
+
+    groups = header_groups(spark, path)
+    if not groups:
+        return spark.createDataFrame([], T.StructType([*schema.fields, *extra]))
+    return reduce(DataFrame.unionByName, [read(files) for _, files in groups])

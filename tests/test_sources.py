@@ -1,11 +1,13 @@
 """Readers for the source formats, the workbook source and layer writers."""
 
+import gzip
 import io
 import json
 import os
 import zipfile
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.plans import silver as S
 from starloom.sources import layers as B
@@ -182,3 +184,22 @@ def test_workbook_date_cells_become_parseable_text(spark, tmp_dir):
 def test_workbook_1904_date_system():
     rows = parse_xlsx(_styled_workbook(date1904=True))
     assert rows[1][1] == "2029-01-22 00:00:00"   # same serial, 1462 days later
+
+
+def test_files_of_one_source_with_different_headers(spark, tmp_dir):
+    at = os.path.join(tmp_dir, "mixed")
+    os.makedirs(at)
+    texts = {"a.csv": "x,y\n1,2\n", "b.csv": "y,x\n3,4\n", "c.csv": "x\n5\n", "d.csv": "", "e.csv": "x,y\r\n6,7\r\n", "_skipped": "y,x\n8,9\n"}
+    for name, text in texts.items():
+        with open(os.path.join(at, name), "w", newline="") as f:
+            f.write(text)
+    with gzip.open(os.path.join(at, "g.csv.gz"), "wt") as f:
+        f.write("z,y,x\n10,11,12\n")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in "xy"])
+    got = R.read_delimited(spark, at, schema, keep_file=True)
+    assert sorted((r["x"], r["y"], r["_source_file"].rsplit("/", 1)[1]) for r in got.collect()) == [
+        ("1", "2", "a.csv"), ("12", "11", "g.csv.gz"), ("4", "3", "b.csv"), ("5", None, "c.csv"), ("6", "7", "e.csv")]
+    assert len(R.header_groups(spark, at)) == 4 and len(R.header_groups(spark, f"{at}/[ab].csv")) == 2
+    assert R.read_delimited(spark, f"{at}/none*", schema, keep_corrupt=True).count() == 0
+    bronze = B.with_ingest_columns(got)
+    assert bronze.columns == ["x", "y", "_source_file", "_ingested_at"]
