@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from starloom.functions import vocab
@@ -10,7 +12,9 @@ from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
 from starloom.plans.star import export, star_for
+from starloom.session import scratch_root
 from starloom.streaming.incremental import new_arrivals, upsert_latest
+from starloom.streaming.snapshots import SnapshotTable
 
 # X1 ------------------------------------------------------------------------
 CUTOFF = "1999-01-01 00:00:00"
@@ -52,6 +56,26 @@ def _x01_sql() -> str:
 
 register("x01_incremental_upsert", _x01, _x01_sql())
 
+
+def _x05(spark, sf_dir):
+    """The orders arrive as three increments, dealt by a digest of the whole
+    row (so copies of an order arrive apart, late ones and broken ones too),
+    and are merged into a partitioned table of snapshots one after the other.
+    Every fifth order number has no partition value."""
+    clean = S.orders_clean(star_for(spark, sf_dir).raw_orders)
+    number = F.regexp_extract("order_id", "([0-9]+)$", 1).try_cast("long")
+    dealt = clean.withColumn("part", F.when(number % 5 != 0, (number % 4).cast("string")))
+    arrives = F.pmod(F.crc32(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in (
+        "order_id", "last_update", "status_order", "net_amount"))).cast("binary")), F.lit(3))
+    table = SnapshotTable(spark, f"{scratch_root(spark)}/snapshots-{uuid.uuid4().hex[:12]}", dealt.schema, ["order_id"], "last_update", "part",
+                          order_rank())
+    for k in range(3):
+        table.merge(dealt.where(arrives == k))
+    return export(table.read().drop("part"))
+
+
+register("x05_incremental_snapshots", _x05, _x01_sql())
+
 # X2 ------------------------------------------------------------------------
 EXPECTATIONS = [
     Expectation("customer_not_null", "fact_pedidos", "not_null", {"column": "customer_id"}),

@@ -7,7 +7,8 @@
   latest ``order_col`` winning (the same total order as silver dedup), so
   repeated application is idempotent and late rows lose or win by rule.
 * :func:`upsert_partitions` rewrites only the partitions that an increment
-  touches, next to the target, and swaps them in partition by partition.
+  touches, next to the target, and swaps them in partition by partition (readers
+  may see the swap half done; ``snapshots.SnapshotTable`` never shows that).
 * :func:`ingest_stream` picks up only new raw files with Structured
   Streaming (the file source's checkpoint remembers what was read) and
   writes each micro-batch to its own ``batch_id=N`` folder with overwrite,
@@ -48,8 +49,10 @@ def upsert_partitions(spark: SparkSession, target_path: str, increment: DataFram
     written to ``staging_path`` first, as a job must not overwrite what it
     reads, and then replace theirs (dynamic partition overwrite); a failed
     swap is repeated from the staging files."""
-    touched = increment.select(partition_col).distinct()
-    current = spark.read.parquet(target_path).join(touched, partition_col, "left_semi")
+    touched = increment.select(F.col(f"`{partition_col}`").alias("__touched")).distinct()
+    current = spark.read.schema(increment.schema).parquet(target_path)
+    # Null is a partition like any other: the swap replaces it too.
+    current = current.join(touched, current[partition_col].eqNullSafe(F.col("__touched")), "left_semi")
     merged = upsert_latest(current.select(*increment.columns), increment, keys, order_col, extra_order)
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging_path)
     (spark.read.schema(increment.schema).parquet(staging_path).write.mode("overwrite")

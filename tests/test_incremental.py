@@ -3,11 +3,13 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.expectations import observe_violations
 from starloom.sources import readers as R
 from starloom.streaming.incremental import ingest_stream, new_arrivals, upsert_latest, upsert_partitions
+from starloom.streaming.snapshots import Conflict, SnapshotTable
 
 
 def _write_ndjson(path, rows):
@@ -68,3 +70,62 @@ def test_observed_expectations(spark, tmp_dir):
     observed, obs = observe_violations(df, {"id_below_90": F.col("id") < 90})
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get["id_below_90"] == 10
+
+
+def test_upsert_keeps_untouched_rows_of_the_null_partition(spark, tmp_dir):
+    target, staging = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "s")
+    schema = "k string, ts int, p string"
+    spark.createDataFrame([("a", 1, None), ("b", 1, None), ("c", 1, "x")], schema).write.partitionBy("p").parquet(target)
+    upsert_partitions(spark, target, spark.createDataFrame([("z", 1, None), ("b", 2, None)], schema), ["k"], "ts", "p", staging)
+    out = sorted((r["k"], r["ts"], r["p"]) for r in spark.read.parquet(target).collect())
+    assert out == [("a", 1, None), ("b", 2, None), ("c", 1, "x"), ("z", 1, None)]
+
+
+SNAPSHOT = "k string, ts int, v string, p string"
+
+
+def _rows(df):
+    return sorted((r["k"], r["ts"], r["v"], r["p"]) for r in df.collect())
+
+
+def test_snapshots_merge_over_several_increments(spark, tmp_dir):
+    make = lambda rows: spark.createDataFrame(rows, SNAPSHOT)
+    table = SnapshotTable(spark, os.path.join(tmp_dir, "t"), make([]).schema, ["k"], "ts", "p")
+    assert table.read().count() == 0 and table.versions() == []
+    assert table.merge(make([("a", 1, "one", None), ("b", 1, "one", "x y"), ("c", 1, "one", "1")])) == 1
+    assert table.merge(make([("a", 2, "two", None), ("z", 1, "two", None), ("b", 0, "late", "x y")])) == 2
+    assert table.merge(make([])) == 3
+    assert table.merge(make([("d", 1, "four", ""), ("e", 1, "four", "01")])) == 4
+    want = [("a", 2, "two", None), ("b", 1, "one", "x y"), ("c", 1, "one", "1"), ("z", 1, "two", None)]
+    assert _rows(table.read(2)) == want and _rows(table.read(3)) == want
+    assert _rows(table.read(1)) == [("a", 1, "one", None), ("b", 1, "one", "x y"), ("c", 1, "one", "1")]
+    assert len(table.read().collect()) == 6 and {r[3] for r in _rows(table.read())} >= {"1", "01", "x y"}
+    # Partitions that no increment touched are still the files of the first merge.
+    first = table.manifest(1)
+    assert table.manifest(4)["__part=1"] == first["__part=1"] and table.manifest(2)["__part=x y"] != first["__part=x y"]
+    table.expire(keep=1)
+    assert table.versions() == [4] and len(_rows(table.read())) == 6
+
+
+def test_a_merge_that_fails_between_its_steps_changes_nothing(spark, tmp_dir, monkeypatch):
+    make = lambda rows: spark.createDataFrame(rows, SNAPSHOT)
+    table = SnapshotTable(spark, os.path.join(tmp_dir, "t"), make([]).schema, ["k"], "ts", "p")
+    table.merge(make([("a", 1, "one", None), ("b", 1, "one", "x")]))
+    before = _rows(table.read())
+
+    def broken(*_):
+        raise OSError("lost before the manifest is in place")
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotTable, "_commit", broken)
+        with pytest.raises(OSError):
+            table.merge(make([("a", 2, "two", None), ("c", 1, "two", "x")]))
+    assert _rows(table.read()) == before and table.versions() == [1]
+    # A merge that was planned on an old version fails instead of hiding the one that came between.
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotTable, "versions", lambda self: [])
+        with pytest.raises(Conflict):
+            table.merge(make([("c", 1, "two", "x")]))
+    assert _rows(table.read()) == before
+    assert table.merge(make([("a", 2, "two", None)])) == 2
+    table.expire()
+    assert _rows(table.read()) == [("a", 2, "two", None), ("b", 1, "one", "x")]
