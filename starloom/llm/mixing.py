@@ -34,8 +34,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Words of a block, slots of a shard, documents of a hash range, rounds of the shuffle, cells of the draw.
 BLOCK, SHARD, RANGE, ROUNDS, CELLS = 32, 4096, 20_000, 12, 1024
-#: Slots of a task, at most about.
-TASK_SLOTS = 1 << 20
+#: Slots of a task, at most about; equal documents of a run.
+TASK_SLOTS, COPIES = 1 << 20, 1024
 #: The counters' hash works on 31 bits: mask, odd multipliers, step between salts.
 BITS, MASK, M1, M2, SALT = 31, (1 << 31) - 1, 1103515245, 1566083941, 1640531527
 WIDEST = (1 << 63) - 1
@@ -54,13 +54,22 @@ def mix(x: Column, salt: int = 0) -> Column:
     return _shifted(t, 16)
 
 
+def _same(doc_id: Column, source: Column, text_hash: Column) -> Column:
+    """The key of documents of equal id, source and text."""
+    return F.xxhash64(doc_id.isNull(), doc_id, source.isNull(), source, text_hash)
+
+
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """One small row per document: its place in the hash order, size and a hash of its text."""
-    doc_id = docs[id_col].cast("long")
-    return docs.select(
+    """One small row per id, source and text: its place in the hash order, its
+    size and how many documents are equal in them."""
+    doc_id, text = docs[id_col].cast("long"), docs[text_col].cast("string")
+    rows = docs.select(
         doc_id.alias("doc_id"), docs[source_col].cast("string").alias("source"),
-        F.coalesce(F.regexp_count(docs[text_col], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.xxhash64(docs[text_col]).alias("text_hash"), mix(F.coalesce(doc_id, F.lit(-1))).alias("h"))
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64(text).alias("text_hash"))
+    # Documents without an id are spread by their texts.
+    h = mix(F.coalesce("doc_id", F.col("text_hash").bitwiseAND(F.lit(MASK))))
+    return rows.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("copies")).withColumns(
+        {"h": h, "same": _same(F.col("doc_id"), F.col("source"), F.col("text_hash"))})
 
 
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE,
@@ -70,7 +79,7 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     stop come first; the level follows from what they leave."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*map(F.lit, weights)), F.pmod(F.col("sid") - 1, F.lit(len(weights))) + 1)
-    one = (sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    one = (sized.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"))
            .withColumn("sid", F.row_number().over(order)).withColumn("w", w.cast("double")))
     full = F.col("source_size") * float(most)
     every = Window.orderBy(full / F.col("w"), "sid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -85,18 +94,32 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def _placed(sized: DataFrame, sources: DataFrame, rows: int) -> DataFrame:
-    """Each document with its first word's place among the words of its source."""
+    """Each document with its first word's place among the words of its source,
+    and its number among equal ones (``copy``)."""
     ranges = max(1, rows // RANGE)
     at = sized.join(sources.select("sid", "source"), sized["source"].eqNullSafe(sources["source"])).select(
-        "sid", "doc_id", "size", "text_hash", "h", F.shiftright(F.col("h") * ranges, BITS).alias("range"))
-    before = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = at.groupBy("sid", "range").agg(F.sum("size").alias("n")).select(
-        "sid", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("range_start"))
-    within = Window.partitionBy("sid", "range").orderBy("h", "doc_id", "size", "text_hash").rowsBetween(
+        "sid", "doc_id", "size", "text_hash", "same", "copies", "h", F.shiftright(F.col("h") * ranges, BITS).alias("range"))
+    # A range that one id (or one document, many times) crowds is cut finer: by
+    # place, then by the text's hash, then by runs of equal documents.
+    crowded = at.groupBy("sid", "range").agg(F.sum("copies").alias("n")).filter(F.col("n") > 4 * RANGE).select(
+        "sid", "range", F.lit(True).alias("crowded"))
+    fine = lambda c: F.when(F.col("crowded"), c).otherwise(F.lit(0))
+    at = at.join(crowded, ["sid", "range"], "left").withColumn(
+        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES)))).withColumns({
+            "n": F.least(F.col("copies") - F.col("run") * COPIES, F.lit(COPIES)), "place": fine(F.col("h")),
+            "slice": fine(F.shiftright("text_hash", 54)), "bundle": fine(F.floor(F.col("run") / 16))})
+    group = ["range", "place", "slice", "bundle"]
+    before = Window.partitionBy("sid").orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    words = F.sum(F.col("size") * F.col("n"))
+    starts = at.groupBy("sid", *group).agg(words.alias("words")).select(
+        "sid", *group, F.coalesce(F.sum("words").over(before), F.lit(0)).alias("group_start"))
+    within = Window.partitionBy("sid", *group).orderBy("h", "doc_id", "size", "text_hash", "run").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    return at.join(starts, ["sid", "range"]).select(
-        "sid", "doc_id", "size", "text_hash",
-        (F.col("range_start") + F.sum("size").over(within) - F.col("size")).alias("off"))
+    runs = at.join(starts, ["sid", *group]).withColumn(
+        "off", F.col("group_start") + words.over(within) - F.col("size") * F.col("n"))
+    return runs.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).select(
+        "sid", "doc_id", "size", "same", "copies", (F.col("run") * COPIES + F.col("k")).alias("copy"),
+        (F.col("off") + F.col("k") * F.col("size")).alias("off"))
 
 
 def _keys(sid: Column, epoch: Column, n: Column) -> Column:
@@ -167,7 +190,8 @@ class Mix:
                              blocks * MOST)), "mix-sources")
         seen = self.sources.agg(F.coalesce(F.sum("slots"), F.lit(0)).alias("slots")).head()
         self.total_slots = int(seen["slots"])
-        self.placed = _placed(sized, self.sources, sized.count())
+        self.sized = sized
+        self.placed = _placed(sized, self.sources, int(sized.agg(F.coalesce(F.sum("copies"), F.lit(0))).head()[0]))
 
     def slots(self) -> DataFrame:
         return slots(self.sources, self.total_slots)
@@ -181,7 +205,7 @@ class Mix:
             F.floor(F.col("off") / self.block), F.floor((F.col("off") + F.col("size") - 1) / self.block))).alias("block"))
         start = F.greatest(F.col("block") * self.block - F.col("off"), F.lit(0))
         stop = F.least((F.col("block") + 1) * self.block - F.col("off"), "size")
-        cut = cut.select("sid", "block", "doc_id", "size", "text_hash", "off", start.alias("start"), (stop - start).alias("n"))
+        cut = cut.select("sid", "block", "doc_id", "size", "same", "copies", "copy", "off", start.alias("start"), (stop - start).alias("n"))
         return cut.join(uses, ["sid", "block"], "left")
 
     def taken(self) -> DataFrame:
@@ -197,33 +221,47 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     return Mix(docs, id_col, text_col, source_col).taken()
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows (doc, same) with their number (``copy``) among those of one
+    ``same``: by a hash of all columns, then as they lie.  Counted by input
+    task first, so equal rows, however many, are never gathered."""
+    at = rows.withColumns({"like": F.xxhash64("doc"), "part": F.shiftright(F.monotonically_increasing_id(), 33)})
+    group = ["same", "like", "part"]
+    before = Window.partitionBy("same").orderBy("like", "part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = at.groupBy(*group).agg(F.count("*").alias("n")).select(*group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return at.withColumn("nth", F.row_number().over(Window.partitionBy(*group).orderBy(F.lit(0)))).join(starts, group).select(
+        "doc", "text", "same", (F.col("start") + F.col("nth") - 1).alias("copy"))
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as documents: for each epoch that takes words of a document, a
     row with all its columns whose text holds just these words (the text as it
     is when all are taken); documents that the mix leaves out don't appear."""
     plan = Mix(docs, id_col, text_col, source_col)
-    # Repeated ids are told apart by the hash of the text, equal rows by a number.
-    row_key = lambda i, h: F.xxhash64(i, h)
-    same = Window.partitionBy("__key", "__hash")
-    numbers = plan.placed.filter("size > 0").withColumns(
-        {"__key": row_key(F.col("doc_id"), F.col("text_hash")), "__hash": F.col("text_hash")}).withColumn(
-        "__copy", F.row_number().over(same.orderBy("sid", "off")))
-    picks = plan.pieces().filter("epoch IS NOT NULL").groupBy("sid", "off", "size", "epoch").agg(
-        F.sum("n").alias("__n"), F.collect_list(F.struct("start", "n")).alias("__parts"))
-    picks = picks.join(numbers.select("sid", "off", "__key", "__hash", "__copy"), ["sid", "off"]).withColumnRenamed("size", "__size")
-    text_hash = F.xxhash64(docs[text_col])
-    left = docs.withColumns({"__key": row_key(docs[id_col].cast("long"), text_hash), "__hash": text_hash})
-    left = left.withColumn("__copy", F.row_number().over(same.orderBy(F.lit(0))))
-    # The number is compared by a difference, which leaves the documents dealt
-    # by key and hash as they are: the texts are shuffled once.
-    out = left.alias("l").join(picks.alias("r"), (F.col("l.__key") == F.col("r.__key")) & (F.col("l.__hash") == F.col("r.__hash"))
-                               & (F.col("l.__copy") - F.col("r.__copy") == 0))
-    word = F.regexp_extract_all(F.col(f"l.{text_col}"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    some = F.array_join(F.flatten(F.transform(F.array_sort("__parts"), lambda p: F.slice(
-        F.col("__words"), (p["start"] + 1).cast("int"), p["n"].cast("int")))), "")
-    out = out.withColumn("__words", F.when(F.col("__n") < F.col("__size"), word))
-    text = F.when(F.col("__n") == F.col("__size"), F.col(f"l.{text_col}")).otherwise(some)
-    return out.select(*(text.alias(c) if c == text_col else F.col(f"l.{c}") for c in docs.columns))
+    picks = plan.pieces().filter("epoch IS NOT NULL").groupBy("sid", "off", "same", "copies", "copy", "size", "epoch").agg(
+        F.sum("n").alias("n"), F.sort_array(F.collect_list("start")).alias("starts"))
+    # The document is one column, so its own names meet none of the plan's.
+    text = docs[text_col].cast("string")
+    same = _same(docs[id_col].cast("long"), docs[source_col].cast("string"), F.xxhash64(text))
+    rows = docs.select(F.struct("*").alias("doc"), text.alias("text"), same.alias("same"))
+    # Documents that have no equal meet their picks by key alone: one shuffle of
+    # the texts.  Equal ones are numbered and meet by key and number.
+    repeated = written(plan.sized.filter("copies > 1").select("same"), "mix-repeated")
+    alone = rows.join(repeated, "same", "left_anti").join(picks.filter("copies = 1"), "same")
+    of_many = _numbered(rows.join(repeated, "same", "left_semi")).join(picks.filter("copies > 1"), ["same", "copy"])
+    need = ["doc", "text", "n", "size", "off", "starts"]
+    out = alone.select(*need).unionByName(of_many.select(*need))
+    # A text's pieces, as blocks cut it: the words up to the first block's end, then block by block.
+    word = r"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++)"
+    first = plan.block - F.pmod("off", F.lit(plan.block))
+    head = F.regexp_substr("text", F.concat(F.lit(f"^{word}{{1,"), first.cast("string"), F.lit("}+")))
+    tail = F.regexp_extract_all(F.substr("text", F.length("head") + 1), F.lit(f"{word}{{1,{plan.block}}}+"), F.lit(0))
+    whole = F.col("n") == F.col("size")
+    out = out.withColumn("head", F.when(~whole, head)).withColumn("pieces", F.when(~whole, F.concat(F.array("head"), tail)))
+    number = lambda start: F.when(start == 0, 0).otherwise((start - first) / plan.block + 1).cast("int")
+    some = F.array_join(F.transform("starts", lambda start: F.get("pieces", number(start))), "")
+    text = F.when(whole, F.col("text")).otherwise(some)
+    return out.select(*((text if c == text_col else F.col("doc").getField(c)).alias(c) for c in docs.columns))
 
 
 def _sql_mix(x: str, salt: int = 0) -> str:
