@@ -53,6 +53,14 @@ def contracted(links: DataFrame) -> DataFrame:
     return links.mapInPandas(run, "u long, v long")
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the links (u > v) are stars: no node is below one and above another, or below two."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    return ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above")).filter(
+        "below > 1 OR (below > 0 AND above > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, part): every node of the links (a, b) with the smallest node it reaches.
 
@@ -60,12 +68,7 @@ def components(links: DataFrame) -> DataFrame:
     neighbours above a node move to its smallest neighbour, then neighbours
     below it do; each round is written, so a lost executor costs one round at most."""
     edges = written(contracted(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v")), "links")
-    before = None
-    while True:
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
-        if now == before:
-            break
-        before = now
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # A node's least neighbour is needed at both ends of its links: large

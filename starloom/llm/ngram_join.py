@@ -43,7 +43,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import frames, id_and_text, written
+from starloom.llm.common import id_and_text, written
+from starloom.llm.links import components
+from starloom.session import ship_package
 
 #: Words of a shingle; similarity in percent; counters of the sketch; bits of the bitmap.
 WORDS, PERCENT, SKETCH, BITS = 5, 75, 1 << 18, 1 << 24
@@ -116,8 +118,13 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def _texts(rows: DataFrame) -> DataFrame:
+    """Rows (doc_id, text) with two hashes that stand for the text."""
+    return rows.withColumns({"t1": F.xxhash64("text"), "t2": F.xxhash64(F.lit(1), "text")})
+
+
 def digests(rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows of two kinds: documents (doc_id, n, key, node, bitmap) and counters of the sketch (counter, n)."""
+    """Rows of two kinds: documents (doc_id, t1, t2, n, key, node, bitmap) and counters of the sketch (counter, n)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, sketch = shingler_of(words), np.zeros(SKETCH, np.int64)
         for pdf in batches:
@@ -128,16 +135,17 @@ def digests(rows: DataFrame, words: int = WORDS) -> DataFrame:
                 sketch += np.bincount(every.astype(np.int64), minlength=SKETCH)
                 keys = [class_key(h) if len(h) else None for h in sets]
                 yield pd.DataFrame({
-                    "doc_id": some["doc_id"].astype("Int64"), "counter": pd.array([None] * len(some), "Int32"),
+                    "doc_id": some["doc_id"].astype("Int64"), "t1": some["t1"], "t2": some["t2"],
+                    "counter": pd.array([None] * len(some), "Int32"),
                     "n": [len(h) for h in sets], "key": keys,
                     "node": pd.array([None if k is None else _node(k) for k in keys], "Int64"),
                     "bitmap": [parity(h) if len(h) else None for h in sets]})
         at = np.flatnonzero(sketch)
         if len(at):
             none = [None] * len(at)
-            yield pd.DataFrame({"doc_id": pd.array(none, "Int64"), "counter": pd.array(at, "Int32"), "n": sketch[at],
-                                "key": none, "node": pd.array(none, "Int64"), "bitmap": none})
-    return rows.mapInPandas(run, "doc_id long, counter int, n long, key binary, node long, bitmap binary")
+            yield pd.DataFrame({"doc_id": pd.array(none, "Int64"), "t1": 0, "t2": 0, "counter": pd.array(at, "Int32"),
+                                "n": sketch[at], "key": none, "node": pd.array(none, "Int64"), "bitmap": none})
+    return _texts(rows).mapInPandas(run, "doc_id long, t1 long, t2 long, counter int, n long, key binary, node long, bitmap binary")
 
 
 def choose_matches(counts: np.ndarray, shortest: int) -> int:
@@ -217,29 +225,36 @@ def _around(pairs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """node and shingles of the wanted classes (node, rep), fetched from the
-    document that stands for each.  A bitmap of fixed size spares most other
-    documents the work; the join by id decides."""
+    """node and shingles of the wanted classes (node, rep, key), fetched from
+    the document that stands for each.  A bitmap of fixed size spares most other
+    documents the work; the join by id and class decides, as an id may be held
+    by several texts."""
     bits = wanted.select((F.pmod(F.xxhash64("rep"), F.lit(BITS)) / 64).cast("int").alias("at"),
                          F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))").alias("bit"))
-    words_of = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toPandas()  # BITS / 64 rows at most
+    words_of = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # BITS / 64 rows at most
     bitmap = np.zeros(BITS // 64, np.int64)
     bitmap[words_of["at"].to_numpy()] = words_of["bits"].to_numpy()
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
     hashed = rows.withColumn("h", F.xxhash64("doc_id"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, wants = shingler_of(words), shared.value
+        shingler, wants, seen = shingler_of(words), shared.value, set()
         for pdf in batches:
             h = pdf["h"].to_numpy()
             hit = (wants[(h % BITS) // 64] >> (h % 64)) & 1
-            pdf = pdf[hit == 1]
-            if len(pdf):
-                yield pd.DataFrame({"rep": pdf["doc_id"].astype("Int64"),
-                                    "shingles": [shingler.hashes(t).view(np.int64) for t in pdf["text"]]})
+            rows = []
+            for doc_id, text in pdf.loc[hit == 1, ["doc_id", "text"]].itertuples(index=False):
+                shingles = shingler.hashes(text)
+                key = class_key(shingles)
+                if len(shingles) and (doc_id, key) not in seen:  # a repeated row once a task
+                    if len(seen) < 1_000_000:
+                        seen.add((doc_id, key))
+                    rows.append((doc_id, key, shingles.view(np.int64)))
+            if rows:
+                yield pd.DataFrame(rows, columns=["rep", "key", "shingles"])
 
-    found = hashed.filter("doc_id IS NOT NULL").mapInPandas(run, "rep long, shingles array<long>")
-    return found.join(wanted, "rep").select("node", "shingles", F.size("shingles").alias("size"))
+    found = hashed.filter("doc_id IS NOT NULL").mapInPandas(run, "rep long, key binary, shingles array<long>")
+    return found.join(wanted, ["rep", "key"]).select("node", "shingles", F.size("shingles").alias("size"))
 
 
 def _verified(percent: int):
@@ -313,32 +328,6 @@ def verify(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 EMPTY = pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, part): every linked node with the smallest node it reaches.
-
-    Alternating stars: neighbours above a node move to its smallest neighbour,
-    then neighbours below it do; each round is written, so a lost executor
-    costs one round at most."""
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                    .filter("u > v").distinct(), "join-links")
-    before = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").unionByName(
-            least.select("u", F.col("m").alias("v"))).distinct()
-        edges = written(small, "join-stars")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head())
-        if now == before:
-            break
-        before = now
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("part")).unionByName(
-        roots.select("node", F.col("node").alias("part")))
-
-
 def _labelled(shared: DataFrame, parts: DataFrame) -> DataFrame:
     """Entries of shingles whose holders lie in two components at least."""
     at = Window.partitionBy("shingle")
@@ -350,12 +339,24 @@ def _labelled(shared: DataFrame, parts: DataFrame) -> DataFrame:
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
          percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    documents, classes = _grouped(docs, id_col, text_col, words, percent)
+    smallest = classes.groupBy("part").agg(F.min("rep").alias("component_id"))
+    by_key = classes.join(smallest, "part").select("key", "component_id")
+    return (documents.join(by_key, "key", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, t1, t2, n, key) and classes (key, rep, part): each
+    class's smallest id, and the component that it lies in."""
+    ship_package(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col)
     first = written(digests(rows, words), "join-digests")
     sketch = np.zeros(SKETCH, np.int64)
-    counts = first.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()  # SKETCH rows at most
-    sketch[counts["counter"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
-    documents = first.filter("counter IS NULL").select("doc_id", "n", "key", "node")
+    counts = first.filter("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()  # SKETCH rows at most
+    sketch[counts["counter"].to_numpy()] = counts["n"].to_numpy()
+    documents = first.filter("counter IS NULL").select("doc_id", "t1", "t2", "n", "key")
     classes = written(first.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "node", "n").agg(
         F.min("doc_id").alias("rep"), F.max("bitmap").alias("bitmap")), "join-classes")
     bitmaps = classes.select("node", "n", "bitmap")
@@ -371,7 +372,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         "join-entries")
 
     def fetched(nodes: DataFrame) -> DataFrame:
-        wanted = nodes.distinct().join(classes.select("rep", "node"), "node")
+        wanted = nodes.distinct().join(classes.select("rep", "key", "node"), "node")
         return written(shingle_sets(identified, wanted, words), "join-sets")
 
     # 1. Every holder against the pivot of its shingle.
@@ -431,25 +432,31 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
         sets = fetched(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
         final = components(links.unionByName(written(verify(_around(pairs), sets, percent), "join-links")))
 
-    # Components of classes, then of documents.
-    known = classes.select("key", "node", "rep").join(final, "node", "left").withColumn(
-        "part", F.coalesce("part", "node"))
-    smallest = known.groupBy("part").agg(F.min("rep").alias("component_id"))
-    by_key = known.join(smallest, "part").select("key", "component_id")
-    return (documents.join(by_key, "key", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    return documents, classes.select("key", "node", "rep").join(final, "node", "left").select(
+        "key", "rep", F.coalesce("part", "node").alias("part"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                 percent: int = PERCENT) -> DataFrame:
-    """The documents without all but the one of smallest id of each component,
-    all columns as they are; of rows with one id one stays, rows without an id
-    all stay."""
-    extra = join(docs, id_col, text_col, words, percent).filter("component_id < doc_id").select(
-        F.col("doc_id").alias("__copy")).distinct()
-    kept = docs.join(extra, docs[id_col].cast("long") == F.col("__copy"), "left_anti")
-    at = Window.partitionBy(id_col).orderBy(F.lit(0))
-    named = kept.filter(kept[id_col].isNotNull())
-    named = named.withColumn("__row", F.row_number().over(at)).filter("__row = 1").drop("__row")
-    return named.unionByName(kept.filter(kept[id_col].isNull()))
+    """One document of each component, all columns as they are: the one of the
+    smallest id; among several texts of that id the one whose hash is smallest,
+    among rows equal in both the one whose hash over all columns is smallest.
+    Documents without shingles and rows without an id are like nothing and all
+    stay, whatever ids they share."""
+    documents, classes = _grouped(docs, id_col, text_col, words, percent)
+    at = ["doc_id", "t1", "t2"]
+    texts = documents.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy(*at, "key").agg(F.count("*").alias("rows"))
+    placed = written(texts.join(classes.select("key", "part"), "key").select(*at, "part", "rows"), "join-texts")
+    # The first text of a component stays; of a text that is there more than once, one row.
+    firsts = placed.groupBy("part").agg(F.min(F.struct(*at)).alias("first"))
+    first = F.struct(*at) == F.col("first")
+    told = placed.join(firsts, "part").select(*at, first.alias("stays"), "rows").filter("NOT stays OR rows > 1")
+    told = written(told, "join-told")
+    # The document is one column, so its own names meet none of these.
+    doc_id, text = docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    rows = _texts(docs.select(F.struct("*").alias("doc"), doc_id.alias("doc_id"), text.alias("text"))).drop("text")
+    once = rows.join(told.select(*at), at, "left_anti").select("doc")
+    many = rows.join(told.filter("stays").select(*at), at, "left_semi").groupBy(*at).agg(
+        F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc")
+    kept = once.unionByName(many)
+    return kept.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

@@ -201,3 +201,76 @@ def test_pipeline_run(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert rows and all(r["lossless"] for r in rows) and {"doc_id", "ids"} <= set(rows[0].asDict())
     assert piece_sampling.SMOOTHING == 1.0
+
+
+def test_repeated_ids_lose_no_link(spark):
+    """Ids that are held by two texts each, each text with a near copy; columns of clashing names."""
+    draw = np.random.default_rng(21)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    rows = []
+    for i in range(30):
+        for side in (0, 1):
+            words = list(draw.choice(vocabulary, 60))
+            near = [*words]
+            near[30] = "changed"
+            rows += [(i, " ".join(words)), (1000 + 2 * i + side, " ".join(near))]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, "x") for i, t in rows], "doc_id long, text string, __copy int, __row int, `a.b` int, part string")
+    got = ngram_join.join(docs).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted(
+        (i, i if i < 1000 else (i - 1000) // 2) for i, _ in rows)
+    left = ngram_join.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == sorted(r for r in rows if r[0] < 1000)
+    assert {(r["__copy"], r["__row"], r["a.b"], r["part"]) for r in left.collect()} == {(1, 2, 3, "x")}
+
+
+def test_documents_unlike_any_other_all_stay(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(7, a, "p"), (7, b, "p"), (8, None, "p"), (8, "x y", "p"), (9, b.upper(), "q"), (9, b, "q"), (9, b, "r"), (None, a, "q"), (None, a, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    left = sorted(map(tuple, ngram_join.one_of_each(docs).collect()), key=repr)
+    assert left == sorted([r for r in rows if r[0] != 9], key=repr)
+    same = spark.createDataFrame([(1, a, s) for s in "cab"], "doc_id long, text string, source string")
+    first = [tuple(r) for k in (1, 5) for r in ngram_join.one_of_each(same.repartition(k)).collect()]
+    assert len(first) == 2 and first[0] == first[1]
+
+
+def test_mix_of_equal_rows_and_clashing_names(spark):
+    """Thousands of equal rows without an id; columns named like the plan's own."""
+    text = " ".join(f"w{k}" for k in range(50))
+    rows = [(None, text, "a", k % 3) for k in range(3000)] + [(5, f"{text} {k}", "a", 0) for k in range(500)] + [
+        (k, f"{PROSE} {k}", "b", 0) for k in range(100, 160)]
+    docs = spark.createDataFrame([(i, t, s, k, 1, 2, 3, 4) for i, t, s, k in rows],
+                                 "doc_id long, text string, source string, k int, __key int, __hash int, __copy int, `a.b` int")
+    old, mixing.RANGE = mixing.RANGE, 100  # so that ranges are crowded
+    try:
+        taken = mixing.taken(docs).collect()
+        out = mixing.mixed(docs).collect()
+    finally:
+        mixing.RANGE = old
+    assert len(taken) == len(rows) and all(r["taken"] <= 2 * r["size"] for r in taken)
+    targets = {r["source_size"]: r["target"] for r in taken}
+    for size, target in targets.items():
+        assert abs(sum(r["taken"] for r in taken if r["source_size"] == size) - target) <= 2 * mixing.BLOCK
+    assert sum(len(r["text"].split()) for r in out) == sum(r["taken"] for r in taken)
+    assert {(r["__key"], r["__hash"], r["__copy"], r["a.b"]) for r in out} == {(1, 2, 3, 4)}
+    by_id = Counter()
+    for r in out:
+        by_id[r["doc_id"], r["source"]] += len(r["text"].split())
+    want = Counter()
+    for r in taken:
+        want[r["doc_id"], "a" if r["doc_id"] in (None, 5) else "b"] += r["taken"]
+    assert by_id == +want
+
+
+def test_mixed_texts_are_runs_of_their_words(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"d{k}w{j}" for j in range(3 + 17 * k)), "s" if k % 3 else "t") for k in range(60)],
+                                 "doc_id long, text string, source string")
+    whole = {r["doc_id"]: r["text"].split() for r in docs.collect()}
+    got = Counter()
+    for r in mixing.mixed(docs).collect():
+        words = r["text"].split()
+        places = [whole[r["doc_id"]].index(w) for w in words]
+        assert places == sorted(set(places)) and words
+        got[r["doc_id"]] += len(words)
+    assert got == +Counter({r["doc_id"]: r["taken"] for r in mixing.taken(docs).collect()})
