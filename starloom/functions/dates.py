@@ -50,11 +50,56 @@ def parse_strict(text: Column, fmt: str) -> Column:
     return F.when(text.rlike(layout_shape(fmt)) & (F.date_format(ts, fmt) == text), ts)
 
 
+def layout_fields(fmt: str) -> tuple[str, dict[str, int]] | None:
+    """A layout's shape code (its text with 9 for every digit) and where each
+    field starts (from 1); None if it has other parts than the known fields and
+    literals without digits, or no full date."""
+    shape, at, i = "", {}, 0
+    while i < len(fmt):
+        field = next((f for f in _FIELD_WIDTH if fmt.startswith(f, i)), None)
+        if fmt[i] == "'":
+            j = fmt.index("'", i + 1)
+            literal, i = fmt[i + 1:j], j + 1
+        elif field:
+            if field in at:
+                return None
+            at[field], literal, i = len(shape) + 1, "9" * _FIELD_WIDTH[field], i + len(field)
+        elif fmt[i].isalnum():
+            return None
+        else:
+            literal, i = fmt[i], i + 1
+        if not field and re.search("[0-9]", literal):
+            return None
+        shape += literal
+    return (shape, at) if {"yyyy", "MM", "dd"} <= set(at) else None
+
+
+def _built(text: Column, at: dict[str, int]) -> Column:
+    """The stamp made of the digits at the fields' places; null if there is no such day or time."""
+    part = lambda f: F.substring(text, at[f], _FIELD_WIDTH[f]).cast("int") if f in at else F.lit(0)
+    stamp = F.try_make_timestamp(part("yyyy"), part("MM"), part("dd"), part("HH"), part("mm"), part("ss"))
+    return F.when(part("ss") < 60, stamp) if "ss" in at else stamp  # second 60 would roll over
+
+
 def parse_multi_format_timestamp(col: Column | str,
                                  formats: list[str] | None = None) -> Column:
-    """First layout (in order) that parses the trimmed text strictly; else null."""
+    """First layout (in order) that parses the trimmed text strictly; else null.
+
+    The text's shape code picks the layout, so each value is parsed once, from
+    the digits themselves; layouts with other fields are tried one by one."""
     text = F.trim(_c(col))
-    return F.coalesce(*[parse_strict(text, f) for f in (formats or vocab.DATETIME_FORMATS)])
+    tried = [(f, layout_fields(f)) for f in (formats or vocab.DATETIME_FORMATS)]
+    if any(fields is None for _, fields in tried):
+        return F.coalesce(*[parse_strict(text, f) for f, _ in tried])
+    by_shape: dict[str, list[Column]] = {}
+    for _, (shape, at) in tried:
+        by_shape.setdefault(shape, []).append(_built(text, at))
+    code = F.translate(text, "0123456789", "9" * 10)
+    picked = None
+    for shape, ways in by_shape.items():
+        way = ways[0] if len(ways) == 1 else F.coalesce(*ways)
+        picked = F.when(code == shape, way) if picked is None else picked.when(code == shape, way)
+    return picked
 
 
 def parse_multi_format_date(col: Column | str, formats: list[str] | None = None) -> Column:

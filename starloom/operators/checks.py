@@ -14,8 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import orphans
-
 Check = tuple[str, str, DataFrame]
 
 
@@ -27,47 +25,12 @@ def run_checks(checks: Iterable[Check]) -> DataFrame:
     return out.withColumn("passed", F.col("violations") == 0)
 
 
-def expected_rows(df: DataFrame, expected: DataFrame) -> DataFrame:
-    """|count(df) - expected.n|  (expected: one row, column n)."""
-    return _scalar_diff(df.agg(F.count(F.lit(1)).alias("actual")), expected)
-
-
-def _scalar_diff(actual: DataFrame, expected: DataFrame) -> DataFrame:
-    """|actual - n| for two one-row aggregates (n as a scalar subquery)."""
-    return actual.select(F.abs(F.col("actual") - expected.select("n").scalar()).alias("violations"))
-
-
-def not_null(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(col).isNull()).alias("violations"))
-
-
-def referential(df: DataFrame, col: str, dim: DataFrame, dim_col: str) -> DataFrame:
-    """Rows whose key has no dimension row (null keys count)."""
-    return orphans(df.select(col), col, dim, dim_col).agg(F.count(F.lit(1)).alias("violations"))
-
-
-def forbidden_value(df: DataFrame, col: str, value) -> DataFrame:
-    return df.agg(F.count_if(F.col(col) == F.lit(value)).alias("violations"))
-
-
-def unique_grain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """count(*) - count(distinct grain) in one pass: rows per grain value
-    (partial counts map-side, so a hot value is pre-aggregated), then
-    sum(rows) - number of grain values."""
-    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg((F.sum("_n") - F.count(F.lit(1))).alias("violations"))
-
-
-def closed_vocabulary(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
-    """Number of distinct values outside ``allowed`` (null counts as a value)."""
-    vals = df.select(F.col(col).alias("v")).distinct()
-    bad = vals.where(F.col("v").isNull() | ~F.col("v").isin(*allowed))
-    return bad.agg(F.count(F.lit(1)).alias("violations"))
-
-
-def predicate_holds(df_one_row: DataFrame, predicate: Column) -> DataFrame:
-    """1 violation unless ``predicate`` is true on the single input row."""
-    return df_one_row.select(F.when(predicate, F.lit(0)).otherwise(F.lit(1)).alias("violations"))
+def predicates_hold(one_row: DataFrame, table: str, predicates: dict[str, Column]) -> DataFrame:
+    """(check_name, table_name, violations, passed): 1 violation of each
+    predicate that isn't true of the single row."""
+    told = [F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+                     F.when(p, F.lit(0)).otherwise(F.lit(1)).cast("bigint").alias("violations")) for name, p in predicates.items()]
+    return one_row.select(F.inline(F.array(*told))).withColumn("passed", F.col("violations") == 0)
 
 
 def survivor_is_latest(clean: DataFrame, survivors: DataFrame, keys: Sequence[str],

@@ -108,3 +108,70 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
             else:
                 yield F.col(".".join(f"`{p}`" for p in path)).alias(sep.join(path))
     return df.select(*walk(df.schema, []))
+
+
+# -- all columns of many tables at once ---------------------------------------------
+
+#: A value is frequent from this share of its column's rows; candidates asked of the sketch (at most 1 / share
+#: can be frequent, the rest is room for its error) and values that it tracks.
+FREQUENT, CANDIDATES, TRACKED = 0.01, 200, 10_000
+
+
+def column_values(df: DataFrame) -> DataFrame:
+    """(column_name, value): every cell of ``df`` as text, nested fields
+    flattened, arrays joined with '|'."""
+    flat = flatten(df)
+    text = [F.array_join(F.col(f"`{f.name}`").cast("array<string>"), "|") if isinstance(f.dataType, T.ArrayType)
+            else F.col(f"`{f.name}`").cast("string") for f in flat.schema.fields]
+    cells = F.array(*(F.struct(F.lit(f.name).alias("column_name"), c.alias("value")) for f, c in zip(flat.schema.fields, text)))
+    return flat.select(F.inline(cells))
+
+
+def shape_of(value: Column) -> Column:
+    """A value's shape: every digit as 9."""
+    return F.translate(value, "0123456789", "9" * 10)
+
+
+def column_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """A row per column of each table: rows, nulls, blanks, case variants,
+    numbers, comma decimals, negatives, zeros, shortest and longest value, and
+    candidates for its frequent values and shapes.
+
+    One scan and one aggregate per table.  Every part of a summary merges
+    (counts, extremes, a frequent-items sketch), so what leaves a task is one
+    row per column, however many distinct values there are."""
+    value, number = F.col("value"), F.trim("value").try_cast("double")
+
+    def of(name: str, df: DataFrame) -> DataFrame:
+        return column_values(df).groupBy("column_name").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(value.isNull()).alias("n_null"),
+            F.count_if(F.trim(value) == "").alias("n_blank"), F.count_if(F.upper(value) != value).alias("n_case_variants"),
+            F.count(number).alias("n_numeric"), F.count_if(value.contains(",")).alias("n_comma"),
+            F.count_if(number < 0).alias("n_negative"), F.count_if(number == 0).alias("n_zero"),
+            F.min(F.length(value)).alias("shortest"), F.max(F.length(value)).alias("longest"),
+            F.call_function("approx_top_k", value, F.lit(CANDIDATES), F.lit(TRACKED)).alias("values"),
+            F.call_function("approx_top_k", shape_of(value), F.lit(CANDIDATES), F.lit(TRACKED)).alias("shapes"),
+        ).select(F.lit(name).alias("table_name"), "*")
+    return reduce(DataFrame.unionByName, [of(n, df) for n, df in tables.items()])
+
+
+def frequent_values(tables: Mapping[str, DataFrame], profile: DataFrame) -> DataFrame:
+    """(table_name, column_name, kind, value, n): values and shapes that at
+    least FREQUENT of a column's rows hold, null among them, counted exactly.
+
+    The profile's candidates hold all of them (the sketch misses none of that
+    share); they are few, and a second pass counts just these."""
+    few = reduce(DataFrame.unionByName, [profile.select(
+        "table_name", "column_name", "n_rows", F.lit(kind).alias("kind"), F.explode(f"{kind}s.item").alias("item"))
+        for kind in ("value", "shape")])
+    cells = reduce(DataFrame.unionByName, [column_values(df).select(F.lit(n).alias("table_name"), "*") for n, df in tables.items()])
+    each = cells.select("table_name", "column_name", F.explode(F.array(
+        F.struct(F.lit("value").alias("kind"), F.col("value").alias("item")),
+        F.struct(F.lit("shape").alias("kind"), shape_of(F.col("value")).alias("item")))).alias("c"))
+    at = ["table_name", "column_name"]
+    a, b, named = each.select(*at, "c.kind", "c.item").alias("a"), few.alias("b"), [*at, "kind"]
+    same = reduce(Column.__and__, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in named])
+    # At most 2 * CANDIDATES rows a column: a bounded side to broadcast, so cells that are none go before the shuffle.
+    kept = a.join(F.broadcast(b), same & F.col("a.item").eqNullSafe(F.col("b.item")))
+    return (kept.groupBy(*(F.col(f"a.{c}") for c in named), F.col("a.item").alias("value"), "n_rows").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= F.col("n_rows") * FREQUENT).drop("n_rows"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from starloom.functions import vocab
-from starloom.operators.expectations import Expectation, evaluate
+from starloom.operators.expectations import REASONS, Expectation, evaluate, read_kept, read_quarantined, write_checked
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.catalog import TABLE_COLUMNS, register
@@ -121,6 +121,29 @@ def _x02_sql() -> str:
 register("x02_declarative_expectations", _x02, _x02_sql())
 
 
+
+def _x06(spark, sf_dir):
+    """Expectations evaluated in the write itself: orders that fail one go
+    aside with their reasons, in the same job."""
+    path = f"{scratch_root(spark)}/checked-{uuid.uuid4().hex[:12]}"
+    orders = star_for(spark, sf_dir).silver_orders
+    counts = write_checked(orders, path, {"dated": F.col("order_date").isNotNull(), "priced": F.col("net_amount").isNotNull(),
+                                          "sums_up": F.abs(F.col("net_amount") - F.col("net_amount_calculado")) <= 0.01})
+    told = read_quarantined(spark, path).select(F.explode(REASONS).alias("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("orders"))
+    kept = read_kept(spark, path).agg(F.count(F.lit(1)).alias("orders"))
+    seen = {"dated": "failed:dated", "priced": "failed:priced", "sums_up": "failed:sums_up", "kept": "kept"}
+    said = spark.createDataFrame([(name, counts[key]) for name, key in seen.items()], "outcome string, observed long")
+    return told.unionByName(kept.select(F.lit("kept").alias("outcome"), "orders")).join(said, "outcome")
+
+
+register("x06_checked_write", _x06, O.with_ctes(["silver_orders"], """
+SELECT outcome, CAST(count(*) AS BIGINT) AS orders, CAST(count(*) AS BIGINT) AS observed FROM (
+  SELECT unnest(CASE WHEN len(f) = 0 THEN ['kept'] ELSE f END) AS outcome FROM (
+    SELECT list_filter([CASE WHEN order_date IS NULL THEN 'dated' END, CASE WHEN net_amount IS NULL THEN 'priced' END,
+      CASE WHEN NOT coalesce(abs(net_amount - net_amount_calculado) <= 0.01, FALSE) THEN 'sums_up' END], lambda x: x IS NOT NULL) AS f
+    FROM silver_orders)) GROUP BY outcome"""))
+
+
 # X3 ------------------------------------------------------------------------
 def _x03(spark, sf_dir):
     s = star_for(spark, sf_dir)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import normalize_key, parse_multi_format_timestamp, vocab
 from starloom.operators import checks as V
 from starloom.operators import profile as L
 from starloom.operators import reports as K
+from starloom.operators.suite import Suite, distinct_keys, rows
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
 from starloom.plans.inputs import NO_PRODUCT
@@ -105,31 +107,20 @@ SELECT {cif('net_amount IS NOT NULL AND TRY_CAST(net_amount AS DECIMAL(38,6)) IS
 
 # ------------------------------------------------------------------ V checks
 
-def _distinct_count(df, *cols):
-    return df.select(*cols).distinct().agg(F.count(F.lit(1)).alias("n"))
-
-
 def _v01(s: Star):
-    rc = s.raw_customers.select(normalize_key("customer_id").alias("k"))
-    rp = S.product_keys(s.raw_products)
-    ro = S.order_keys(s.raw_orders)
-    rv = s.raw_sellers.select(normalize_key("seller_id").alias("k"))
-    rch = S.channel_keys(s.raw_channels)
-    rr = s.raw_regions.select(S.normalize_regional_code("regional_code").alias("k"))
-    ri = s.raw_items.select(normalize_key("order_id").alias("o"), F.trim("item_seq").try_cast("int").alias("i"))
-    rd = s.raw_deliveries.select("delivery_id")
-    rt = s.raw_tickets.agg(F.count(F.lit(1)).alias("n"))
-    return V.run_checks([
-        ("rows_equal_distinct_keys", "silver_customers", V.expected_rows(s.silver_customers, _distinct_count(rc, "k"))),
-        ("rows_equal_distinct_keys", "silver_products", V.expected_rows(s.silver_products, _distinct_count(rp, "product_id"))),
-        ("rows_equal_distinct_keys", "silver_orders", V.expected_rows(s.silver_orders, _distinct_count(ro, "order_id"))),
-        ("rows_equal_distinct_keys", "silver_sellers", V.expected_rows(s.silver_sellers, _distinct_count(rv, "k"))),
-        ("rows_equal_distinct_keys", "silver_channels", V.expected_rows(s.silver_channels, _distinct_count(rch, "id_canal"))),
-        ("rows_equal_distinct_keys", "silver_regions", V.expected_rows(s.silver_regions, _distinct_count(rr, "k"))),
-        ("rows_equal_distinct_keys", "silver_items", V.expected_rows(s.silver_items, _distinct_count(ri, "o", "i"))),
-        ("rows_equal_distinct_keys", "silver_deliveries", V.expected_rows(s.silver_deliveries, _distinct_count(rd, "delivery_id"))),
-        ("rows_equal_raw_rows", "silver_tickets", V.expected_rows(s.silver_tickets, rt)),
-    ])
+    """Silver rows against the distinct keys of the source, in one pass over each table."""
+    key = normalize_key
+    sources = {
+        "customers": (s.raw_customers, [key("customer_id")]), "products": (s.raw_products, [key(F.col("product.product_id"))]),
+        "orders": (s.raw_orders, [key("order_id")]), "sellers": (s.raw_sellers, [key("seller_id")]),
+        "channels": (s.raw_channels, [key("id_canal")]), "regions": (s.raw_regions, [S.normalize_regional_code("regional_code")]),
+        "items": (s.raw_items, [key("order_id"), F.trim("item_seq").try_cast("int")]), "deliveries": (s.raw_deliveries, [F.col("delivery_id")])}
+    suite = Suite({f"raw_{t}": df for t, (df, _) in sources.items()} | {f"silver_{t}": getattr(s, f"silver_{t}") for t in [*sources, "tickets"]}
+                  | {"raw_tickets": s.raw_tickets})
+    for t, (_, columns) in sources.items():
+        suite.same_count("rows_equal_distinct_keys", f"silver_{t}", suite.measure(f"raw_{t}", "keys", distinct_keys(*columns)))
+    suite.same_count("rows_equal_raw_rows", "silver_tickets", suite.measure("raw_tickets", "rows", rows()))
+    return suite.run()
 
 
 def _dc(src: str, exprs: str) -> str:
@@ -171,11 +162,20 @@ register("v01_row_counts", q(_v01), O.with_ctes(
      "silver_orders", "silver_sellers", "silver_channels", "silver_regions", "silver_items",
      "silver_deliveries", "silver_tickets"], _v01_sql()))
 
-register("v02_not_null_keys", q(lambda s: V.run_checks([
-    ("customer_id_not_null", "fact_pedidos", V.not_null(s.fact_pedidos, "customer_id")),
-    ("product_id_not_null", "fact_pedidos_itens", V.not_null(s.fact_pedidos_itens, "product_id")),
-    ("customer_id_not_null", "fact_ocorrencias", V.not_null(s.fact_ocorrencias, "customer_id")),
-])), O.with_ctes(["fact_pedidos", "fact_pedidos_itens", "fact_ocorrencias"], _checks_sql([
+def _over(s: Star, tables: str, *checks) -> DataFrame:
+    """A suite over the named tables; each check is (kind, arguments)."""
+    suite = Suite({t: getattr(s, t) for t in tables.split()})
+    for kind, *args in checks:
+        getattr(suite, kind)(*args)
+    return suite.run()
+
+
+register("v02_not_null_keys", q(lambda s: _over(
+    s, "fact_pedidos fact_pedidos_itens fact_ocorrencias",
+    ("no_rows", "customer_id_not_null", "fact_pedidos", F.col("customer_id").isNull()),
+    ("no_rows", "product_id_not_null", "fact_pedidos_itens", F.col("product_id").isNull()),
+    ("no_rows", "customer_id_not_null", "fact_ocorrencias", F.col("customer_id").isNull()),
+)), O.with_ctes(["fact_pedidos", "fact_pedidos_itens", "fact_ocorrencias"], _checks_sql([
     ("customer_id_not_null", "fact_pedidos", f"(SELECT {cif('customer_id IS NULL')} FROM fact_pedidos)"),
     ("product_id_not_null", "fact_pedidos_itens", f"(SELECT {cif('product_id IS NULL')} FROM fact_pedidos_itens)"),
     ("customer_id_not_null", "fact_ocorrencias", f"(SELECT {cif('customer_id IS NULL')} FROM fact_ocorrencias)"),
@@ -187,34 +187,35 @@ def _anti(src: str, col: str, dim: str, dim_col: str) -> str:
             f"(SELECT 1 FROM {dim} d WHERE d.{dim_col} = f.{col}))")
 
 
-register("v03_referential_integrity", q(lambda s: V.run_checks([
-    ("customer_fk", "fact_pedidos", V.referential(s.fact_pedidos, "customer_id", s.dim_cliente, "customer_id")),
-    ("product_fk", "fact_pedidos_itens", V.referential(s.fact_pedidos_itens, "product_id", s.dim_produto, "product_id")),
-    ("customer_fk", "fact_ocorrencias", V.referential(s.fact_ocorrencias, "customer_id", s.dim_cliente, "customer_id")),
-])), O.with_ctes(["fact_pedidos", "fact_pedidos_itens", "fact_ocorrencias", "dim_cliente", "dim_produto"],
+register("v03_referential_integrity", q(lambda s: _over(
+    s, "fact_pedidos fact_pedidos_itens fact_ocorrencias",
+    ("references", "customer_fk", "fact_pedidos", "customer_id", s.dim_cliente, "customer_id"),
+    ("references", "product_fk", "fact_pedidos_itens", "product_id", s.dim_produto, "product_id"),
+    ("references", "customer_fk", "fact_ocorrencias", "customer_id", s.dim_cliente, "customer_id"),
+)), O.with_ctes(["fact_pedidos", "fact_pedidos_itens", "fact_ocorrencias", "dim_cliente", "dim_produto"],
                  _checks_sql([
     ("customer_fk", "fact_pedidos", _anti("fact_pedidos", "customer_id", "dim_cliente", "customer_id")),
     ("product_fk", "fact_pedidos_itens", _anti("fact_pedidos_itens", "product_id", "dim_produto", "product_id")),
     ("customer_fk", "fact_ocorrencias", _anti("fact_ocorrencias", "customer_id", "dim_cliente", "customer_id")),
 ])))
 
-register("v04_forbidden_values", q(lambda s: V.run_checks([
-    ("placeholder_customer_resolved", "fact_pedidos",
-     V.forbidden_value(s.fact_pedidos, "customer_id", vocab.PLACEHOLDER_CUSTOMER)),
-    ("orphan_product_resolved", "fact_pedidos_itens",
-     V.forbidden_value(s.fact_pedidos_itens, "product_id", NO_PRODUCT)),
-])), O.with_ctes(["fact_pedidos", "fact_pedidos_itens"], _checks_sql([
+register("v04_forbidden_values", q(lambda s: _over(
+    s, "fact_pedidos fact_pedidos_itens",
+    ("no_rows", "placeholder_customer_resolved", "fact_pedidos", F.col("customer_id") == vocab.PLACEHOLDER_CUSTOMER),
+    ("no_rows", "orphan_product_resolved", "fact_pedidos_itens", F.col("product_id") == NO_PRODUCT),
+)), O.with_ctes(["fact_pedidos", "fact_pedidos_itens"], _checks_sql([
     ("placeholder_customer_resolved", "fact_pedidos",
      f"(SELECT {cif(chr(39).join(['customer_id = ', vocab.PLACEHOLDER_CUSTOMER, '']))} FROM fact_pedidos)"),
     ("orphan_product_resolved", "fact_pedidos_itens",
      f"(SELECT {cif(chr(39).join(['product_id = ', 'PX99999', '']))} FROM fact_pedidos_itens)"),
 ])))
 
-register("v05_unique_grain", q(lambda s: V.run_checks([
-    ("unique_grain", "fact_pedidos", V.unique_grain(s.fact_pedidos, ["order_id"])),
-    ("unique_grain", "fact_pedidos_itens", V.unique_grain(s.fact_pedidos_itens, ["order_id", "item_seq"])),
-    ("unique_grain", "fact_entregas", V.unique_grain(s.fact_entregas, ["delivery_id"])),
-])), O.with_ctes(["fact_pedidos", "fact_pedidos_itens", "fact_entregas"], _checks_sql([
+register("v05_unique_grain", q(lambda s: _over(
+    s, "fact_pedidos fact_pedidos_itens fact_entregas",
+    ("unique", "unique_grain", "fact_pedidos", ["order_id"]),
+    ("unique", "unique_grain", "fact_pedidos_itens", ["order_id", "item_seq"]),
+    ("unique", "unique_grain", "fact_entregas", ["delivery_id"]),
+)), O.with_ctes(["fact_pedidos", "fact_pedidos_itens", "fact_entregas"], _checks_sql([
     ("unique_grain", "fact_pedidos", f"abs((SELECT count(*) FROM fact_pedidos) - {_dc('fact_pedidos', 'order_id')})"),
     ("unique_grain", "fact_pedidos_itens",
      f"abs((SELECT count(*) FROM fact_pedidos_itens) - {_dc('fact_pedidos_itens', 'order_id, item_seq')})"),
@@ -231,12 +232,12 @@ def _vocab_sql(src: str, col: str, allowed: list[str]) -> str:
     return f"(SELECT count(*) FROM (SELECT DISTINCT {col} AS v FROM {src}) WHERE v IS NULL OR v NOT IN ({vals}))"
 
 
-register("v06_closed_vocabulary", q(lambda s: V.run_checks([
-    ("status_order_vocabulary", "silver_orders", V.closed_vocabulary(s.silver_orders, "status_order", STATUS_ALLOWED)),
-    ("carrier_mode_vocabulary", "silver_deliveries", V.closed_vocabulary(s.silver_deliveries, "carrier_mode", MODE_ALLOWED)),
-    ("delivery_status_vocabulary", "silver_deliveries",
-     V.closed_vocabulary(s.silver_deliveries, "delivery_status", DELIVERY_ALLOWED)),
-])), O.with_ctes(["silver_orders", "silver_deliveries"], _checks_sql([
+register("v06_closed_vocabulary", q(lambda s: _over(
+    s, "silver_orders silver_deliveries",
+    ("vocabulary", "status_order_vocabulary", "silver_orders", "status_order", STATUS_ALLOWED),
+    ("vocabulary", "carrier_mode_vocabulary", "silver_deliveries", "carrier_mode", MODE_ALLOWED),
+    ("vocabulary", "delivery_status_vocabulary", "silver_deliveries", "delivery_status", DELIVERY_ALLOWED),
+)), O.with_ctes(["silver_orders", "silver_deliveries"], _checks_sql([
     ("status_order_vocabulary", "silver_orders", _vocab_sql("silver_orders", "status_order", STATUS_ALLOWED)),
     ("carrier_mode_vocabulary", "silver_deliveries", _vocab_sql("silver_deliveries", "carrier_mode", MODE_ALLOWED)),
     ("delivery_status_vocabulary", "silver_deliveries",
@@ -362,13 +363,11 @@ register("v08_invalid_date_rejection", q(_v08), O.with_ctes(
 
 
 def _v09(s: Star):
+    """One aggregate over the fact gives all three figures."""
     k = K.kpis(s.fact_pedidos)
-    return V.run_checks([
-        ("net_revenue_positive", "fact_pedidos", V.predicate_holds(k, F.col("receita_liquida") > 0)),
-        ("average_ticket_positive", "fact_pedidos", V.predicate_holds(k, F.col("ticket_medio") > 0)),
-        ("cancellation_pct_in_range", "fact_pedidos",
-         V.predicate_holds(k, F.col("pct_cancelado").between(0, 100))),
-    ])
+    return V.predicates_hold(k, "fact_pedidos", {
+        "net_revenue_positive": F.col("receita_liquida") > 0, "average_ticket_positive": F.col("ticket_medio") > 0,
+        "cancellation_pct_in_range": F.col("pct_cancelado").between(0, 100)})
 
 
 def _kpi_sql(pred: str) -> str:
@@ -396,6 +395,53 @@ register("l01_table_sizes", q(lambda s: L.table_sizes({n: getattr(s, n) for n in
 
 CUSTOMER_RAW_COLS = ["customer_id", "nome_cliente", "segmento", "porte", "cidade", "estado",
                      "data_cadastro", "email", "status_cliente", "updated_at"]
+ORDER_RAW_COLS = ["order_id", "customer_code", "seller_id", "order_date", "promised_date", "status_order",
+                  "gross_amount", "discount_amount", "net_amount", "payment_details", "last_update"]
+#: Columns of every raw table (nested ones flattened) -> their name in the oracle.
+PROFILED = {t: dict(zip(cs, cs)) for t, cs in {
+    "raw_customers": CUSTOMER_RAW_COLS, "raw_orders": ORDER_RAW_COLS,
+    "raw_items": ["order_id", "item_seq", "product_code", "quantity", "unit_price", "total_item", "item_status"],
+    "raw_regions": ["regional_code", "regional_name", "state", "manager_name", "active_flag"],
+    "raw_sellers": ["seller_id", "seller_name", "canal_id", "regional_code", "hire_date", "status"],
+    "raw_channels": ["id_canal", "nome_canal", "tipo_canal", "ativo", "observacao"],
+    "raw_tickets": ["ticket_id", "order_id", "customer_code", "event_type", "severity", "status", "created_at", "metadata"]}.items()} | {
+    "raw_products": {"attributes_family": "family", "attributes_tags": "tags", "pricing_currency": "currency",
+                     "pricing_list_price": "list_price", "product_category": "category", "product_name": "name",
+                     "product_product_id": "product_id", "product_status": "status", "product_subcategory": "subcategory",
+                     "updated_at": "updated_at"},
+    "raw_deliveries": {"carrier_mode": "carrier_mode", "carrier_name": "carrier_name", "cost": "cost", "delivery_id": "delivery_id",
+                       "delivery_status": "delivery_status", "destination_city": "dest_city", "destination_state": "dest_state",
+                       "order_ref": "order_ref", "timestamps_delivered_at": "delivered_at", "timestamps_shipped_at": "shipped_at"}}
+
+
+def _profile_sql(table: str, name: str, col: str) -> str:
+    v, num = col, f"TRY_CAST(trim({col}) AS DOUBLE)"
+    return (f"SELECT '{table}' AS table_name, '{name}' AS column_name, count(*) AS n_rows, {cif(f'{v} IS NULL')} AS n_null, "
+            f"{cif(f'trim({v}) = {O.lit(str())}')} AS n_blank, {cif(f'upper({v}) <> {v}')} AS n_case_variants, count({num}) AS n_numeric, "
+            f"{cif(f'contains({v}, {O.lit(chr(44))})')} AS n_comma, {cif(f'{num} < 0')} AS n_negative, {cif(f'{num} = 0')} AS n_zero, "
+            f"CAST(min(length({v})) AS INTEGER) AS shortest, CAST(max(length({v})) AS INTEGER) AS longest FROM {table}")
+
+
+def _frequent_sql(table: str, name: str, col: str) -> str:
+    kinds = {"value": col, "shape": f"translate({col}, '0123456789', '9999999999')"}
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{kind}' AS kind, {v} AS value, count(*) AS n FROM {table} "
+        f"GROUP BY 4 HAVING count(*) >= (SELECT count(*) FROM {table}) * {L.FREQUENT}" for kind, v in kinds.items())
+
+
+def _every_column(sql) -> str:
+    return O.with_ctes(list(PROFILED), " UNION ALL ".join(sql(t, n, c) for t, cs in PROFILED.items() for n, c in cs.items()))
+
+
+def _raw(s: Star) -> dict:
+    return {t: getattr(s, t) for t in PROFILED}
+
+
+register("l15_column_profile", q(lambda s: L.column_profile(_raw(s)).drop("values", "shapes")), _every_column(_profile_sql))
+register("l16_frequent_values", q(lambda s: L.frequent_values(_raw(s), L.column_profile(_raw(s)))), _every_column(_frequent_sql))
+register("l02b_null_blank_counts_all", q(lambda s: L.column_profile(_raw(s)).select("table_name", "column_name", "n_null", "n_blank")),
+         _every_column(lambda t, n, c: f"SELECT '{t}' AS table_name, '{n}' AS column_name, {cif(f'{c} IS NULL')} AS n_null, "
+                       f"{cif(f'trim({c}) = {O.lit(str())}')} AS n_blank FROM {t}"))
 register("l02_null_blank_counts", q(lambda s: L.null_blank_counts(s.raw_customers, "raw_customers")),
          O.with_ctes(["raw_customers"], " UNION ALL ".join(
              f"SELECT 'raw_customers' AS table_name, '{c}' AS column_name, {cif(f'{c} IS NULL')} AS n_null, "
@@ -527,8 +573,6 @@ SELECT o.*, d.* FROM (SELECT {cif(f"customer_code = '{vocab.PLACEHOLDER_CUSTOMER
   {cif("contains(order_date, '2025-13-40')")} AS n_invalid_month FROM raw_orders) o,
  (SELECT {cif("contains(shipped_at, '31/02/2025')")} AS n_feb_31_shipped FROM raw_deliveries) d"""))
 
-ORDER_RAW_COLS = ["order_id", "customer_code", "seller_id", "order_date", "promised_date", "status_order",
-                  "gross_amount", "discount_amount", "net_amount", "payment_details", "last_update"]
 register("l12_first_offenders",
          q(lambda s: L.first_n(s.raw_orders,
                                F.col("gross_amount").isNotNull() & F.trim("gross_amount").try_cast("double").isNull(),

@@ -11,8 +11,9 @@ the oracle is the silver table's oracle.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.session import scratch_root
@@ -223,3 +224,83 @@ register("s14_silver_layer_counts", _layer_counts_query("silver"),
          _counts_sql("silver", {t: f"silver_{t}" for t in B.SILVER_TABLES}))
 register("s15_gold_layer_counts", _layer_counts_query("gold"), _counts_sql("gold", {t: t for t in B.GOLD_TABLES}))
 register("s16_gold_fact_written", _written_fact, O.exported("fact_pedidos_itens", TABLE_COLUMNS["fact_pedidos_itens"]))
+
+
+# ---------------------------------------------------------- records set aside, stamps, catalog
+
+def _quarantined(spark, sf_dir):
+    """Every tenth ticket's line is cut short: these records reach the
+    quarantine with their text, and no silver row is made of them."""
+    st = star_for(spark, sf_dir)
+    base = scratch(spark, "tickets-quarantine")
+    line = F.to_json(F.struct(*st.raw_tickets.columns))
+    cut = F.substring("ticket_id", 2, 20).cast("long") % 10 == 0
+    (st.raw_tickets.select(F.when(cut, F.substring_index(line, ",", 1)).otherwise(line).alias("line"))
+     .write.text(f"{base}/tickets.ndjson"))
+    B.build_bronze_from_files(spark, base, f"{base}/out", only=["tickets"])
+    silver = S.silver_tickets(B.set_aside_malformed(spark, f"{base}/out", "tickets").drop("_ingested_at", "_source_file", R.CORRUPT))
+    aside = B.read_table(spark, f"{base}/out", "quarantine", "tickets")
+    return silver.agg(F.count(F.lit(1)).alias("kept"), F.count("ticket_id").alias("kept_with_id")).withColumns({
+        "quarantined": aside.agg(F.count(F.lit(1))).scalar(),
+        "quarantined_with_text": aside.agg(F.count_if(F.col(R.CORRUPT).startswith('{"ticket_id":"T'))).scalar()})
+
+
+def _ingest_stamps(spark, sf_dir):
+    """D8: every bronze row carries the time of its write, one time per write."""
+    base = scratch(spark, "stamps")
+    started = F.current_timestamp()
+    B.write_table(B.with_ingest_columns(star_for(spark, sf_dir).raw_customers, "customers"), base, "bronze", "customers")
+    back = B.read_table(spark, base, "bronze", "customers")
+    return back.agg(F.count(F.lit(1)).alias("rows"), F.count("_ingested_at").alias("stamped"),
+                    F.count_distinct("_ingested_at").alias("stamps"), F.count_if(F.col("_ingested_at") > started).alias("later_than_now"))
+
+
+def _namespace(spark, sf_dir):
+    """B4: bronze tables named in a catalog namespace and counted by name."""
+    st = star_for(spark, sf_dir)
+    base, names = scratch(spark, "catalog"), ["customers", "orders", "tickets"]
+    for n in names:
+        B.write_table(B.with_ingest_columns(getattr(st, f"raw_{n}"), n), base, "bronze", n)
+    tables = B.register_layer(spark, base, "bronze", names, f"starloom_{uuid.uuid4().hex[:12]}")
+    parts = [spark.table(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, t in zip(names, tables)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+BUCKETS = 8
+
+
+def _bucketed(spark, sf_dir):
+    """B3 laid out for joins: item and order facts bucketed by order, joined where they lie."""
+    st = star_for(spark, sf_dir)
+    base, name = scratch(spark, "bucketed"), f"starloom_{uuid.uuid4().hex[:12]}"
+    items, orders = (spark.table(B.write_bucketed(getattr(st, t), base, "gold", t, "order_id", BUCKETS, name))
+                     for t in ("fact_pedidos_itens", "fact_pedidos"))
+    joined = items.hint("merge").join(orders.select("order_id", "status_order", "is_cancelado"), "order_id")
+    return joined.groupBy("order_id", "status_order").agg(
+        F.count(F.lit(1)).alias("items"), F.count_if("is_cancelado").alias("cancelled"), F.max("quantity").alias("most"))
+
+
+def _literal_rows(spark, sf_dir):
+    """A9: inline rows (the spellings of two states) met with the customers."""
+    spellings = spark.createDataFrame([("sp", "SP"), ("sao paulo", "SP"), ("minas gerais", "MG"), ("mg", "MG"), ("none such", "XX")],
+                                      "spelling string, uf string")
+    raw = star_for(spark, sf_dir).raw_customers.select(F.lower(F.trim("estado")).alias("spelling"))
+    return spellings.join(raw.groupBy("spelling").agg(F.count(F.lit(1)).alias("n")), "spelling", "left").groupBy("uf").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("customers"))
+
+
+register("s18_quarantined_records", _quarantined, O.with_ctes(["raw_tickets"], """
+SELECT count(*) FILTER (WHERE NOT bad) AS kept, count(*) FILTER (WHERE NOT bad) AS kept_with_id, count(*) FILTER (WHERE bad) AS quarantined,
+  count(*) FILTER (WHERE bad) AS quarantined_with_text
+FROM (SELECT CAST(substr(ticket_id, 2) AS BIGINT) % 10 = 0 AS bad FROM raw_tickets)"""))
+register("s19_bucketed_join", _bucketed, O.with_ctes(["fact_pedidos_itens", "fact_pedidos"], """
+SELECT order_id, o.status_order, count(*) AS items, count(*) FILTER (WHERE o.is_cancelado) AS cancelled, max(i.quantity) AS most
+FROM fact_pedidos_itens i JOIN fact_pedidos o USING (order_id) GROUP BY ALL"""))
+register("s20_ingest_stamps", _ingest_stamps, O.with_ctes(["raw_customers"], """
+SELECT count(*) AS rows, count(*) AS stamped, CAST(1 AS BIGINT) AS stamps, CAST(0 AS BIGINT) AS later_than_now FROM raw_customers"""))
+register("s21_catalog_namespace", _namespace, O.with_ctes(["raw_customers", "raw_orders", "raw_tickets"], " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS rows FROM raw_{n}" for n in ("customers", "orders", "tickets"))))
+register("s22_literal_rows", _literal_rows, O.with_ctes(["raw_customers"], """
+SELECT uf, CAST(count(estado) AS BIGINT) AS customers
+FROM (VALUES ('sp', 'SP'), ('sao paulo', 'SP'), ('minas gerais', 'MG'), ('mg', 'MG'), ('none such', 'XX')) l(spelling, uf)
+LEFT JOIN raw_customers ON lower(trim(estado)) = spelling GROUP BY uf"""))

@@ -54,6 +54,32 @@ def read_table(spark: SparkSession, base_path: str, layer: str, table: str) -> D
     return spark.read.parquet(layer_path(base_path, layer, table))
 
 
+def write_bucketed(df: DataFrame, base_path: str, layer: str, table: str, key: str, buckets: int, namespace: str) -> str:
+    """Overwrite ``layer/table`` bucketed and sorted by ``key`` and name it in
+    the catalog; returns the name.  Tables of equal bucket numbers join on the
+    key where they lie, without an exchange.  (A key that holds much of a table
+    is one bucket: for such tables the shuffled join, which splits it, is better.)"""
+    create_namespace(df.sparkSession, base_path, namespace)
+    name = f"{namespace}.{layer}_{table}"
+    # Rows are dealt to their buckets first: one file a bucket, not one per task and bucket.
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", layer_path(base_path, layer, table)).saveAsTable(name))
+    return name
+
+
+def create_namespace(spark: SparkSession, base_path: str, namespace: str) -> None:
+    """The catalog's namespace for the tables under ``base_path``."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}` LOCATION '{base_path.rstrip('/')}/{namespace}'")
+
+
+def register_layer(spark: SparkSession, base_path: str, layer: str, tables: list[str], namespace: str) -> list[str]:
+    """Name the written tables of a layer in the catalog, as ``namespace.layer_table``."""
+    create_namespace(spark, base_path, namespace)
+    for t in tables:
+        spark.catalog.createTable(f"{namespace}.{layer}_{t}", path=layer_path(base_path, layer, t), source="parquet")
+    return [f"{namespace}.{layer}_{t}" for t in tables]
+
+
 def layer_counts(spark: SparkSession, base_path: str, layer: str, tables: list[str]) -> DataFrame:
     """(layer, table_name, rows) for every table of a layer, one job."""
     parts = [read_table(spark, base_path, layer, t).agg(F.count(F.lit(1)).alias("rows"))
@@ -99,8 +125,20 @@ def build_bronze(spark: SparkSession, sf_dir: str, base_path: str) -> dict[str,
             for name, fn in I.RAW_BUILDERS.items()}
 
 
+def set_aside_malformed(spark: SparkSession, base_path: str, table: str) -> DataFrame:
+    """A bronze table's records that parsed; the others go to the layer
+    ``quarantine`` as they came, with their text, file and time."""
+    bronze = read_table(spark, base_path, "bronze", table)
+    if R.CORRUPT not in bronze.columns:
+        return bronze
+    bad = F.col(R.CORRUPT).isNotNull()
+    write_table(bronze.where(bad).select(R.CORRUPT, "_source_file", "_ingested_at"), base_path, "quarantine", table)
+    return bronze.where(~bad)
+
+
 def build_silver(spark: SparkSession, base_path: str) -> dict[str, int]:
-    b = {t: read_table(spark, base_path, "bronze", t).drop("_ingested_at", "_source_file", R.CORRUPT)
+    """Bronze -> silver; malformed records make no silver rows."""
+    b = {t: set_aside_malformed(spark, base_path, t).drop("_ingested_at", "_source_file", R.CORRUPT)
          for t in I.RAW_BUILDERS}
     frames = {
         "products": S.silver_products(b["products"]),
