@@ -24,7 +24,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded_sample, id_and_text
+from starloom.llm.common import bounded_sample, id_and_text, kept
 
 #: Bytes of the dictionary, rows it is trained on, compression level.
 DICTIONARY_BYTES, SAMPLE_ROWS, LEVEL = 65_536, 2000, 3
@@ -51,22 +51,61 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(other)}}
 
 
+class Known:
+    """Strings with their ids, remembered until there are too many.  ``spell``
+    gives the ids of a list of strings and how many each has."""
+
+    def __init__(self, spell):
+        self.spell = spell
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.flat = np.zeros(0, np.uint32)
+        self.start = self.size = np.zeros(0, np.int64)
+
+    def _places(self, every: list[str]) -> np.ndarray:
+        """Where each string's ids are; -1 if it isn't known."""
+        return np.fromiter(map(self.at.get, every, repeat(-1)), np.int64, len(every))
+
+    def ids(self, every: list[str], counts: list[int]) -> list[np.ndarray]:
+        """Ids of runs of strings, of which each has its number in ``counts``."""
+        which = self._places(every)
+        missing = np.flatnonzero(which < 0).tolist()
+        if missing:
+            new = {every[i] for i in missing}
+            if self.at and len(self.at) + len(new) > CACHE:
+                self.forget()
+                new, missing = set(every), range(len(every))
+            ids, size = self.spell(list(new))
+            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
+            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+            self.size = np.concatenate([self.size, size])
+            self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+            which[missing] = self._places([every[i] for i in missing])
+        size = self.size[which]
+        end = np.cumsum(size)
+        flat = self.flat[np.arange(int(size.sum())) + np.repeat(self.start[which] - (end - size), size)]
+        return np.split(flat, np.concatenate([[0], end])[np.cumsum(counts)][:-1]) if counts else []
+
+
 class Encoder:
     """Ids of texts by the tokenizers library.
 
     A tokenizer whose splitting never crosses white space gives a text the ids
-    of its words one after the other, so each distinct word is encoded once
-    and remembered.  Words of ASCII and accented Latin-1 letters alone, whose
-    normal form is their lower case, go to the model piece by piece; all
-    others go through the whole tokenizer.  Other tokenizers encode whole
+    of its pieces one after the other.  In texts of ASCII and accented Latin-1
+    letters alone, whose normal form is their lower case, the pieces are found
+    by the splitting pattern, and each distinct piece goes to the model once and
+    is remembered.  Other texts are cut at white space, and each distinct word
+    goes through the whole tokenizer.  Tokenizers of another kind encode whole
     texts.
     """
 
     #: Normal and splitting steps (as the tokenizer file names them) that this holds for.
     NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
     SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-    ODD = re.compile("[^\n\x21-\x7eÀ-ÖØ-öø-ÿ]")
-    PIECE = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
+    ODD = re.compile("[^\x20\x09-\x0D\x21-\x7eÀ-ÖØ-öø-ÿ]")
+    PIECE = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\x20\x09-\x0Da-z0-9ß-öø-ÿ]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -78,77 +117,40 @@ class Encoder:
                         and split[0].get("pattern", {}).get("Regex") == self.SPLIT
                         and [s.get("type") for s in split] == ["Split", "ByteLevel"])
         # What all special tokens begin with (something that no text holds, if there are none).
-        self.mark = os.path.commonprefix([t["content"] for t in spec.get("added_tokens", [])] or ["\n\n"])
+        self.mark = os.path.commonprefix([t["content"] for t in spec.get("added_tokens", [])] or ["\0\0"])
         letters = _byte_letters()
         self.letters = str.maketrans({chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(256)})
-        self.forget()
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces, self.words = Known(self._spell_pieces), Known(self._spell_words)
 
-    def forget(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.start = self.size = np.zeros(0, np.int64)
+    def _spell_words(self, words: list[str]) -> tuple[list[int], np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return list(chain.from_iterable(found)), np.fromiter(map(len, found), np.int64, len(found))
 
-    def spelled(self, words: list[bytes]) -> tuple[list[int], list[int]]:
-        """Ids of plain words one after the other, and how many each has."""
-        pieces = self.PIECE.findall((b"\n".join(words) + b"\n").decode().lower())
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        tokenize, known = self.tokenizer.model.tokenize, self.pieces
-        for piece in set(pieces).difference(known):
-            known[piece] = [t.id for t in tokenize(piece if piece.isascii() else piece.translate(self.letters))]
-        ids, sizes, before = [], [], 0
-        for piece in pieces:
-            if piece == "\n":  # a word's end
-                sizes.append(len(ids) - before)
-                before = len(ids)
-            else:
-                ids += known[piece]
-        return ids, sizes
-
-    def remember(self, words: list[bytes]) -> None:
-        new = list(set(words).difference(self.at))
-        if self.at and len(self.at) + len(new) > CACHE:
-            self.forget()
-            new = list(set(words))
-        if not new:
-            return
-        texts = b"\n".join(new).decode("utf-8", "surrogatepass")
-        other = []
-        if self.ODD.search(texts) or self.mark in texts:
-            odd = [w for w in new for t in [w.decode("utf-8", "surrogatepass")] if self.ODD.search(t) or self.mark in t]
-            other = [self.tokenizer.encode(w.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids for w in odd]
-            new = [*set(new).difference(odd), *odd]
-        ids, sizes = self.spelled(new[:len(new) - len(other)]) if len(new) > len(other) else ([], [])
-        for found in other:
-            ids += found
-            sizes.append(len(found))
-        size = np.array(sizes, np.int64)
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+    def _spell_pieces(self, pieces: list[str]) -> tuple[list[int], np.ndarray]:
+        """Pieces have their normal form: the model takes them as byte letters."""
+        tokenize, letters = self.tokenizer.model.tokenize, self.letters
+        found = [[t.id for t in tokenize(p if p.isascii() else p.translate(letters))] for p in pieces]
+        return list(chain.from_iterable(found)), np.fromiter(map(len, found), np.int64, len(found))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text as unsigned 32-bit arrays."""
         if not self.by_word:
             return [np.array(e.ids, np.uint32) for e in
                     self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        every = [w for ws in words for w in ws]
-        self.remember(every)
-        which = np.fromiter(map(self.at.__getitem__, every), np.int64, len(every))
-        size = self.size[which]
-        end = np.cumsum(size)
-        ids = self.flat[np.arange(int(size.sum())) + np.repeat(self.start[which] - (end - size), size)]
-        last = np.cumsum([len(ws) for ws in words])
-        return np.split(ids, np.concatenate([[0], end])[last][:-1])
+        odd = [self.ODD.search(t) is not None or self.mark in t for t in texts]
+        plain = self._runs(self.pieces, [self.PIECE.findall(t.lower()) for t, o in zip(texts, odd) if not o])
+        other = self._runs(self.words, [[w.decode("utf-8", "surrogatepass") for w in t.encode("utf-8", "surrogatepass").split()]
+                                        for t, o in zip(texts, odd) if o])
+        return [next(other if o else plain) for o in odd]
+
+    @staticmethod
+    def _runs(known: Known, runs: list[list[str]]) -> Iterator[np.ndarray]:
+        return iter(known.ids(list(chain.from_iterable(runs)), list(map(len, runs))))
 
 
-@lru_cache(maxsize=2)
 def encoder_of(path: str) -> Encoder:
-    """The worker's encoder, kept from task to task with the words it remembers."""
-    return Encoder(path)
+    """The worker's encoder, with the words it remembers."""
+    return kept(("tokens", path), lambda: Encoder(path))
 
 
 def id_type(vocabulary: int) -> str:
