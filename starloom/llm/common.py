@@ -49,6 +49,24 @@ def bounded_sample(df: DataFrame, rows: int, seed: int = 7) -> DataFrame:
     return df.sample(fraction=min(1.0, 1.2 * rows / max(n, 1)), seed=seed).limit(rows)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make):
+    """The one helper that a worker keeps from task to task, with what it
+    remembers.  Asked for another one, it lets go of the one before, so workers
+    that serve several operators hold the memory of one."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Let go of what the worker keeps: the operator at hand remembers nothing."""
+    _KEPT.clear()
+
+
 def text_words(text: str) -> list[bytes]:
     """Words of a text as UTF-8: bytes.split() splits at exactly SPACES."""
     return text.encode("utf-8", "surrogatepass").split()

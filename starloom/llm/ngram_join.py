@@ -35,7 +35,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import id_and_text, written
+from starloom.llm.common import id_and_text, kept, written
 from starloom.llm.links import components
 from starloom.session import ship_package
 
@@ -59,10 +58,9 @@ _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                     0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-@lru_cache(maxsize=2)
 def shingler_of(words: int) -> "Shingler":
-    """The worker's shingler, kept from task to task with the words it knows."""
-    return Shingler(words)
+    """The worker's shingler, with the words it knows."""
+    return kept(("shingler", words), lambda: Shingler(words))
 
 
 class Shingler:

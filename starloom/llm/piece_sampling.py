@@ -23,13 +23,12 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from starloom.llm.common import frames, id_and_text
+from starloom.llm.common import frames, id_and_text, kept
 
 SPACE = "▁"
 #: Stands for a space sign in the text itself, which is no space: a code that no text holds and no piece has.
@@ -240,10 +239,9 @@ class PieceSampler:
         return text[1:] if self.prefix else text
 
 
-@lru_cache(maxsize=2)
 def sampler_of(model: str, smoothing: float, seed: int) -> PieceSampler:
-    """The worker's sampler, kept from task to task with the words it remembers."""
-    return PieceSampler(model, smoothing, seed)
+    """The worker's sampler, with the words it remembers."""
+    return kept(("pieces", model, smoothing, seed), lambda: PieceSampler(model, smoothing, seed))
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text",

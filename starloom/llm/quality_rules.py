@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from starloom.llm.common import SPACES, bounded_sample, frames, id_and_text, text_words
+from starloom.llm.common import SPACES, bounded_sample, frames, id_and_text, release, text_words
 
 SYMBOLS = "#*$%&|<>"
 #: Rows of the sample that costs and selectivities are estimated on.
@@ -189,6 +189,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str =
     at = docs.columns.index(text_col)
 
     def keep(batches):
+        release()
         for batch in batches:
             mask = [passes(Document(t), cascade) for t in batch.column(at).to_pylist()]
             yield batch.filter(_pa_mask(mask))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import frames, id_and_text, written
+from starloom.llm.common import frames, id_and_text, release, written
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -194,6 +194,7 @@ def prose_scores(texts: list[str]) -> Iterator[tuple[tuple[str, ...], int, np.nd
 
 def _prose_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Number, sum and sum of squares of a task's prose scores, in whole steps, so that their order is of no account."""
+    release()
     sums: dict[tuple[str, int], list[int]] = {}
     for pdf in batches:
         texts, some, letters = pdf["text"].tolist(), [], 0
