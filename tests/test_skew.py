@@ -9,7 +9,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from starloom.operators import checks as V
+from starloom.operators.suite import Suite
 from starloom.operators.dedup import dedup_by_rank
 from starloom.operators.joins import with_key_exists
 from starloom.operators.profile import duplicate_rows
@@ -63,7 +63,9 @@ def test_duplicate_listing_and_grain_check_under_skew(spark):
     dups = duplicate_rows(df.where(F.col("k").isNotNull()), F.col("k"), "dk")
     assert dups.where(F.col("dk") == "HOT").count() == N // 3
     assert dups.select("n_copies").where(F.col("dk") == "HOT").first()[0] == N // 3
-    viol = V.unique_grain(df, ["k"]).first()["violations"]
+    suite = Suite({"t": df})
+    suite.unique("grain", "t", ["k"])
+    viol = suite.run().first()["violations"]
     assert viol == N - df.select("k").distinct().count()
 
 
