@@ -40,7 +40,7 @@ DICTIONARY_BYTES, SAMPLE_ROWS, LEVEL = 65_536, 2000, 3
 #: A block is closed at so many documents or ids.
 BLOCK_DOCS, BLOCK_IDS = 512, 1 << 20
 #: Words and pieces that an encoder remembers before it starts anew.
-CACHE = 400_000
+CACHE = 600_000
 
 
 def _byte_letters() -> dict[int, str]:
