@@ -38,11 +38,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import id_and_text, kept, written
+from starloom.llm.common import SPACES, id_and_text, kept, written
 from starloom.llm.links import components
 from starloom.session import ship_package
 
@@ -58,37 +57,63 @@ _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                     0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
+#: Word separators among the bytes; base of the words' polynomial and its inverse modulo 2^64; powers at hand.
+_SPACE = np.isin(np.arange(256), list(SPACES.encode()))
+_BASE, _POWERS = 0x9E6C63D0876A9A47, 1 << 18
+
+
 def shingler_of(words: int) -> "Shingler":
-    """The worker's shingler, with the words it knows."""
+    """The worker's shingler, with its tables."""
     return kept(("shingler", words), lambda: Shingler(words))
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * _SPREAD[1]
+    return h ^ (h >> np.uint64(29))
+
+
 class Shingler:
-    """Sorted distinct shingle hashes of texts; hashes of words are remembered."""
+    """Sorted distinct shingle hashes of texts, a text's bytes at a time.
 
-    def __init__(self, words: int = WORDS, remembered: int = 200_000):
-        self.words, self.remembered, self.known = words, remembered, {}
+    A word is the number that its bytes make in an odd base modulo 2^64: a
+    difference of running sums over the text, divided by the power of its start."""
+
+    def __init__(self, words: int = WORDS):
+        self.words = words
+        self.powers, self.inverse = self._powers(_POWERS)
+
+    @staticmethod
+    def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+        each = (np.full(n + 1, f, np.uint64) for f in (_BASE, pow(_BASE, -1, 1 << 64)))
+        out = []
+        for factors in each:
+            factors[0] = 1
+            out.append(np.cumprod(factors))
+        return out[0], out[1]
+
+    def word_hashes(self, text: str) -> np.ndarray:
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass").translate(_LOWER), np.uint8)
+        n = len(data)
+        powers, inverse = (self.powers, self.inverse) if n <= _POWERS else self._powers(n)
+        word = np.zeros(n + 2, np.int8)
+        word[1:-1] = ~_SPACE[data]
+        edges = np.flatnonzero(word[1:] != word[:-1])  # starts and ends by turns
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:n], out=sums[1:])
+        starts, ends = edges[::2], edges[1::2]
+        return _mixed((sums[ends] - sums[starts]) * inverse[starts])
 
     def hashes(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-        if not words:
+        h = self.word_hashes(text)
+        if not len(h):
             return np.zeros(0, np.uint64)
-        if len(words) < self.words:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-        if len(self.known) > self.remembered:
-            self.known = {}
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        n = len(h) - self.words + 1
-        mixed = np.zeros(n, np.uint64)
-        for k in range(self.words):
+        size = min(self.words, len(h))  # fewer words: the whole sequence
+        n = len(h) - size + 1
+        mixed = np.full(n, size, np.uint64)
+        for k in range(size):
             mixed += h[k:k + n] * _SPREAD[k]
-        mixed ^= mixed >> np.uint64(31)
-        mixed *= _SPREAD[1]
-        mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
+        mixed = np.sort(_mixed(mixed))
+        return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
 def class_key(hashes: np.ndarray) -> bytes:
