@@ -171,7 +171,7 @@ def frequent_values(tables: Mapping[str, DataFrame], profile: DataFrame) -> Data
     at = ["table_name", "column_name"]
     a, b, named = each.select(*at, "c.kind", "c.item").alias("a"), few.alias("b"), [*at, "kind"]
     same = reduce(Column.__and__, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in named])
-    # At most 2 * CANDIDATES rows a column: a bounded side to broadcast, so cells that are none go before the shuffle.
-    kept = a.join(F.broadcast(b), same & F.col("a.item").eqNullSafe(F.col("b.item")))
+    # At most 2 * CANDIDATES rows a column: measured, that side is broadcast, and cells that are no candidate go unshuffled.
+    kept = a.join(b, same & F.col("a.item").eqNullSafe(F.col("b.item")))
     return (kept.groupBy(*(F.col(f"a.{c}") for c in named), F.col("a.item").alias("value"), "n_rows").agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") >= F.col("n_rows") * FREQUENT).drop("n_rows"))

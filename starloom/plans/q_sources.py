@@ -275,7 +275,7 @@ def _bucketed(spark, sf_dir):
     base, name = scratch(spark, "bucketed"), f"starloom_{uuid.uuid4().hex[:12]}"
     items, orders = (spark.table(B.write_bucketed(getattr(st, t), base, "gold", t, "order_id", BUCKETS, name))
                      for t in ("fact_pedidos_itens", "fact_pedidos"))
-    joined = items.hint("merge").join(orders.select("order_id", "status_order", "is_cancelado"), "order_id")
+    joined = items.join(orders.select("order_id", "status_order", "is_cancelado"), "order_id")
     return joined.groupBy("order_id", "status_order").agg(
         F.count(F.lit(1)).alias("items"), F.count_if("is_cancelado").alias("cancelled"), F.max("quantity").alias("most"))
 
