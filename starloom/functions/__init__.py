@@ -25,13 +25,13 @@ from starloom.functions.dates import (
     parse_multi_format_timestamp,
     parse_strict,
 )
-from starloom.functions.numbers import mismatch, parse_br_decimal_to_double, safe_cast_double
+from starloom.functions.numbers import mismatch, number_in, parse_br_decimal_to_double, safe_cast_double
 
 __all__ = [
     "vocab", "contains_ci", "fill_null", "flag_text_to_bool", "is_valid_email", "lookup_map",
     "normalize_key", "normalize_regional_code", "normalize_state_to_uf", "parse_json_struct",
     "safe_int", "standardize_enum", "standardize_lower", "trim_or_default", "yes_no_to_bool",
     "calendar_columns", "date_key", "days_between", "parse_multi_format_date",
-    "parse_multi_format_timestamp", "parse_strict", "mismatch", "parse_br_decimal_to_double",
+    "parse_multi_format_timestamp", "parse_strict", "mismatch", "number_in", "parse_br_decimal_to_double",
     "safe_cast_double",
 ]
