@@ -20,10 +20,12 @@ from starloom.session import scratch_root
 from starloom.streaming.incremental import ingest_stream
 from starloom.sources import layers as B
 from starloom.sources import readers as R
-from starloom.sources.writers import write_delimited, write_json_array
+from starloom.sources.layer_store import files_of
+from starloom.sources.writers import write_delimited, write_json_array, write_ndjson
 from starloom.sources.workbook import read_workbooks, write_workbooks
 from starloom.plans import oracle as O
 from starloom.plans import silver as S
+from starloom.plans.inputs import table_path
 from starloom.plans.catalog import TABLE_COLUMNS, register
 from starloom.plans.star import export, star_for
 
@@ -71,7 +73,7 @@ def _sellers_csv(spark, sf_dir):
 def _deliveries_ndjson(spark, sf_dir):
     st = star_for(spark, sf_dir)
     path = scratch(spark, "deliveries-ndjson")
-    st.raw_deliveries.write.mode("overwrite").json(path)
+    write_ndjson(st.raw_deliveries, path)
     back = R.read_ndjson(spark, path, R.DELIVERIES_SCHEMA)
     return export(S.silver_deliveries(back, st.raw_orders))
 
@@ -79,7 +81,7 @@ def _deliveries_ndjson(spark, sf_dir):
 def _tickets_ndjson(spark, sf_dir):
     st = star_for(spark, sf_dir)
     path = scratch(spark, "tickets-ndjson")
-    st.raw_tickets.write.mode("overwrite").json(path)
+    write_ndjson(st.raw_tickets, path)
     back = R.read_ndjson(spark, path, R.TICKETS_SCHEMA)
     return export(S.silver_tickets(back))
 
@@ -266,14 +268,22 @@ def _namespace(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
-BUCKETS = 8
+#: Buckets of a small fact, and source bytes of the larger fact's table for each further one: a bucket is a task.
+BUCKETS, BUCKET_BYTES = 8, 2 << 20
+
+
+def buckets_for(star) -> int:
+    """Buckets for the facts of ``star``, growing with the table behind the larger of them."""
+    read = sum(size for _, size, _ in files_of(star.spark, [table_path(star.sf_dir, "lineitem")]))
+    return max(BUCKETS, -(-read // BUCKET_BYTES))
 
 
 def _bucketed(spark, sf_dir):
     """B3 laid out for joins: item and order facts bucketed by order, joined where they lie."""
     st = star_for(spark, sf_dir)
     base, name = scratch(spark, "bucketed"), f"starloom_{uuid.uuid4().hex[:12]}"
-    items, orders = (spark.table(B.write_bucketed(getattr(st, t), base, "gold", t, "order_id", BUCKETS, name))
+    n = buckets_for(st)
+    items, orders = (spark.table(B.write_bucketed(getattr(st, t), base, "gold", t, "order_id", n, name))
                      for t in ("fact_pedidos_itens", "fact_pedidos"))
     joined = items.join(orders.select("order_id", "status_order", "is_cancelado"), "order_id")
     return joined.groupBy("order_id", "status_order").agg(
