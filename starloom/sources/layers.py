@@ -43,13 +43,19 @@ def write_table(df: DataFrame, base_path: str, layer: str, table: str,
                 partition_by: list[str] | None = None) -> int:
     """Overwrite ``layer/table`` with ``df``; returns the rows written."""
     obs = Observation(f"{layer}.{table}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(layer_path(base_path, layer, table))
     return int(obs.get["rows"])
 
 
+def written(df: DataFrame, base_path: str, layer: str, table: str) -> DataFrame:
+    """``df`` written to ``layer/table`` and read back."""
+    write_table(df, base_path, layer, table)
+    return read_table(df.sparkSession, base_path, layer, table)
+
+
 def read_table(spark: SparkSession, base_path: str, layer: str, table: str) -> DataFrame:
     return spark.read.parquet(layer_path(base_path, layer, table))
 
@@ -137,7 +143,9 @@ def set_aside_malformed(spark: SparkSession, base_path: str, table: str) -> Data
 
 
 def build_silver(spark: SparkSession, base_path: str) -> dict[str, int]:
-    """Bronze -> silver; malformed records make no silver rows."""
+    """Bronze -> silver; malformed records make no silver rows.  Keys without
+    a match are written first (layer ``keys``): few as they are, no table is
+    shuffled for their test."""
     b = {t: set_aside_malformed(spark, base_path, t).drop("_ingested_at", "_source_file", R.CORRUPT)
          for t in I.RAW_BUILDERS}
     frames = {
@@ -147,8 +155,10 @@ def build_silver(spark: SparkSession, base_path: str) -> dict[str, int]:
         "sellers": S.silver_sellers(b["sellers"], b["channels"]),
         "customers": S.silver_customers(b["customers"]),
         "orders": S.silver_orders(b["orders"]),
-        "items": S.silver_items(b["items"], b["products"]),
-        "deliveries": S.silver_deliveries(b["deliveries"], b["orders"]),
+        "items": S.silver_items(b["items"], b["products"], written(
+            S.missing_products(b["items"], b["products"]), base_path, "keys", "missing_products")),
+        "deliveries": S.silver_deliveries(b["deliveries"], b["orders"], written(
+            S.missing_orders(b["deliveries"], b["orders"]), base_path, "keys", "missing_orders")),
         "tickets": S.silver_tickets(b["tickets"]),
     }
     return {t: write_table(df, base_path, "silver", t) for t, df in frames.items()}
@@ -158,6 +168,7 @@ def build_gold(spark: SparkSession, base_path: str) -> dict[str, int]:
     s = {t: read_table(spark, base_path, "silver", t) for t in SILVER_TABLES}
     # Facts resolve their keys against the dimensions of this very build.
     customers, products = G.dim_cliente(s["customers"]), G.dim_produto(s["products"])
+    missing = {t: written(G.missing_customers(s[t], customers), base_path, "keys", f"missing_{t}_customers") for t in ("orders", "tickets")}
     frames = {
         "dim_cliente": customers,
         "dim_produto": products,
@@ -165,10 +176,10 @@ def build_gold(spark: SparkSession, base_path: str) -> dict[str, int]:
         "dim_regiao": G.dim_regiao(s["regions"]),
         "dim_vendedor": G.dim_vendedor(s["sellers"], s["channels"], s["regions"]),
         "dim_data": G.dim_data(s["orders"], s["deliveries"], s["tickets"]),
-        "fact_pedidos": G.fact_pedidos(s["orders"], s["deliveries"], customers),
-        "fact_pedidos_itens": G.fact_pedidos_itens(s["items"], s["orders"], customers, products),
+        "fact_pedidos": G.fact_pedidos(s["orders"], s["deliveries"], customers, missing["orders"]),
+        "fact_pedidos_itens": G.fact_pedidos_itens(s["items"], s["orders"], customers, products, missing["orders"]),
         "fact_entregas": G.fact_entregas(s["deliveries"]),
-        "fact_ocorrencias": G.fact_ocorrencias(s["tickets"], customers),
+        "fact_ocorrencias": G.fact_ocorrencias(s["tickets"], customers, missing["tickets"]),
     }
     return {t: write_table(df, base_path, "gold", t) for t, df in frames.items()}
 
