@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import missing_keys, with_key_missing
 from starloom.plans import gold as G
 from starloom.plans import inputs as I
 from starloom.plans import silver as S
@@ -169,6 +170,8 @@ def build_gold(spark: SparkSession, base_path: str) -> dict[str, int]:
     # Facts resolve their keys against the dimensions of this very build.
     customers, products = G.dim_cliente(s["customers"]), G.dim_produto(s["products"])
     missing = {t: written(G.missing_customers(s[t], customers), base_path, "keys", f"missing_{t}_customers") for t in ("orders", "tickets")}
+    items = with_key_missing(s["items"], "product_code", written(
+        missing_keys(s["items"], F.col("product_code"), products, F.col("product_id")), base_path, "keys", "missing_item_products"), "_product_valid")
     frames = {
         "dim_cliente": customers,
         "dim_produto": products,
@@ -177,7 +180,7 @@ def build_gold(spark: SparkSession, base_path: str) -> dict[str, int]:
         "dim_vendedor": G.dim_vendedor(s["sellers"], s["channels"], s["regions"]),
         "dim_data": G.dim_data(s["orders"], s["deliveries"], s["tickets"]),
         "fact_pedidos": G.fact_pedidos(s["orders"], s["deliveries"], customers, missing["orders"]),
-        "fact_pedidos_itens": G.fact_pedidos_itens(s["items"], s["orders"], customers, products, missing["orders"]),
+        "fact_pedidos_itens": G.fact_pedidos_itens(items, s["orders"], customers, products, missing["orders"]),
         "fact_entregas": G.fact_entregas(s["deliveries"]),
         "fact_ocorrencias": G.fact_ocorrencias(s["tickets"], customers, missing["tickets"]),
     }
