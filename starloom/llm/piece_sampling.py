@@ -88,7 +88,7 @@ class PieceSampler:
         self.forget()
 
     def _grow(self, plain: dict[str, int]) -> None:
-        """The pieces as a trie: sorted keys of (node, character) and their children."""
+        """The pieces as a trie: a hash table from (node, character) to the child."""
         node, last, ends = {"": 0}, 0, {}
         for piece in plain:
             for k in range(1, len(piece) + 1):
@@ -96,12 +96,40 @@ class PieceSampler:
                     last += 1
                     node[piece[:k]] = last
         keys = {(node[p[:-1]] << 21) | ord(p[-1]): i for p, i in node.items() if p}
-        self.keys = np.array(sorted(keys), np.int64)
-        self.child = np.array([keys[k] for k in self.keys.tolist()], np.int64)
-        self.piece_at = np.full(last + 1, -1, np.int64)
+        self.shift = np.uint64(64 - max(4, (8 * len(keys)).bit_length()))
+        self.slots = np.full(1 << (64 - int(self.shift)), -1, np.int64)
+        self.child = np.full(len(self.slots), -1, np.int32)
+        key, child = np.fromiter(keys, np.int64, len(keys)), np.fromiter(keys.values(), np.int32, len(keys))
+        slot = self._slot(key)
+        while len(key):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = key[free]  # of several keys for a slot the last one stays
+            here = self.slots[slot] == key
+            self.child[slot[here]] = child[here]
+            key, child, slot = key[~here], child[~here], (slot[~here] + 1) % len(self.slots)
+        self.piece_at = np.full(last + 1, -1, np.int32)
         for piece, i in plain.items():
             self.piece_at[node[piece]] = i
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The child of each node by its character, -1 where there is none."""
+        key = (node << 21) | char
+        slot = self._slot(key)
+        held = self.slots[slot]
+        child = self.child[slot]
+        child[held != key] = -1
+        at = np.flatnonzero((held != key) & (held >= 0))
+        while len(at):  # another key's slot: the next one
+            slot[at] = (slot[at] + 1) % len(self.slots)
+            held = self.slots[slot[at]]
+            hit = held == key[at]
+            child[at[hit]] = self.child[slot[at[hit]]]
+            at = at[~hit & (held >= 0)]
+        return child
+
     def forget(self) -> None:
         """Nodes are positions of remembered words; edges into a node lie together."""
         self.at: dict[str, int] = {}
@@ -118,61 +146,73 @@ class PieceSampler:
             new = list(set(words))
         if not new:
             return
+        # Longest first, and characters by their place in the word: those of a place lie together,
+        # the k-th being the k-th word's, so that the sums go over slices.
+        new.sort(key=len, reverse=True)
         size = np.fromiter(map(len, new), np.int64, len(new))
-        chars = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        stop = np.repeat(np.cumsum(size), size)   # end of the word that holds a character
-        begin = stop - np.repeat(size, size)
+        held = len(new) - np.searchsorted(size[::-1], np.arange(size[0]), side="right")  # words that have a place
+        off = np.append(0, np.cumsum(held))
+        place = np.repeat(np.arange(len(held)), held)
+        before, after = np.arange(off[-1]), np.arange(off[-1])  # the same word's places before and after; -1: none
+        before -= np.append(0, held)[place]
+        before[:off[1]] = -1
+        after += held[place]
+        after[after - off[np.minimum(place + 1, len(held))] >= np.append(held[1:], 0)[place]] = -1
+        chars = np.zeros(off[-1], np.int64)
+        word = np.repeat(np.arange(len(new)), size)
+        chars[off[np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)] + word] = np.frombuffer(
+            "".join(new).encode("utf-32-le", "surrogatepass"), "<u4")
         # All pieces from all positions: walk the trie from everywhere at once.
-        at = np.arange(len(chars))
-        walker, node, head = at, np.zeros(len(chars), np.int64), at
-        tails, heads, pieces, single = [], [], [], np.zeros(len(chars), bool)
-        while len(walker):
-            key = (node << 21) | chars[walker]
-            k = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
-            ok = self.keys[k] == key
-            walker, head, node = walker[ok], head[ok], self.child[k[ok]]
-            found = self.piece_at[node]
-            hit = found >= 0
-            tails.append(walker[hit])
-            heads.append(head[hit])
-            pieces.append(found[hit])
-            single[walker[hit & (walker == head)]] = True
-            more = walker + 1 < stop[walker]
-            walker, head, node = walker[more] + 1, head[more], node[more]
+        tail, source, node = np.arange(len(chars)), before, np.zeros(len(chars), np.int64)
+        found, spread, single = [], np.zeros(len(chars), np.int64), np.zeros(len(chars), bool)
+        while len(tail):
+            child = self._step(node, chars[tail])
+            ok = np.flatnonzero(child >= 0)
+            tail, source, node = tail[ok], source[ok], child[ok].astype(np.int64)
+            piece = self.piece_at[node]
+            hit = np.flatnonzero(piece >= 0)
+            found.append((tail[hit], source[hit], piece[hit], self.log_weight[piece[hit]]))
+            spread[tail[hit]] += 1
+            if len(found) == 1:
+                single[tail[hit]] = True
+            follow = after[tail]
+            more = np.flatnonzero(follow >= 0)
+            tail, source, node = follow[more], source[more], node[more]
         alone = np.flatnonzero(~single)
         width = 1 + (chars[alone] > 0x7F) + (chars[alone] > 0x7FF) + (chars[alone] > 0xFFFF)
-        tail = np.concatenate([*tails, alone])
-        head = np.concatenate([*heads, alone])
-        piece = np.concatenate([*pieces, -1 - chars[alone]])
-        weight = np.concatenate([self.log_weight[np.concatenate(pieces)] if pieces else np.zeros(0), width * self.fallback])
-        order = np.lexsort((head, tail))
-        tail, head, piece, weight = tail[order], head[order], piece[order], weight[order]
-        first = np.searchsorted(tail, at)          # every position has an edge into it
-        # Forward sums, in the order of positions within words.
-        place = at - begin
-        total = np.zeros(len(chars))
-        edge_place = place[tail]
-        by_place = np.argsort(edge_place, kind="stable")
-        bounds = np.searchsorted(edge_place[by_place], np.arange(int(place.max()) + 2))
-        for p in range(len(bounds) - 1):
-            e = by_place[bounds[p]:bounds[p + 1]]
-            start = head[e] == begin[tail[e]]
-            weight[e] += np.where(start, 0.0, total[head[e] - 1])
-            into = tail[e]
-            cut = np.flatnonzero(np.append(True, into[1:] != into[:-1]))
-            top = np.maximum.reduceat(weight[e], cut)
-            spread = np.diff(np.append(cut, len(e)))
-            total[into[cut]] = top + np.log(np.add.reduceat(np.exp(weight[e] - np.repeat(top, spread)), cut))
-        chance = np.exp(weight - total[tail])
-        run = np.cumsum(chance)
-        upto = run - (run[first] - chance[first])[tail]
-        upto[np.append(first[1:], len(tail)) - 1] = 2.0  # the last edge takes what is left
+        found.insert(0, (alone, before[alone], -1 - chars[alone], width * self.fallback))
+        spread[alone] += 1
+        # Edges into a node lie together, those of the longest pieces first.
+        first = np.append(0, np.cumsum(spread))
+        room = first[1:].copy()
+        into, piece, weight = np.zeros(first[-1], np.int32), np.zeros(first[-1], np.int32), np.zeros(first[-1])
+        for tail, source, which, log_weight in found:
+            room[tail] -= 1
+            at = room[tail]
+            into[at], piece[at], weight[at] = source, which, log_weight
+        # Forward sums, place by place; the one after the last stands for a word's start.
+        total = np.zeros(len(chars) + 1)
+        for p in range(len(held)):
+            nodes, edges = slice(off[p], off[p + 1]), slice(first[off[p]], first[off[p + 1]])
+            weight[edges] += total[into[edges]]
+            cut = first[nodes] - edges.start
+            top = np.maximum.reduceat(weight[edges], cut)
+            total[nodes] = top + np.log(np.add.reduceat(np.exp(weight[edges] - np.repeat(top, spread[nodes])), cut))
+        weight -= np.repeat(total[:-1], spread)
+        upto = np.exp(weight, out=weight)
+        # Sums of a node's own edges alone: no other word of the batch bears on their rounding.
+        at, left = first[:-1], spread
+        while len(at):
+            go = np.flatnonzero(left > 1)
+            at, left = at[go] + 1, left[go] - 1
+            upto[at] += upto[at - 1]
+        upto[first[1:] - 1] = 2.0  # the last edge takes what is left
         nodes, edges = self.first.n, self.piece.n
         self.at.update(zip(new, range(len(self.at), len(self.at) + len(new))))
-        self.end.add(nodes + np.cumsum(size) - 1)
-        self.first.add(edges + first)
+        self.end.add(nodes + off[size - 1] + np.arange(len(new)))
+        self.first.add(edges + first[:-1])
         self.upto.add(upto)
-        self.source.add(np.where(head == begin[tail], -1, nodes + head - 1))
+        self.source.add(np.where(into < 0, -1, nodes + into))
         self.piece.add(piece)
 
     def encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:

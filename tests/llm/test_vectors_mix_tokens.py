@@ -199,6 +199,51 @@ def test_sampling_follows_the_lattice():
         assert abs(drawn[path] / n - p) <= 5 * math.sqrt(p * (1 - p) / n) + 1e-9
 
 
+def test_sums_of_a_word_are_its_own():
+    """A word's sums are the same to the last bit, alone and among any others of its batch."""
+    draw = np.random.default_rng(3)
+    many = ["▁" + "".join(draw.choice(list("etaoinshrdlucméß日%9"), n)) for n in draw.integers(1, 24, 20_000)]
+    among = piece_sampling.PieceSampler(MODEL)
+    among.remember(many)
+
+    def edges(sampler, word):
+        node, out = int(sampler.end.room[sampler.at[word]]), []
+        seen, todo = {node}, [node]
+        while todo:
+            at = todo.pop()
+            k = int(sampler.first.room[at])
+            while True:
+                before = int(sampler.source.room[k])
+                out.append((int(sampler.piece.room[k]), float(sampler.upto.room[k])))
+                if before >= 0 and before not in seen:
+                    seen.add(before)
+                    todo.append(before)
+                if sampler.upto.room[k] == 2.0:
+                    break
+                k += 1
+        return out
+
+    alone = piece_sampling.PieceSampler(MODEL)
+    for word in [*many[-60:], *sorted(many, key=len)[-60:]]:
+        alone.forget()
+        alone.remember([word])
+        assert edges(alone, word) == edges(among, word)
+
+
+def test_trie_holds_every_piece():
+    sampler = piece_sampling.PieceSampler(MODEL)
+    for i in range(0, len(sampler.bytes_of), 7):
+        piece = sampler.bytes_of[i].decode("utf-8", "replace").replace(" ", "▁")
+        if i in sampler.byte or not piece:
+            continue
+        node = np.zeros(1, np.int64)
+        for c in piece:
+            node = sampler._step(node, np.array([ord(c)])).astype(np.int64)
+            assert node[0] > 0
+        assert sampler.piece_at[node[0]] == i
+    assert sampler._step(np.zeros(2, np.int64), np.array([0x10FFFF, 0xDFFE])).tolist() == [-1, -1]
+
+
 def test_pieces_are_lossless_and_reproducible(spark, odd_docs, no_docs):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
