@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import mixing, ngram_join, piece_sampling, quality_rules, secret_scan
-from starloom.llm.common import load, written
+from starloom.llm.common import load, ready, written
 from starloom.llm.queries import vocabulary
-from starloom.session import ship_package
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -25,7 +24,7 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    ship_package(spark)
+    ready(spark)
     return quality_rules.keep_good(docs)
 
 

@@ -41,9 +41,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACES, id_and_text, kept, written
+from starloom.llm.common import SPACES, id_and_text, kept, ready, written
 from starloom.llm.links import components
-from starloom.session import ship_package
 
 #: Words of a shingle; similarity in percent; counters of the sketch; bits of the bitmap.
 WORDS, PERCENT, SKETCH, BITS = 5, 75, 1 << 18, 1 << 24
@@ -373,7 +372,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Documents (doc_id, t1, t2, n, key) and classes (key, rep, part): each
     class's smallest id, and the component that it lies in."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col)
     first = written(digests(rows, words), "join-digests")
     sketch = np.zeros(SKETCH, np.int64)

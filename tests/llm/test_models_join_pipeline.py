@@ -10,7 +10,7 @@ import zlib
 from llm_rows import PROSE, SF_SMALL, no_docs, odd_docs  # noqa: F401
 from pyspark.sql import functions as F
 
-from starloom.llm import mixing, ngram_join, piece_sampling, quality_eb, quality_rules, queries, secret_scan, toxicity
+from starloom.llm import common, mixing, ngram_join, piece_sampling, quality_eb, quality_rules, queries, secret_scan, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -197,6 +197,21 @@ def test_pipeline_stages(spark, odd_docs, no_docs):
         assert name == "sentencepiece" or result.columns == odd_docs.columns
 
 
+def test_texts_reach_python_in_bounded_batches(spark):
+    """Long texts come some MB at a time, however few rows that is; no row is lost."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 800).alias("text"))
+    corpus_pipeline.quality(spark, docs, SF_SMALL)
+
+    def sizes(batches):
+        for pdf in batches:
+            yield pdf.iloc[:1].assign(doc_id=len(pdf), text=str(pdf["text"].str.len().sum()))[["doc_id", "text"]]
+
+    seen = docs.mapInPandas(sizes, "doc_id long, text string").collect()
+    assert sum(r["doc_id"] for r in seen) == 4000
+    assert max(int(r["text"]) for r in seen) <= 2 * common.BATCH_BYTES
+
+
 def test_pipeline_run(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert rows and all(r["lossless"] for r in rows) and {"doc_id", "ids"} <= set(rows[0].asDict())
