@@ -230,7 +230,7 @@ def _numbered(rows: DataFrame) -> DataFrame:
     before = Window.partitionBy("same").orderBy("like", "part").rowsBetween(Window.unboundedPreceding, -1)
     starts = at.groupBy(*group).agg(F.count("*").alias("n")).select(*group, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     return at.withColumn("nth", F.row_number().over(Window.partitionBy(*group).orderBy(F.lit(0)))).join(starts, group).select(
-        "doc", "text", "same", (F.col("start") + F.col("nth") - 1).alias("copy"))
+        "doc", "same", (F.col("start") + F.col("nth") - 1).alias("copy"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -240,17 +240,17 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     plan = Mix(docs, id_col, text_col, source_col)
     picks = plan.pieces().filter("epoch IS NOT NULL").groupBy("sid", "off", "same", "copies", "copy", "size", "epoch").agg(
         F.sum("n").alias("n"), F.sort_array(F.collect_list("start")).alias("starts"))
-    # The document is one column, so its own names meet none of the plan's.
-    text = docs[text_col].cast("string")
-    same = _same(docs[id_col].cast("long"), docs[source_col].cast("string"), F.xxhash64(text))
-    rows = docs.select(F.struct("*").alias("doc"), text.alias("text"), same.alias("same"))
+    # The document is one column, so its own names meet none of the plan's; its
+    # text is in it alone, so that it moves once.
+    same = _same(docs[id_col].cast("long"), docs[source_col].cast("string"), F.xxhash64(docs[text_col].cast("string")))
+    rows = docs.select(F.struct("*").alias("doc"), same.alias("same"))
     # Documents that have no equal meet their picks by key alone: one shuffle of
     # the texts.  Equal ones are numbered and meet by key and number.
     repeated = written(plan.sized.filter("copies > 1").select("same"), "mix-repeated")
     alone = rows.join(repeated, "same", "left_anti").join(picks.filter("copies = 1"), "same")
     of_many = _numbered(rows.join(repeated, "same", "left_semi")).join(picks.filter("copies > 1"), ["same", "copy"])
-    need = ["doc", "text", "n", "size", "off", "starts"]
-    out = alone.select(*need).unionByName(of_many.select(*need))
+    need = ["doc", "n", "size", "off", "starts"]
+    out = alone.select(*need).unionByName(of_many.select(*need)).withColumn("text", F.col("doc").getField(text_col).cast("string"))
     # A text's pieces, as blocks cut it: the words up to the first block's end, then block by block.
     word = r"(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++)"
     first = plan.block - F.pmod("off", F.lit(plan.block))

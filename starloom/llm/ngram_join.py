@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import SPACES, id_and_text, kept, ready, written
+from starloom.llm.common import SPACES, id_and_text, kept, passing, ready, written
 from starloom.llm.links import components
 
 #: Words of a shingle; similarity in percent; counters of the sketch; bits of the bitmap.
@@ -214,10 +214,14 @@ def prefix_entries(rows: DataFrame, sketch: np.ndarray, words: int, percent: int
     return rows.mapInPandas(run, "shingle long, node long, meta long")
 
 
+def _reaches(a: str, b: str, percent: int) -> Column:
+    """Whether a document as large as a's is large enough to be similar to one as large as b's."""
+    return 100 * F.floor(F.col(a) / 8) >= percent * F.floor(F.col(b) / 8)
+
+
 def _fits(a: str, b: str, percent: int) -> Column:
     """Sizes that a similar pair can have."""
-    x, y = F.floor(F.col(a) / 8), F.floor(F.col(b) / 8)
-    return (100 * x >= percent * y) & (100 * y >= percent * x)
+    return _reaches(a, b, percent) & _reaches(b, a, percent)
 
 
 def _matches(a: str, b: str) -> Column:
@@ -246,16 +250,21 @@ def _around(pairs: DataFrame) -> DataFrame:
                                              F.col("part_a").alias("part"), F.lit(True).alias("is_left")).distinct())
 
 
+def _bit(*cols: str) -> dict[str, Column]:
+    """Place of a key in a bitmap of fixed size: a word's number and the bit in it."""
+    h = F.xxhash64(*cols)
+    return {"word": (F.pmod(h, F.lit(BITS)) / 64).cast("int"),
+            "bit": F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int"))}
+
+
 def shingle_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """node and shingles of the wanted classes (node, rep, key), fetched from
     the document that stands for each.  A bitmap of fixed size spares most other
     documents the work; the join by id and class decides, as an id may be held
     by several texts."""
-    bits = wanted.select((F.pmod(F.xxhash64("rep"), F.lit(BITS)) / 64).cast("int").alias("at"),
-                         F.expr("shiftleft(1L, cast(pmod(xxhash64(rep), 64) as int))").alias("bit"))
-    words_of = bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # BITS / 64 rows at most
+    words_of = wanted.withColumns(_bit("rep")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # BITS / 64 rows at most
     bitmap = np.zeros(BITS // 64, np.int64)
-    bitmap[words_of["at"].to_numpy()] = words_of["bits"].to_numpy()
+    bitmap[words_of["word"].to_numpy()] = words_of["bits"].to_numpy()
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
     hashed = rows.withColumn("h", F.xxhash64("doc_id"))
 
@@ -381,16 +390,22 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     documents = first.filter("counter IS NULL").select("doc_id", "t1", "t2", "n", "key")
     classes = written(first.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key", "node", "n").agg(
         F.min("doc_id").alias("rep"), F.max("bitmap").alias("bitmap")), "join-classes")
-    bitmaps = classes.select("node", "n", "bitmap")
+    with passing(docs.sparkSession):
+        parts = written(_parts(rows.filter("doc_id IS NOT NULL"), classes, sketch, words, percent), "join-parts", outlives=True)
+    return documents, classes.select("key", "node", "rep").join(parts, "node", "left").select(
+        "key", "rep", F.coalesce("part", "node").alias("part"))
 
-    identified = rows.filter("doc_id IS NOT NULL")
+
+def _parts(identified: DataFrame, classes: DataFrame, sketch: np.ndarray, words: int, percent: int) -> DataFrame:
+    """(node, part) of every class that is linked with another."""
+    bitmaps = classes.select("node", "n", "bitmap")
     at = Window.partitionBy("shingle")
     shared = written(
         prefix_entries(identified, sketch, words, percent)
         .withColumns({"lo": F.min("node").over(at), "hi": F.max("node").over(at),
                       "pivot": F.min(F.struct(F.xxhash64("node").alias("h"), "node", "meta")).over(at)})
-        .filter("lo < hi").dropDuplicates(["shingle", "node"])
-        .select("shingle", "node", "meta", F.col("pivot.node").alias("pivot"), F.col("pivot.meta").alias("pivot_meta")),
+        .filter("lo < hi").dropDuplicates(["shingle", "node"]).withColumn("holders", F.count("*").over(at))
+        .select("shingle", "node", "meta", "holders", F.col("pivot.node").alias("pivot"), F.col("pivot.meta").alias("pivot_meta")),
         "join-entries")
 
     def fetched(nodes: DataFrame) -> DataFrame:
@@ -403,22 +418,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
              .filter(_fits("meta", "pivot_meta", percent) & (F.col("c") >= _matches("meta", "pivot_meta")))
              .select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot").alias("part_a"), F.col("node").alias("part_b")))
     pairs = possible(pairs, bitmaps, percent)
-    hot = shared.groupBy("shingle").agg(F.count("*").alias("holders")).filter(F.col("holders") > HOT)
+    hot = F.col("holders") > HOT
     sets = fetched(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(
-        shared.join(hot, "shingle").select("node")))
+        shared.filter(hot).select("node")))
     links = written(verify(_around(pairs), sets, percent), "join-links")
     parts = written(components(links), "join-parts")
 
     # 2. Shingles with many holders in several components: the others against the largest.
     left = written(_labelled(shared.drop("pivot", "pivot_meta"), parts), "join-left")
-    heads = left.groupBy("shingle", "part").agg(F.count("*").alias("n"))
-    heads = heads.withColumn("holders", F.sum("n").over(at)).withColumn(
-        "top", F.max(F.struct("n", "part")).over(at)).filter((F.col("holders") > HOT) & (F.col("part") != F.col("top.part")))
+    heads = left.filter(hot).groupBy("shingle", "part").agg(F.count("*").alias("n"))
+    heads = heads.withColumn("top", F.max(F.struct("n", "part")).over(at)).filter(F.col("part") != F.col("top.part"))
     parents = written(heads.groupBy("part").agg(F.max("top").alias("top")).select("part", F.col("top.part").alias("label")),
                       "join-parents")
     # Of each component its members in hot shingles, whose sets are at hand; a
     # member outside them shares no hot shingle and is left to step 3.
-    members = left.join(hot, "shingle").select("node", "part").distinct()
+    members = left.filter(hot).select("node", "part").distinct()
     small = members.join(parents, "part").select(F.col("label").alias("group"), "node", "part")
     large = members.join(parents.select(F.col("label").alias("part")).distinct(), "part").select(
         F.col("part").alias("group"), "node", "part")
@@ -433,13 +447,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     # Labels of compared members are component ids, so node ids too; the flag
     # keeps them apart from the nodes that step 2 did not compare.
     label = F.struct(F.col("label").isNull().alias("alone"), F.coalesce("label", "node").alias("id"))
-    left = (left.drop("part").join(compared, "node", "left").withColumn("label", label)
+    left = (left.drop("part", "holders").join(compared, "node", "left").withColumn("label", label)
             .join(merged, "node", "left").withColumn("part", F.coalesce("part", "node")))
     left = written(left.withColumns({"lo": F.min("label").over(at), "hi": F.max("label").over(at),
                                      "first": F.min("part").over(at), "last": F.max("part").over(at)})
                    .filter("lo < hi AND first < last").drop("lo", "hi", "first", "last"), "join-rest")
-    labels = left.select("shingle", "label").distinct()
-    crossed = labels.join(labels.withColumnRenamed("label", "label_b"), "shingle").filter("label < label_b")
+    # Two labels meet only if members of theirs can be similar by size.
+    labels = left.groupBy("shingle", "label").agg(F.min("meta").alias("low"), F.max("meta").alias("high"))
+    others = labels.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("label", "low", "high")))
+    crossed = labels.join(others, "shingle").filter(
+        (F.col("label") < F.col("label_b")) & _reaches("high", "low_b", percent) & _reaches("high_b", "low", percent)).select(
+        "shingle", "label", "label_b")
     a = left.select("shingle", "label", F.col("part").alias("part_a"), F.col("node").alias("a"), F.col("meta").alias("meta_a"))
     b = left.select("shingle", F.col("label").alias("label_b"), F.col("part").alias("part_b"), F.col("node").alias("b"),
                     F.col("meta").alias("meta_b"))
@@ -449,13 +467,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
                   F.first("part_a").alias("part_a"), F.first("part_b").alias("part_b"))
              .filter(F.col("c") >= _matches("meta_a", "meta_b")).select("a", "b", "part_a", "part_b"))
     pairs = possible(pairs, bitmaps, percent)
-    final = merged
-    if not pairs.isEmpty():
-        sets = fetched(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
-        final = components(links.unionByName(written(verify(_around(pairs), sets, percent), "join-links")))
-
-    return documents, classes.select("key", "node", "rep").join(final, "node", "left").select(
-        "key", "rep", F.coalesce("part", "node").alias("part"))
+    if pairs.isEmpty():
+        return merged
+    sets = fetched(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
+    return components(links.unionByName(written(verify(_around(pairs), sets, percent), "join-links")))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -465,20 +480,31 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     among rows equal in both the one whose hash over all columns is smallest.
     Documents without shingles and rows without an id are like nothing and all
     stay, whatever ids they share."""
-    documents, classes = _grouped(docs, id_col, text_col, words, percent)
     at = ["doc_id", "t1", "t2"]
-    texts = documents.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy(*at, "key").agg(F.count("*").alias("rows"))
-    placed = written(texts.join(classes.select("key", "part"), "key").select(*at, "part", "rows"), "join-texts")
-    # The first text of a component stays; of a text that is there more than once, one row.
-    firsts = placed.groupBy("part").agg(F.min(F.struct(*at)).alias("first"))
-    first = F.struct(*at) == F.col("first")
-    told = placed.join(firsts, "part").select(*at, first.alias("stays"), "rows").filter("NOT stays OR rows > 1")
-    told = written(told, "join-told")
+    with passing(docs.sparkSession):
+        told = written(_told(*_grouped(docs, id_col, text_col, words, percent), at), "join-told", outlives=True)
     # The document is one column, so its own names meet none of these.
     doc_id, text = docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit(""))
     rows = _texts(docs.select(F.struct("*").alias("doc"), doc_id.alias("doc_id"), text.alias("text"))).drop("text")
-    once = rows.join(told.select(*at), at, "left_anti").select("doc")
-    many = rows.join(told.filter("stays").select(*at), at, "left_semi").groupBy(*at).agg(
+    # A bitmap of fixed size spares most documents the shuffle: what it doesn't
+    # show is not told of; of the others the joins decide.
+    bits = told.withColumns(_bit(*at)).groupBy("word").agg(
+        F.bit_or("bit").alias("bits"), F.bit_or(F.when(F.col("stays"), F.col("bit"))).alias("stay_bits"))  # BITS / 64 rows at most
+    rows = rows.withColumns(_bit(*at)).join(F.broadcast(bits), "word", "left")
+    shown = lambda c: F.coalesce(F.col(c).bitwiseAND(F.col("bit")) != 0, F.lit(False))
+    untold = rows.filter(~shown("bits")).select("doc")
+    once = rows.filter(shown("bits")).join(told.select(*at), at, "left_anti").select("doc")
+    many = rows.filter(shown("stay_bits")).join(told.filter("stays").select(*at), at, "left_semi").groupBy(*at).agg(
         F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc")
-    kept = once.unionByName(many)
+    kept = untold.unionByName(once).unionByName(many)
     return kept.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+
+
+def _told(documents: DataFrame, classes: DataFrame, at: list[str]) -> DataFrame:
+    """The texts (by ``at``) of which not every row stays: ``stays`` if one of several rows does, else none."""
+    texts = documents.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy(*at, "key").agg(F.count("*").alias("rows"))
+    placed = written(texts.join(classes.select("key", "part"), "key").select(*at, "part", "rows"), "join-texts")
+    # The first text of a component stays; of a text that is there more than once, one row.
+    firsts = placed.groupBy("part").agg(F.min(F.struct(*at)).alias("first"))
+    first = F.struct(*at) == F.col("first")
+    return placed.join(firsts, "part").select(*at, first.alias("stays"), "rows").filter("NOT stays OR rows > 1")
